@@ -9,7 +9,7 @@ from skyledger.operators.calendar import spine_over
 from skyledger.operators.skew import HOT_ROWS
 from skyledger.plans import analytics
 
-from .standins import as_text, dim_city, latest_event, readings, table
+from .standins import as_text, before_latest_event, dim_city, readings, table
 
 # The events' values rarely pass 150, so streaks are taken above 50.
 STREAK_THRESHOLD = 50
@@ -19,7 +19,7 @@ def _rolling(spark: SparkSession, sf_dir: str, hot_rows: int | None) -> DataFram
     report = analytics.rolling_24h_average(
         readings(spark, sf_dir, "temperature_c"),
         dim_city(spark, sf_dir),
-        latest_event(spark, sf_dir),
+        before_latest_event(spark, sf_dir, "7 DAYS"),
         hot_rows=hot_rows,
     )
     return report.select(

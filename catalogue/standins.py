@@ -24,16 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with ``ts`` as an instant and the number ``k`` out of ``props``."""
-    df = table(spark, sf_dir, "events")
-    return df.withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
-    )
+    """Events with the number ``k`` out of ``props``, 0 to 99."""
+    return table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
-def latest_event(spark: SparkSession, sf_dir: str) -> Column:
-    """The reference time of the time-relative queries, as a scalar subquery."""
-    return table(spark, sf_dir, "events").agg(F.max("ts").cast("timestamp")).scalar()
+def before_latest_event(spark: SparkSession, sf_dir: str, interval: str) -> Column:
+    """The end of the data minus ``interval``, as a scalar subquery: these queries' now."""
+    return table(spark, sf_dir, "events").agg(F.max("ts") - F.expr(f"INTERVAL {interval}")).scalar()
 
 
 def readings(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:

@@ -39,22 +39,21 @@ def aqi_category(value: Column) -> Column:
 def rolling_24h_average(
     weather: DataFrame,
     dim_city: DataFrame,
-    as_of: Column | None = None,
+    since: Column | None = None,
     *,
-    days: int = 7,
     scale: int = 2,
     ordered: bool = True,
     hot_rows: int | None = HOT_ROWS,
     bin_seconds: int = 3600,
 ) -> DataFrame:
-    """Each reading of the last ``days`` with the mean of the 24 hours up to it.
+    """Each reading from ``since`` on with the mean of the 24 hours up to it.
 
     The time filter comes before the window, so frames on the first day are cut
-    off. ``as_of`` defaults to now; a scalar subquery works too and still reaches
-    the scan. Where the fact is stored by ``reading_day``, whole days are pruned.
+    off. ``since`` defaults to seven days ago; a scalar subquery works too and
+    still reaches the scan. Where the fact is stored by ``reading_day``, whole
+    days are pruned.
     """
-    as_of = F.current_timestamp() if as_of is None else as_of
-    since = as_of - F.expr(f"INTERVAL {days} DAYS")
+    since = F.current_timestamp() - F.expr("INTERVAL 7 DAYS") if since is None else since
     recent = weather.filter(F.col("reading_ts") >= since)
     if "reading_day" in weather.columns:
         recent = recent.filter(F.col("reading_day") >= since.cast("date"))

@@ -6,46 +6,53 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+INT, BIG, SMALL = T.IntegerType(), T.LongType(), T.ShortType()
+TEXT, TEXTS, FLAG = T.StringType(), T.ArrayType(T.StringType()), T.BooleanType()
+INSTANT, DAY = T.TimestampType(), T.DateType()
+
+
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
 CITY_CSV_COLUMNS = ["city_name", "state", "latitude", "longitude", "tier", "population"]
 
-DIM_CITY = T.StructType.fromDDL(
-    "city_id INT, city_name STRING, state STRING, latitude DECIMAL(9,6), longitude DECIMAL(9,6), "
-    "tier SMALLINT, population BIGINT, is_active BOOLEAN, created_at TIMESTAMP, updated_at TIMESTAMP"
+DIM_CITY = _table(
+    city_id=INT, city_name=TEXT, state=TEXT, latitude=T.DecimalType(9, 6), longitude=T.DecimalType(9, 6),
+    tier=SMALL, population=BIG, is_active=FLAG, created_at=INSTANT, updated_at=INSTANT,
 )
-DIM_CITY_ALIAS = T.StructType.fromDDL(
-    "alias_id INT, raw_alias STRING, canonical_city_id INT, match_method STRING, created_at TIMESTAMP"
+DIM_CITY_ALIAS = _table(
+    alias_id=INT, raw_alias=TEXT, canonical_city_id=INT, match_method=TEXT, created_at=INSTANT,
 )
-DIM_DATE = T.StructType.fromDDL(
-    "date_key INT, full_date DATE, day_of_week SMALLINT, day_name STRING, day_of_month SMALLINT, "
-    "day_of_year SMALLINT, week_of_year SMALLINT, month SMALLINT, month_name STRING, quarter SMALLINT, "
-    "year SMALLINT, is_weekend BOOLEAN"
+DIM_DATE = _table(
+    date_key=INT, full_date=DAY, day_of_week=SMALL, day_name=TEXT, day_of_month=SMALL, day_of_year=SMALL,
+    week_of_year=SMALL, month=SMALL, month_name=TEXT, quarter=SMALL, year=SMALL, is_weekend=FLAG,
 )
-FACT_WEATHER = T.StructType.fromDDL(
-    "reading_id BIGINT, city_id INT, date_key INT, reading_ts TIMESTAMP, temperature_c DECIMAL(5,2), "
-    "humidity_pct DECIMAL(5,2), precipitation_mm DECIMAL(7,2), pressure_hpa DECIMAL(7,2), "
-    "wind_speed_kmh DECIMAL(6,2), fetched_at TIMESTAMP"
+FACT_WEATHER = _table(
+    reading_id=BIG, city_id=INT, date_key=INT, reading_ts=INSTANT, temperature_c=T.DecimalType(5, 2),
+    humidity_pct=T.DecimalType(5, 2), precipitation_mm=T.DecimalType(7, 2),
+    pressure_hpa=T.DecimalType(7, 2), wind_speed_kmh=T.DecimalType(6, 2), fetched_at=INSTANT,
 )
-FACT_AIR_QUALITY = T.StructType.fromDDL(
-    "reading_id BIGINT, city_id INT, date_key INT, reading_ts TIMESTAMP, aqi_value SMALLINT, "
-    "pm25 DECIMAL(7,2), pm10 DECIMAL(7,2), no2 DECIMAL(7,2), so2 DECIMAL(7,2), co DECIMAL(7,2), "
-    "o3 DECIMAL(7,2), dominant_pollutant STRING, fetched_at TIMESTAMP"
+FACT_AIR_QUALITY = _table(
+    reading_id=BIG, city_id=INT, date_key=INT, reading_ts=INSTANT, aqi_value=SMALL,
+    pm25=T.DecimalType(7, 2), pm10=T.DecimalType(7, 2), no2=T.DecimalType(7, 2), so2=T.DecimalType(7, 2),
+    co=T.DecimalType(7, 2), o3=T.DecimalType(7, 2), dominant_pollutant=TEXT, fetched_at=INSTANT,
 )
-RUN_LOG = T.StructType.fromDDL(
-    "run_id BIGINT, dag_id STRING, task_id STRING, logical_date DATE, started_at TIMESTAMP, "
-    "ended_at TIMESTAMP, status STRING, rows_extracted BIGINT, rows_loaded BIGINT, rows_rejected BIGINT, "
-    "cities_failed ARRAY<STRING>, error_message STRING"
+RUN_LOG = _table(
+    run_id=BIG, dag_id=TEXT, task_id=TEXT, logical_date=DAY, started_at=INSTANT, ended_at=INSTANT,
+    status=TEXT, rows_extracted=BIG, rows_loaded=BIG, rows_rejected=BIG, cities_failed=TEXTS,
+    error_message=TEXT,
 )
-DQ_RESULTS = T.StructType.fromDDL(
-    "id BIGINT, run_id BIGINT, check_name STRING, table_name STRING, status STRING, details STRING, "
-    "checked_at TIMESTAMP"
+DQ_RESULTS = _table(
+    id=BIG, run_id=BIG, check_name=TEXT, table_name=TEXT, status=TEXT, details=TEXT, checked_at=INSTANT,
 )
-QUARANTINE = T.StructType.fromDDL(
-    "id BIGINT, raw_name STRING, source STRING, first_seen_at TIMESTAMP, last_seen_at TIMESTAMP, "
-    "occurrence_count BIGINT, resolved BOOLEAN"
+QUARANTINE = _table(
+    id=BIG, raw_name=TEXT, source=TEXT, first_seen_at=INSTANT, last_seen_at=INSTANT, occurrence_count=BIG,
+    resolved=FLAG,
 )
-BRONZE = T.StructType.fromDDL(
-    "city_id INT, city_name STRING, fetched_at TIMESTAMP, fetched_hour TIMESTAMP, source_api STRING, "
-    "run_id STRING, raw_response STRING"
+BRONZE = _table(
+    city_id=INT, city_name=TEXT, fetched_at=INSTANT, fetched_hour=INSTANT, source_api=TEXT, run_id=TEXT,
+    raw_response=TEXT,
 )
 
 READING_KEY = ["city_id", "reading_ts"]
