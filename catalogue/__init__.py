@@ -1,9 +1,9 @@
 """Queries over the driver's tables, each with SQL that states the expected rows."""
 
-from . import analytics
+from . import analytics, cleaning, parsing
 
 QUERIES = {}
 ORACLES = {}
-for _part in (analytics,):
+for _part in (analytics, cleaning, parsing):
     QUERIES.update(_part.QUERIES)
     ORACLES.update(_part.ORACLES)
