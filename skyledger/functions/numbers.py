@@ -27,11 +27,20 @@ def integral(col: Column) -> Column:
     return F.when(col == F.floor(col), col.try_cast("bigint"))
 
 
-def variant_double(variant: Column, path: str) -> Column:
-    """A number, numeric text or boolean inside a variant as a finite double, else null."""
-    text = F.try_variant_get(variant, path, "string")
-    number = F.try_variant_get(variant, path, "double")
-    return F.when(text.isin("true", "false"), number).otherwise(text_to_double(text))
+def variant_double(value: Column) -> Column:
+    """A variant's number, numeric text or boolean as a finite double, else null."""
+    text = F.try_variant_get(value, "$", "string")
+    number = F.try_variant_get(value, "$", "double")
+    return F.when(F.schema_of_variant(value) == "STRING", text_to_double(text)).otherwise(finite(number))
+
+
+def variant_doubles(values: list[Column]) -> Column:
+    """``variant_double`` of each value, as an array.
+
+    One lambda instead of the same code once per value keeps the generated
+    method small enough for the JVM to compile it.
+    """
+    return F.transform(F.array(*values), variant_double)
 
 
 def variant_int(variant: Column, path: str) -> Column:

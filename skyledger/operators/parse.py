@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import variant_double, variant_int
+from ..functions.numbers import variant_doubles, variant_int
 from ..functions.times import date_key, local_minute, local_second, offset_instant, zoned_instant
 from ..schemas import POLLUTANTS
 
@@ -29,31 +29,29 @@ DEFAULT_ZONE = "UTC"
 DEFAULT_OFFSET = "+00:00"
 
 
-def _present(document: Column, path: str) -> Column:
-    """True where ``path`` exists, even as a JSON null."""
-    return F.try_variant_get(document, path, "variant").isNotNull()
+def _fields(document: Column, path: str, names: list[str], kind: str) -> Column:
+    """The named fields of the object at ``path`` in one pass; null if there is no object."""
+    return F.try_variant_get(document, path, f"struct<{', '.join(f'{name} {kind}' for name in names)}>")
 
 
-def _is_object(document: Column, path: str) -> Column:
-    return F.try_variant_get(document, path, OBJECT).isNotNull()
+def _is(value: Column, kind: str) -> Column:
+    """Whether a variant is of a JSON kind; false where it is missing."""
+    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit(kind)), F.lit(False))
 
 
-def _text(document: Column, path: str) -> Column:
-    """The string at ``path``; null for numbers, booleans and nulls."""
-    value = F.try_variant_get(document, path, "variant")
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(document, path, "string"))
+def _text(value: Column) -> Column:
+    """A variant's string; null for numbers, booleans and nulls."""
+    return F.when(_is(value, "STRING"), F.try_variant_get(value, "$", "string"))
 
 
-def _with_default(document: Column, path: str, default: str) -> Column:
-    """The string at ``path`` or ``default`` if the path is missing; null for any other value there."""
-    return F.when(_present(document, path), _text(document, path)).otherwise(F.lit(default))
+def _with_default(value: Column, default: str) -> Column:
+    """A variant's string, or ``default`` if it is missing; null for any other value."""
+    return F.when(value.isNull(), F.lit(default)).otherwise(_text(value))
 
 
-def _has_index(document: Column) -> Column:
+def _has_index(index: Column) -> Column:
     """False where the index is missing, null or the dash of a silent station."""
-    index = F.try_variant_get(document, "$.data.aqi", "variant")
-    dash = F.coalesce(F.try_variant_get(document, "$.data.aqi", "string") == "-", F.lit(False))
-    return index.isNotNull() & ~F.coalesce(F.is_variant_null(index), F.lit(True)) & ~dash
+    return ~(index.isNull() | _is(index, "VOID") | F.coalesce(_text(index) == "-", F.lit(False)))
 
 
 def parse_weather(documents: DataFrame) -> DataFrame:
@@ -64,18 +62,22 @@ def parse_weather(documents: DataFrame) -> DataFrame:
     measure that is missing or no number is null.
     """
     document = F.col("_document")
-    current = F.try_variant_get(document, "$.current", OBJECT)
     opened = documents.withColumn("_document", F.try_parse_json("raw_response")).select(
+        "city_id",
+        "fetched_at",
+        "_document",
+        F.try_variant_get(document, "$.timezone", "variant").alias("_zone"),
+        F.try_variant_get(document, "$.current", OBJECT).alias("_current"),
+        _fields(document, "$.current", list(WEATHER_FIELDS.values()), "variant").alias("_measured"),
+    )
+    read = opened.select(
         "city_id",
         "fetched_at",
         document.isNotNull().alias("_readable"),
-        F.coalesce(F.size(current) > 0, F.lit(False)).alias("_has_current"),
-        _with_default(document, "$.timezone", DEFAULT_ZONE).alias("_zone"),
-        local_minute(_text(document, "$.current.time")).alias("_local"),
-        *[
-            variant_double(document, f"$.current.{source}").alias(target)
-            for target, source in WEATHER_FIELDS.items()
-        ],
+        F.coalesce(F.size("_current") > 0, F.lit(False)).alias("_has_current"),
+        _with_default(F.col("_zone"), DEFAULT_ZONE).alias("_zone"),
+        local_minute(_text(F.try_element_at("_current", F.lit("time")))).alias("_local"),
+        variant_doubles([F.col(f"_measured.{source}") for source in WEATHER_FIELDS.values()]).alias("_numbers"),
     )
     status = (
         F.when(~F.col("_readable"), "unreadable")
@@ -85,11 +87,11 @@ def parse_weather(documents: DataFrame) -> DataFrame:
         .when(F.col("city_id").isNull(), "no city")
         .otherwise(OK)
     )
-    return opened.select(
+    return read.select(
         "city_id",
         date_key(F.col("_local")).alias("date_key"),
         zoned_instant(F.col("_local"), F.col("_zone")).alias("reading_ts"),
-        *WEATHER_FIELDS,
+        *[F.col("_numbers")[i].alias(name) for i, name in enumerate(WEATHER_FIELDS)],
         "fetched_at",
         status.alias("parse_status"),
     )
@@ -103,21 +105,29 @@ def parse_air_quality(documents: DataFrame) -> DataFrame:
     when required fields are checked.
     """
     document = F.col("_document")
-    offset = _with_default(document, "$.data.time.tz", DEFAULT_OFFSET)
-    clock = _text(document, "$.data.time.s")
-    paths = ["$.data.iaqi", *[f"$.data.iaqi.{name}" for name in POLLUTANTS]]
-    spoilt = [_present(document, path) & ~_is_object(document, path) for path in paths]
     opened = documents.withColumn("_document", F.try_parse_json("raw_response")).select(
+        "city_id",
+        "fetched_at",
+        "_document",
+        F.try_variant_get(document, "$.status", "variant").alias("_status"),
+        _fields(document, "$.data", ["aqi", "iaqi", "time"], "variant").alias("_data"),
+        _fields(document, "$.data.time", ["s", "tz"], "variant").alias("_time"),
+        _fields(document, "$.data.iaqi", POLLUTANTS, "variant").alias("_pollutants"),
+        _fields(document, "$.data.iaqi", POLLUTANTS, "struct<v variant>").alias("_measured"),
+    )
+    parts = [F.col("_data.iaqi"), *[F.col(f"_pollutants.{name}") for name in POLLUTANTS]]
+    clock = _text(F.col("_time.s"))
+    read = opened.select(
         "city_id",
         "fetched_at",
         document.isNotNull().alias("_readable"),
-        F.coalesce(_text(document, "$.status") == OK, F.lit(False)).alias("_answered"),
-        _has_index(document).alias("_has_index"),
+        F.coalesce(_text(F.col("_status")) == OK, F.lit(False)).alias("_answered"),
+        _has_index(F.col("_data.aqi")).alias("_has_index"),
         local_second(clock).alias("_local"),
-        offset_instant(clock, offset).alias("_instant"),
-        F.greatest(*spoilt).alias("_spoilt"),
-        variant_int(document, "$.data.aqi").alias("aqi_value"),
-        *[variant_double(document, f"$.data.iaqi.{name}.v").alias(name) for name in POLLUTANTS],
+        offset_instant(clock, _with_default(F.col("_time.tz"), DEFAULT_OFFSET)).alias("_instant"),
+        F.greatest(*[part.isNotNull() & ~_is(part, "OBJECT") for part in parts]).alias("_spoilt"),
+        variant_int(F.col("_data.aqi"), "$").alias("aqi_value"),
+        variant_doubles([F.col(f"_measured.{name}.v") for name in POLLUTANTS]).alias("_numbers"),
         F.try_variant_get(document, DOMINANT_POLLUTANT_PATH, "string").alias("dominant_pollutant"),
     )
     status = (
@@ -129,12 +139,12 @@ def parse_air_quality(documents: DataFrame) -> DataFrame:
         .when(F.col("city_id").isNull(), "no city")
         .otherwise(OK)
     )
-    return opened.select(
+    return read.select(
         "city_id",
         date_key(F.col("_local")).alias("date_key"),
         F.col("_instant").alias("reading_ts"),
         "aqi_value",
-        *POLLUTANTS,
+        *[F.col("_numbers")[i].alias(name) for i, name in enumerate(POLLUTANTS)],
         "dominant_pollutant",
         "fetched_at",
         status.alias("parse_status"),
@@ -156,21 +166,24 @@ def classify_attempts(attempts: DataFrame) -> DataFrame:
     no_station: any status but ok; no_data: no index value; ok: stored.
     """
     document = F.col("_document")
-    broken = ~F.coalesce(_is_object(document, "$"), F.lit(False))
-    answered = F.coalesce(_text(document, "$.status") == OK, F.lit(False))
-    no_object = _present(document, "$.data") & ~_is_object(document, "$.data")
+    opened = attempts.withColumn("_document", F.try_parse_json("raw_response")).withColumns(
+        {
+            "_status": F.try_variant_get(document, "$.status", "variant"),
+            "_data": F.try_variant_get(document, "$.data", "variant"),
+            "_index": F.try_variant_get(document, "$.data.aqi", "variant"),
+        }
+    )
     status = (
-        F.when(broken, "error")
-        .when(~answered, "no_station")
-        .when(no_object, "error")
-        .when(~_has_index(document), "no_data")
+        F.when(~_is(document, "OBJECT"), "error")
+        .when(~F.coalesce(_text(F.col("_status")) == OK, F.lit(False)), "no_station")
+        .when(F.col("_data").isNotNull() & ~_is(F.col("_data"), "OBJECT"), "error")
+        .when(~_has_index(F.col("_index")), "no_data")
         .otherwise(OK)
     )
     return (
-        attempts.withColumn("_document", F.try_parse_json("raw_response"))
-        .withColumn("status", status)
+        opened.withColumn("status", status)
         .withColumn("stored", F.col("status") == OK)
-        .drop("_document")
+        .drop("_document", "_status", "_data", "_index")
     )
 
 

@@ -21,6 +21,8 @@ def build_session(app_name: str = "skyledger", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # HotSpot leaves larger methods uncompiled; Spark then splits the work instead.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     defaults.update({key.replace("__", "."): value for key, value in conf.items()})
