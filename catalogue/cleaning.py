@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import clean, dimension
 from skyledger.schemas import CITY_CSV_COLUMNS
-from skyledger.session import scratch_dir
+from skyledger.session import scratch_dir, spread
 from skyledger.sources.city_csv import read_city_csv
 
 from .standins import as_text, dim_city, table
@@ -41,7 +41,8 @@ def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     signed = F.when(F.col("c_acctbal") < 0, "-").otherwise("")
     latitude = F.concat(signed, F.floor(F.abs(cents) / 8000).cast("string"), F.lit("."), F.lpad((F.abs(cents) % 8000).cast("string"), 4, "0"))
     return (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+        spread(customer)
+        .join(nation, F.col("c_nationkey") == nation.n_nationkey)
         .withColumn("cents", F.round(F.col("c_acctbal") * 100).cast("bigint"))
         .withColumn("digit", (F.abs("cents") % 10).cast("int"))
         .select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import parse
 from skyledger.schemas import POLLUTANTS
-from skyledger.session import scratch_dir
+from skyledger.session import scratch_dir, spread
 from skyledger.sources.landed import bronze_upsert, pair_batches, run_documents, to_bronze
 from skyledger.sources.tables import Warehouse
 
@@ -112,7 +112,7 @@ def air_quality_payload() -> Column:
 def documents(spark: SparkSession, sf_dir: str, payload: Column) -> DataFrame:
     """Every event as a document fetched at its own time, in a run of half an hour."""
     half = F.when(F.minute("ts") < 30, "00").otherwise("30")
-    attempts = events(spark, sf_dir).select(
+    attempts = spread(events(spark, sf_dir)).select(
         F.col("user_id").cast("int").alias("city_id"),
         F.col("event_type").alias("city_name"),
         F.col("ts").cast("timestamp").alias("fetched_at"),
@@ -160,7 +160,7 @@ def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = (
         F.when(_k(98, 99), F.lit(None)).when(_k(95, 97), F.lit('{"status":')).when(_k(94, 94), F.lit("[]")).otherwise(air_quality_payload())
     )
-    return events(spark, sf_dir).select("event_id", "user_id", payload.alias("raw_response"))
+    return spread(events(spark, sf_dir)).select("event_id", "user_id", payload.alias("raw_response"))
 
 
 def classify_api_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import integral, text_to_double
 from ..functions.text import is_blank, strip, title_case
 from ..schemas import CITY_CSV_COLUMNS
+from .barrier import computed_once
 from .merge import latest_per_key
 
 # Former city names, in lower case, and what they are called now.
@@ -46,7 +47,7 @@ def clean_cities(raw: DataFrame, renames: dict[str, str] | None = None) -> Clean
     every renamed row, also from rows dropped afterwards.
     """
     named = rename_historical(title_names(strip_all(raw)), HISTORICAL_NAMES if renames is None else renames)
-    judged = reject_reason(coerce_numbers(named))
+    judged = computed_once(reject_reason(coerce_numbers(named)))
     valid = judged.filter(F.col("reason").isNull()).select("ingest_seq", *CITY_CSV_COLUMNS)
     return CleanCities(
         cities=keep_last(valid),

@@ -23,16 +23,33 @@ def conform(
     are too long. ``rejected`` keeps the values given and lists ``violations``.
     With ``on_violation="fail"`` any violation raises instead.
     """
-    present = [field for field in schema if field.name in rows.columns]
-    found = [_violation(F.col(f.name), f, rules) for f in present]
-    marked = rows.withColumn("violations", F.array_compact(F.array(*found)))
+    marked = mark_violations(rows, schema, rules)
     clean = F.size("violations") == 0
     rejected = marked.filter(~clean)
     if on_violation == "fail" and (sample := rejected.select("violations").first()):
         raise ConstraintViolation(f"rows violate {sample.violations}")
-    others = [c for c in rows.columns if c not in schema.fieldNames()]
-    valid = marked.filter(clean).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in present], *others)
-    return valid, rejected
+    return fit(marked.filter(clean).drop("violations"), schema), rejected
+
+
+def mark_violations(rows: DataFrame, schema: T.StructType, rules: Rules) -> DataFrame:
+    """Add ``violations``: what each row breaks by itself."""
+    found = [_violation(F.col(f.name), f, rules) for f in schema if f.name in rows.columns]
+    return rows.withColumn("violations", F.array_compact(F.array(*found)))
+
+
+def mark_orphans(marked: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Add to ``violations`` where ``column`` has a value that is no key of ``parent``."""
+    keys = parent.select(F.col(parent_column).alias("_key")).distinct()
+    joined = marked.join(keys, F.col(column) == F.col("_key"), "left")
+    orphan = F.col(column).isNotNull() & F.col("_key").isNull()
+    unknown = F.when(orphan, F.array(F.lit(f"{column}: unknown"))).otherwise(F.array().cast("array<string>"))
+    return joined.withColumn("violations", F.concat("violations", unknown)).drop("_key")
+
+
+def fit(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast the columns that ``schema`` has, keep the others."""
+    types = {field.name: field.dataType for field in schema}
+    return rows.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in rows.columns])
 
 
 def _violation(column: Column, field: T.StructField, rules: Rules) -> Column:

@@ -70,7 +70,7 @@ def seed_aliases(seeds: DataFrame, dim_city: DataFrame) -> tuple[DataFrame, Data
 def merge_aliases(old: DataFrame, new: DataFrame, order: list[str], now: Column | None = None) -> DataFrame:
     """Insert aliases that are not there yet; an existing one, perhaps set by hand, is never changed."""
     now = F.current_timestamp() if now is None else now
-    candidates = new.select("raw_alias", *order, "canonical_city_id", "match_method")
+    candidates = new.select(*dict.fromkeys(["raw_alias", *order, "canonical_city_id", "match_method"]))
     absent = insert_absent(old, candidates, ["raw_alias"], order)
     fresh = number_rows(absent, "alias_id", ["raw_alias"], highest(old, "alias_id")).withColumn("created_at", now)
     return _shaped(old.select(*DIM_CITY_ALIAS.fieldNames()).unionByName(_shaped(fresh, DIM_CITY_ALIAS)), DIM_CITY_ALIAS)

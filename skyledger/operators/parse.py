@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import variant_doubles, variant_int
 from ..functions.times import date_key, local_minute, local_second, offset_instant, zoned_instant
 from ..schemas import POLLUTANTS
+from .barrier import computed_once
 
 OK = "ok"
 OBJECT = "map<string,variant>"
@@ -87,7 +88,7 @@ def parse_weather(documents: DataFrame) -> DataFrame:
         .when(F.col("city_id").isNull(), "no city")
         .otherwise(OK)
     )
-    return read.select(
+    rows = read.select(
         "city_id",
         date_key(F.col("_local")).alias("date_key"),
         zoned_instant(F.col("_local"), F.col("_zone")).alias("reading_ts"),
@@ -95,6 +96,7 @@ def parse_weather(documents: DataFrame) -> DataFrame:
         "fetched_at",
         status.alias("parse_status"),
     )
+    return computed_once(rows)
 
 
 def parse_air_quality(documents: DataFrame) -> DataFrame:
@@ -139,7 +141,7 @@ def parse_air_quality(documents: DataFrame) -> DataFrame:
         .when(F.col("city_id").isNull(), "no city")
         .otherwise(OK)
     )
-    return read.select(
+    rows = read.select(
         "city_id",
         date_key(F.col("_local")).alias("date_key"),
         F.col("_instant").alias("reading_ts"),
@@ -149,6 +151,7 @@ def parse_air_quality(documents: DataFrame) -> DataFrame:
         "fetched_at",
         status.alias("parse_status"),
     )
+    return computed_once(rows)
 
 
 def parsed(rows: DataFrame) -> DataFrame:
@@ -180,11 +183,8 @@ def classify_attempts(attempts: DataFrame) -> DataFrame:
         .when(~_has_index(F.col("_index")), "no_data")
         .otherwise(OK)
     )
-    return (
-        opened.withColumn("status", status)
-        .withColumn("stored", F.col("status") == OK)
-        .drop("_document", "_status", "_data", "_index")
-    )
+    classified = opened.withColumn("status", status).drop("_document", "_status", "_data", "_index")
+    return computed_once(classified).withColumn("stored", F.col("status") == OK)
 
 
 def outcome_counts(classified: DataFrame) -> DataFrame:

@@ -102,9 +102,13 @@ def best_matches(names: DataFrame, cities: DataFrame, cutoff: int = CUTOFF) -> D
     reduced to their best before the join, so the join never multiplies rows.
     Longer names share an unchanged stretch; those pairs are verified.
     """
+    # A name is small and multiplies into many forms: a fixed number of partitions
+    # keeps small inputs from being coalesced into one task before that.
+    partitions = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tokens = names.select("raw_name", sort_tokens(F.col("raw_name")).alias("text"))
-    probes = tokens.select("text").distinct()
-    candidates = cities.groupBy(sort_tokens(F.col("city_name")).alias("text")).agg(F.min("city_id").alias("city_id"))
+    probes = tokens.select("text").repartition(partitions, "text").distinct()
+    named = cities.select(sort_tokens(F.col("city_name")).alias("text"), "city_id").repartition(partitions, "text")
+    candidates = named.groupBy("text").agg(F.min("city_id").alias("city_id"))
     found = _short_matches(probes, candidates, cutoff).unionByName(_long_matches(probes, candidates, cutoff))
     best = found.groupBy("text").agg(F.max(F.struct("score", (-F.col("city_id")).alias("minus_id"))).alias("_best"))
     return tokens.join(best, "text").select(
@@ -126,28 +130,33 @@ def _most_deletions(length: int, cutoff: int) -> int:
 
 
 def _shortened(df: DataFrame, cutoff: int) -> DataFrame:
-    """Every form of ``text`` with a few characters deleted, itself included, as ``form``."""
+    """Every form of ``text`` with a few characters deleted, itself included, as ``form``.
+
+    Deletions go from left to right, so that no set of positions comes twice.
+    """
     length = F.length("text")
 
-    def without_one(forms: Column) -> Column:
-        return F.array_distinct(
-            F.flatten(
-                F.transform(
-                    forms,
-                    lambda form: F.transform(
-                        F.sequence(F.lit(1), F.length(form)),
-                        lambda i: F.concat(F.left(form, i - 1), F.substr(form, i + 1)),
-                    ),
-                )
+    def without_one_more(cuts: Column) -> Column:
+        def drop(cut: Column) -> Column:
+            form, start = cut["form"], cut["start"]
+            positions = F.when(start <= F.length(form), F.sequence(start, F.length(form))).otherwise(
+                F.array().cast("array<int>")
             )
-        )
+            return F.transform(
+                positions,
+                lambda i: F.struct(
+                    F.concat(F.left(form, i - 1), F.substr(form, i + 1)).alias("form"), i.alias("start")
+                ),
+            )
+
+        return F.flatten(F.transform(cuts, drop))
 
-    forms = [F.array(F.col("text"))]
-    for _ in range(_most_deletions(ENUMERATED_LENGTH, cutoff)):
-        forms.append(without_one(forms[-1]))
     allowed = F.call_function("div", length * (200 - 2 * cutoff), F.lit(200 - cutoff))
-    kept = [form if i == 0 else F.when(allowed >= i, form).otherwise(F.array()) for i, form in enumerate(forms)]
-    return df.filter(length <= ENUMERATED_LENGTH).withColumn("form", F.explode(F.concat(*kept)))
+    levels = [F.array(F.struct(F.col("text").alias("form"), F.lit(1).alias("start")))]
+    for deleted in range(1, _most_deletions(ENUMERATED_LENGTH, cutoff) + 1):
+        levels.append(F.when(allowed >= deleted, without_one_more(levels[-1])).otherwise(F.array_remove(levels[0], levels[0][0])))
+    cuts = F.explode(F.concat(*levels)).alias("cut")
+    return df.filter(length <= ENUMERATED_LENGTH).select(*df.columns, cuts).select(*df.columns, "cut.form")
 
 
 def _short_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> DataFrame:

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import PySparkValueError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.constraints import conform, split_foreign
+from ..operators.constraints import fit, mark_orphans, mark_violations
 from ..operators.dimension import active_cities
-from ..operators.merge import split_required
 from ..operators.parse import classify_attempts, parse_air_quality, parse_weather, parsed
 from ..schemas import AIR_QUALITY_REQUIRED, FACT_AIR_QUALITY, FACT_WEATHER, TABLE_RULES, WEATHER_REQUIRED
 from ..sources.landed import pair_batches, run_documents, to_bronze
@@ -77,23 +76,22 @@ _FACTS = {
 def load_rows(warehouse: Warehouse, table: str, rows: DataFrame, check_foreign: bool = True) -> FactLoad:
     """Validate parsed rows and merge them into ``table``.
 
-    ``loaded`` counts valid rows given, before equal keys collapse; rejects say
-    what is missing, does not fit, or refers to an unknown city or day.
+    ``loaded`` counts valid rows given, before equal keys collapse; rejects list
+    as ``violations`` what is missing, does not fit, or is an unknown city or day.
     """
     schema, required = _FACTS[table]
-    rows = warehouse.stage(rows, f"{table}_rows")
-    complete, incomplete = split_required(rows, required)
-    fitting, misfits = conform(complete, schema, TABLE_RULES[table])
-    rejects = incomplete.withColumnRenamed("missing", "violations").unionByName(misfits)
+    rules = TABLE_RULES[table]
+    strict = replace(rules, not_null=list(dict.fromkeys([*required, *rules.not_null])))
+    marked = mark_violations(rows, schema, strict)
     if check_foreign:
-        for column, (parent, parent_column) in TABLE_RULES[table].foreign.items():
-            fitting, orphans = split_foreign(fitting, column, warehouse.read(parent), parent_column)
-            reason = F.array(F.lit(f"{column}: unknown"))
-            rejects = rejects.unionByName(orphans.withColumn("violations", reason), allowMissingColumns=True)
-    valid = warehouse.stage(fitting, f"{table}_valid")
-    warehouse.merge_facts(table, valid)
-    loaded = valid.count()
-    return FactLoad(loaded=loaded, rejected=rows.count() - loaded, rejects=rejects)
+        for column, (parent, parent_column) in rules.foreign.items():
+            marked = mark_orphans(marked, column, warehouse.read(parent), parent_column)
+    # Read for the counts, the days touched, the merge and by whoever looks at the rejects.
+    staged = warehouse.stage(marked, f"{table}_rows")
+    valid = F.size("violations") == 0
+    counts = staged.agg(F.count_if(valid).alias("loaded"), F.count_if(~valid).alias("rejected")).first()
+    warehouse.merge_facts(table, fit(staged.filter(valid).drop("violations"), schema))
+    return FactLoad(counts.loaded, counts.rejected, staged.filter(~valid))
 
 
 def load_result(weather: FactLoad, air_quality: FactLoad) -> dict[str, int]:

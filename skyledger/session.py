@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -55,3 +55,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="skyledger-")
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Shuffle rows to all cores if the scan has fewer splits than there are cores.
+
+    Worth it before CPU-bound work on a small file, which is one split. Large
+    inputs have many splits and pass through unchanged; finding out runs no job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
