@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ from ..schemas import DQ_RESULTS, RUN_LOG
 from .checks import CHECKS, Check, evaluate
 
 
+# What a failed job raises: some causes reach Python unconverted.
+JobFailed = (PySparkException, Py4JJavaError)
+
+
 class GateFailed(RuntimeError):
     """At least one check failed. The results are recorded all the same."""
 
@@ -53,14 +58,14 @@ def collect_results(
     checks = CHECKS if checks is None else checks
     try:
         return evaluate(spark, tables, load_result, as_of, checks).orderBy("check_no").collect()
-    except PySparkException:
+    except JobFailed:
         return [_run_alone(spark, tables, load_result, as_of, check, n) for n, check in enumerate(checks, start=1)]
 
 
 def _run_alone(spark, tables, load_result, as_of, check: Check, number: int) -> Row:
     try:
         result = evaluate(spark, tables, load_result, as_of, [check]).first().asDict()
-    except PySparkException as error:
+    except JobFailed as error:
         details = f"check crashed: {str(error).splitlines()[0]}"
         result = dict(check_name=check.name, table_name=check.table, status="fail", details=details, metric=None)
     return Row(**{**result, "check_no": number})

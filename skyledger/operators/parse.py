@@ -91,7 +91,7 @@ def parse_weather(documents: DataFrame) -> DataFrame:
     rows = read.select(
         "city_id",
         date_key(F.col("_local")).alias("date_key"),
-        zoned_instant(F.col("_local"), F.col("_zone")).alias("reading_ts"),
+        zoned_instant(F.col("_local"), "_zone").alias("reading_ts"),
         *[F.col("_numbers")[i].alias(name) for i, name in enumerate(WEATHER_FIELDS)],
         "fetched_at",
         status.alias("parse_status"),

@@ -17,6 +17,10 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
+        # Hundreds of tiny plans: compiling each takes far longer than running it.
+        # The generated code is exercised by check_oracles.py.
+        spark__sql__codegen__wholeStage="false",
+        spark__sql__codegen__factoryMode="NO_CODEGEN",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -57,6 +57,12 @@ def air(documents, path=None, value=None):
     return parse.parse_air_quality(documents(changed(AIR, path, value) if path else AIR)).first()
 
 
+def each(documents, parser, payload, cases):
+    """The parsed row of every case, (path, value, ...), in one job."""
+    payloads = [changed(payload, path, value) for path, value, *_ in cases]
+    return list(zip(cases, parser(documents(*payloads)).collect(), strict=True))
+
+
 def test_weather_sample(documents):
     row = weather(documents)
     assert row.parse_status == "ok"
@@ -66,32 +72,28 @@ def test_weather_sample(documents):
     assert (row.pressure_hpa, row.wind_speed_kmh) == (1008.5, 15.2)
 
 
-@pytest.mark.parametrize(
-    "zone, instant",
-    [
-        ("America/New_York", datetime(2024, 9, 26, 18)),
-        ("Mars/Olympus", datetime(2024, 9, 26, 14)),
-        ("asia/kolkata", datetime(2024, 9, 26, 14)),
-        ("+05:30", datetime(2024, 9, 26, 14)),
-        (MISSING, datetime(2024, 9, 26, 14)),
-        ("ROC", datetime(2024, 9, 26, 6)),
-        ("EST", datetime(2024, 9, 26, 19)),
-    ],
-)
-def test_zones(documents, zone, instant):
-    row = weather(documents, "timezone", zone)
-    assert (row.reading_ts, row.date_key, row.parse_status) == (instant, 20240926, "ok")
+def test_zones(documents):
+    cases = [
+        ("timezone", "America/New_York", datetime(2024, 9, 26, 18)),
+        ("timezone", "Mars/Olympus", datetime(2024, 9, 26, 14)),
+        ("timezone", "asia/kolkata", datetime(2024, 9, 26, 14)),
+        ("timezone", "+05:30", datetime(2024, 9, 26, 14)),
+        ("timezone", MISSING, datetime(2024, 9, 26, 14)),
+        ("timezone", "ROC", datetime(2024, 9, 26, 6)),
+        ("timezone", "EST", datetime(2024, 9, 26, 19)),
+    ]
+    for (_, zone, instant), row in each(documents, parse.parse_weather, WEATHER, cases):
+        assert (row.reading_ts, row.date_key, row.parse_status) == (instant, 20240926, "ok"), zone
 
 
 def test_every_zone_is_known_to_the_jvm(spark):
     zones = spark.createDataFrame([(z,) for z in known_zones()], "zone string")
-    instants = zones.select(zoned_instant(F.lit("2024-07-01 12:00:00").cast("timestamp"), F.col("zone")).alias("t"))
+    instants = zones.select(zoned_instant(F.lit("2024-07-01 12:00:00").cast("timestamp"), "zone").alias("t"))
     assert instants.filter("t IS NOT NULL").count() == len(known_zones()) > 500
 
 
-@pytest.mark.parametrize(
-    "path, value, status",
-    [
+def test_spoilt_weather(documents):
+    cases = [
         ("timezone", None, "bad zone"),
         ("timezone", "", "bad zone"),
         ("timezone", 5, "bad zone"),
@@ -111,10 +113,9 @@ def test_every_zone_is_known_to_the_jvm(spark):
         ("current.time", "2024-09-26T24:00", "bad time"),
         ("current.time", "2024-009-26T14:00", "bad time"),
         ("current.time", 20240926, "bad time"),
-    ],
-)
-def test_spoilt_weather(documents, path, value, status):
-    assert weather(documents, path, value).parse_status == status
+    ]
+    for case, row in each(documents, parse.parse_weather, WEATHER, cases):
+        assert row.parse_status == case[2], case
 
 
 def test_short_clock_fields(documents):
@@ -135,19 +136,19 @@ def test_weather_without_city_or_json(documents):
     assert parse.parsed(rows).count() == 2
 
 
-@pytest.mark.parametrize("value", [MISSING, None, "sensor_error", "1.5d", "NaN", "inf", "0x10", [1], {"v": 1}])
-def test_measures_that_are_no_numbers(documents, value):
-    row = weather(documents, "current.temperature_2m", value)
-    assert row.parse_status == "ok" and row.temperature_c is None and row.humidity_pct == 78.0
+def test_measures_that_are_no_numbers(documents):
+    values = [MISSING, None, "sensor_error", "1.5d", "NaN", "inf", "0x10", [1], {"v": 1}]
+    cases = [("current.temperature_2m", value) for value in values]
+    for case, row in each(documents, parse.parse_weather, WEATHER, cases):
+        assert (row.parse_status, row.temperature_c, row.humidity_pct) == ("ok", None, 78.0), case
 
 
-@pytest.mark.parametrize(
-    "value, number",
-    [("31.5", 31.5), (" 31.5 ", 31.5), ("1_000", 1000.0), ("-1e2", -100.0), (".5", 0.5), ("5.", 5.0), (True, 1.0),
-     (False, 0.0), (-3, -3.0), (1e-7, 1e-7)],
-)
-def test_measures_that_are_numbers(documents, value, number):
-    assert weather(documents, "current.temperature_2m", value).temperature_c == number
+def test_measures_that_are_numbers(documents):
+    values = [("31.5", 31.5), (" 31.5 ", 31.5), ("1_000", 1000.0), ("-1e2", -100.0), (".5", 0.5), ("5.", 5.0), (True, 1.0),
+     (False, 0.0), (-3, -3.0), (1e-7, 1e-7)]
+    cases = [("current.temperature_2m", *pair) for pair in values]
+    for case, row in each(documents, parse.parse_weather, WEATHER, cases):
+        assert row.temperature_c == case[2], case
 
 
 def test_air_sample(documents):
@@ -158,9 +159,8 @@ def test_air_sample(documents):
     assert row.dominant_pollutant == "pm25"
 
 
-@pytest.mark.parametrize(
-    "path, value, status",
-    [
+def test_spoilt_air(documents):
+    cases = [
         ("status", "error", "no station"),
         ("status", MISSING, "no station"),
         ("status", True, "no station"),
@@ -182,18 +182,16 @@ def test_air_sample(documents):
         ("data.iaqi", [], "bad pollutant"),
         ("data.iaqi.co", None, "bad pollutant"),
         ("data.iaqi.o3", 5, "bad pollutant"),
-    ],
-)
-def test_spoilt_air(documents, path, value, status):
-    assert air(documents, path, value).parse_status == status
+    ]
+    for case, row in each(documents, parse.parse_air_quality, AIR, cases):
+        assert row.parse_status == case[2], case
 
 
-@pytest.mark.parametrize(
-    "offset, hour", [("+05:30", 8), ("+0530", 8), ("-03:00", 17), ("Z", 14), ("+00:00", 14), (MISSING, 14)]
-)
-def test_offsets(documents, offset, hour):
-    row = air(documents, "data.time.tz", offset)
-    assert (row.reading_ts.hour, row.date_key) == (hour, 20240926)
+def test_offsets(documents):
+    offsets = [("+05:30", 8), ("+0530", 8), ("-03:00", 17), ("Z", 14), ("+00:00", 14), (MISSING, 14)]
+    cases = [("data.time.tz", *pair) for pair in offsets]
+    for case, row in each(documents, parse.parse_air_quality, AIR, cases):
+        assert (row.reading_ts.hour, row.date_key) == (case[2], 20240926), case
 
 
 def test_spaces_in_the_clock(documents):
@@ -207,12 +205,11 @@ def test_sparse_pollutants(documents):
     assert air(documents, "data.iaqi", MISSING).parse_status == "ok"
 
 
-@pytest.mark.parametrize(
-    "value, index", [(87.9, 87), ("87", 87), (" 87 ", 87), ("+8_7", 87), ("87.5", None), ("high", None), (True, 1), (-3.7, -3)]
-)
-def test_index_values(documents, value, index):
-    row = air(documents, "data.aqi", value)
-    assert (row.aqi_value, row.parse_status) == (index, "ok")
+def test_index_values(documents):
+    values = [(87.9, 87), ("87", 87), (" 87 ", 87), ("+8_7", 87), ("87.5", None), ("high", None), (True, 1), (-3.7, -3)]
+    cases = [("data.aqi", *pair) for pair in values]
+    for case, row in each(documents, parse.parse_air_quality, AIR, cases):
+        assert (row.aqi_value, row.parse_status) == (case[2], "ok"), case
 
 
 def test_attempts_are_classified(documents, frame):
