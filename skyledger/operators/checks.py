@@ -225,7 +225,7 @@ def measure(
     surfaces here and takes down only the metrics that need it.
     """
     crashed: dict[str, str] = {}
-    parts: list[DataFrame] = []
+    parts = [_literal(spark, {"schema.missing": len(missing_columns(tables))})]
     for table, profiles in _profiles(as_of).items():
         for prepare, metrics in profiles:
             metrics = {name: column for name, column in metrics.items() if name in wanted}
@@ -238,9 +238,6 @@ def measure(
                     crashed[name] = str(error).splitlines()[0]
             if usable:
                 parts.append(_as_rows(prepare(tables[table]).agg(*[c.alias(n) for n, c in usable.items()])))
-    if "schema.missing" in wanted:
-        missing = missing_columns(tables)
-        parts.append(_literal(spark, {"schema.missing": len(missing)}))
     if isinstance(load_result, dict):
         load_result = spark.range(1).select(
             F.lit(load_result.get("weather_loaded", 0)).alias("weather_loaded"),

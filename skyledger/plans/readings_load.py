@@ -15,6 +15,7 @@ from ..schemas import AIR_QUALITY_REQUIRED, FACT_AIR_QUALITY, FACT_WEATHER, TABL
 from ..sources.landed import pair_batches, run_documents, to_bronze
 from ..sources.tables import Warehouse
 
+# What the bronze zone calls its two sources.
 WEATHER_API = "open_meteo"
 AIR_QUALITY_API = "waqi"
 

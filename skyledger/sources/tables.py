@@ -46,6 +46,13 @@ def utc_day(ts: str) -> Column:
     return F.col(ts).cast("date")
 
 
+def _values(df: DataFrame, column: Column) -> list:
+    """Distinct partition values. A century has 36,525 days, so they fit a literal
+    list; only literals prune partitions when the table is listed, as a join with
+    the batch does not look selective to the optimizer."""
+    return sorted(row[0] for row in df.select(column.alias("value")).distinct().collect())
+
+
 class Warehouse:
     """Tables below one folder that all executors share."""
 
@@ -91,9 +98,9 @@ class Warehouse:
     def merge_facts(self, table: str, new: DataFrame, order: list[str] | None = None) -> None:
         """Upsert readings into a fact, rewriting only the days ``new`` has rows for.
 
-        ``new`` should be staged: it is read for its days and for the merge. The
-        list of days bounds the broadcast (a century has 36,525). Rows are spread
-        by day with oversized days split, and sorted for min/max skipping.
+        ``new`` should be staged: it is read for its days and for the merge. Rows
+        are spread by day with oversized days split, and sorted for min/max
+        skipping.
         """
         order = order or ["fetched_at"]
         measures = MEASURES[table]
@@ -103,15 +110,20 @@ class Warehouse:
             reading_id(F.col("city_id"), F.col("reading_ts")).alias("reading_id"),
             *dict.fromkeys([*measures, *order]),
         )
-        days = F.broadcast(incoming.select(utc_day("reading_ts").alias(READING_DAY)).distinct())
-        touched = self.read(table).join(days, READING_DAY, "left_semi").drop(READING_DAY)
+        days = _values(incoming, utc_day("reading_ts"))
+        if not days:
+            return
+        touched = self.read(table).filter(F.col(READING_DAY).isin(days)).drop(READING_DAY)
         merged = merge_readings(touched, incoming, measures, order)
         self._overwrite_partitions(table, merged.withColumn(READING_DAY, utc_day("reading_ts")), schemas.READING_KEY)
 
     def merge_bronze(self, new: DataFrame) -> None:
         """Upsert documents into the bronze zone, rewriting only the days fetched."""
-        days = F.broadcast(new.select("source_api", utc_day("fetched_hour").alias(FETCHED_DAY)).distinct())
-        touched = self.read("bronze").join(days, ["source_api", FETCHED_DAY], "left_semi")
+        days = _values(new, utc_day("fetched_hour"))
+        if not days:
+            return
+        sources = _values(new, F.col("source_api"))
+        touched = self.read("bronze").filter(F.col(FETCHED_DAY).isin(days) & F.col("source_api").isin(sources))
         merged = bronze_upsert(touched, new)
         self._overwrite_partitions("bronze", merged.withColumn(FETCHED_DAY, utc_day("fetched_hour")), ["run_id", "city_id"])
 

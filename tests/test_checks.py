@@ -145,6 +145,12 @@ def test_crashed_checks_fail_and_the_rest_go_on(spark, frame):
     assert failed["range_humidity"].startswith("check crashed") and "humidity_pct" in failed["range_humidity"]
 
 
+def test_a_check_alone_without_its_table(spark):
+    chosen = [check for check in checks.CHECKS if check.name == "range_aqi"]
+    row = checks.evaluate(spark, {}, {}, F.lit(NOW), chosen).first()
+    assert row.status == "fail" and row.details.startswith("check crashed")
+
+
 def test_trend(frame):
     results = frame(
         "check_name string, status string, checked_at timestamp",

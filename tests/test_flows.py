@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skyledger.operators import gate
 from skyledger.operators.resolve import resolve_names
 from skyledger.plans import dimension_load, readings_load
+from skyledger.plans.analytics import rolling_24h_average
 from skyledger.schemas import BRONZE, CITY_CSV_COLUMNS
 from skyledger.session import scratch_dir
 from skyledger.sources.landed import pair_batches, run_documents
@@ -185,6 +186,29 @@ def test_merges_touch_only_their_days(spark, warehouse, frame):
     assert {f for f in facts.inputFiles() if "2024-09-26" in f} == files
 
 
+def test_report_and_run_scan_prune_partitions(warehouse, frame):
+    def pruned(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+
+    land_weather(frame, warehouse, "run-1", FETCHED, (["Mumbai"], weather_answer("2024-09-26T14:00", 30)))
+    readings_load.load_weather(warehouse, "run-1")
+    facts = warehouse.read("fact_weather_reading")
+    report = rolling_24h_average(facts, warehouse.read("dim_city"), F.lit(FETCHED - timedelta(days=7)))
+    assert report.count() == 1
+    assert any("reading_day" in filters for filters in pruned(report))
+    documents = run_documents(warehouse.read("bronze"), readings_load.WEATHER_API, "run-1")
+    assert any("source_api" in filters for filters in pruned(documents))
+
+
+def test_an_empty_batch_changes_nothing(warehouse, frame):
+    land_weather(frame, warehouse, "run-1", FETCHED, (["Mumbai"], weather_answer("2024-09-26T14:00", 30)))
+    assert readings_load.load_weather(warehouse, "run-1").loaded == 1
+    assert readings_load.load_weather(warehouse, "run-0").loaded == 0
+    warehouse.merge_bronze(warehouse.read("bronze").limit(0))
+    assert warehouse.read("bronze").count() == warehouse.read("fact_weather_reading").count() == 1
+
+
 def test_pairing_reports_missing_answers(frame):
     requests = frame("batch_id string, pos int, city_id int", ("a", 0, 1), ("b", 0, 2), ("b", 1, 3), ("c", 0, 4))
     responses = frame("batch_id string, body string", ("a", '{"x": 1}'), ("b", '[{"x": 2}]'), ("d", "[]"))
