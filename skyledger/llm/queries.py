@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import fingerprints, mixing, packing
 from .common import small_batches
-from . import packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +18,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
-QUERIES = {q.__name__: q for q in (op7_packing,)}
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digests(mixing.mix(mixing.units_of(table(spark, sf_dir, "documents"))))
+
+
+QUERIES = {q.__name__: q for q in (op2_fingerprints, op7_packing, op9_mixing)}
 ORACLES: dict[str, str] = {}
