@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, packing
+from . import fingerprints, mixing, packing, warc_zip
 from .common import small_batches
 
 
@@ -26,9 +26,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_zip.round_trip(spark, table(spark, sf_dir, "pages"), least_bytes=0)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(mixing.mix(mixing.units_of(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {q.__name__: q for q in (op2_fingerprints, op7_packing, op9_mixing)}
+QUERIES = {q.__name__: q for q in (op2_fingerprints, op7_packing, op8_warc_zip, op9_mixing)}
 ORACLES: dict[str, str] = {}
