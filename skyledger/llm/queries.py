@@ -4,26 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, packing, warc_zip
-from .common import small_batches
+from . import fingerprints, lattice_lm, mixing, packing, warc_zip
+from .common import remainder, small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def public_file(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 7) == 2
+    return lattice_lm.score(table(spark, sf_dir, "documents"), held_out, public_file("piece_bpe_32k.model"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json")))
 
 
 def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,5 +40,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(mixing.mix(mixing.units_of(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {q.__name__: q for q in (op2_fingerprints, op7_packing, op8_warc_zip, op9_mixing)}
+QUERIES = {q.__name__: q for q in (op2_fingerprints, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing)}
 ORACLES: dict[str, str] = {}
