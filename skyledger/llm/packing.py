@@ -17,6 +17,7 @@ whatever their length.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,10 @@ from .common import small_batches
 
 #: Documents and bytes of text in a group, on average. A group is packed in one call.
 GROUP_DOCS, GROUP_BYTES = 2048, 8 << 20
-#: Words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers before it starts afresh; of pieces, twice as many.
+REMEMBERED = 300_000
+#: Fixed value: how a byte-level pre-tokenizer cuts a text.
+PIECES_OF_TEXT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEED = 20240607
 
 PIECES = (
@@ -72,34 +75,66 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[int]:
     return found
 
 
+class PieceIds(dict):
+    """Ids, as little-endian 32-bit numbers, of one piece that the pre-tokenizer makes."""
+
+    def __init__(self, model) -> None:
+        super().__init__()
+        self.model = model
+        # Bytes that print stand for themselves, the others for characters from 256 on.
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        spare = iter(range(256, 512))
+        self.letters = {b: chr(b) if b in printable else chr(next(spare)) for b in range(256)}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= 2 * REMEMBERED:
+            self.clear()
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        self[piece] = ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return ids
+
+
 class WordIds(dict):
-    """Ids, as little-endian 32-bit numbers, of a space with the word after it.
+    """The same of a space with the word after it.
 
     The pre-tokenizer never joins what stands before a space to what stands
     after it, so a text without two white space characters in a row has the ids
-    of its words, one after the other.
+    of its words, one after the other. Other texts are encoded in one go.
     """
 
     def __init__(self, path: str) -> None:
+        import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.space_space = __import__("regex").compile(r"\s\s|^\s|\s$").search
+        if not isinstance(self.tokenizer.pre_tokenizer, ByteLevel) or self.tokenizer.normalizer is not None:
+            raise ValueError(f"{path} is not a byte-level tokenizer")
+        model = self.tokenizer.model
+        model._resize_cache(0)  # its own memory of words costs more than it saves
+        self.pieces, self.split = PieceIds(model), regex.compile(PIECES_OF_TEXT).findall
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.is_special = regex.compile("|".join([r"\s\s", r"^\s", r"\s$", *map(regex.escape, specials)])).search
 
     def encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = ids = self.encode(" " + word)
+        if word.isalpha():
+            ids = self.pieces[" " + word]
+        elif word[-1] in ".,;:!?" and word[:-1].isalpha():
+            ids = self.pieces[" " + word[:-1]] + self.pieces[word[-1]]
+        else:
+            ids = b"".join(map(self.pieces.__getitem__, self.split(" " + word)))
+        self[word] = ids
         return ids
 
     def of(self, text: str) -> bytes:
-        if self.space_space(text) or any(s in text for s in self.specials):
+        if self.is_special(text):
             return self.encode(text)
         first, *rest = text.split(" ")
         return self.encode(first) + b"".join(map(self.__getitem__, rest))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, lattice_lm, mixing, packing, warc_zip
+from . import fingerprints, langid, lattice_lm, mixing, packing, toxicity, warc_zip
 from .common import remainder, small_batches
 
 
@@ -22,9 +23,27 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def held_out(modulus: int, remains: int) -> Column:
+    """Whether a row is kept from training; rows with a null id are not."""
+    return F.coalesce(remainder("doc_id", modulus) == remains, F.lit(False))
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = langid.trained(docs.where(~held_out(4, 2)))
+    return langid.classified(docs.select("doc_id", held_out(4, 2).alias("held_out"), "text"), net).drop("text")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.trained(docs, labels.where(~held_out(3, 1)))
+    scored = toxicity.scored(docs.select("doc_id", held_out(3, 1).alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
 def op6_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = remainder("doc_id", 7) == 2
-    return lattice_lm.score(table(spark, sf_dir, "documents"), held_out, public_file("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents")
+    return lattice_lm.score(docs, held_out(7, 2), public_file("piece_bpe_32k.model"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,5 +59,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(mixing.mix(mixing.units_of(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {q.__name__: q for q in (op2_fingerprints, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing)}
+QUERIES = {q.__name__: q for q in (op2_fingerprints, op3_langid, op5_toxicity, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing)}
 ORACLES: dict[str, str] = {}
