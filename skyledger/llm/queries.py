@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, lattice_lm, mixing, packing, toxicity, warc_zip
+from . import fingerprints, html_crf, langid, lattice_lm, mixing, packing, toxicity, warc_zip
 from .common import remainder, small_batches
 
 
@@ -34,6 +34,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classified(docs.select("doc_id", held_out(4, 2).alias("held_out"), "text"), net).drop("text")
 
 
+def op4_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extracted(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.trained(docs, labels.where(~held_out(3, 1)))
@@ -59,5 +63,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(mixing.mix(mixing.units_of(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {q.__name__: q for q in (op2_fingerprints, op3_langid, op5_toxicity, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing)}
+QUERIES = {q.__name__: q for q in (op2_fingerprints, op3_langid, op4_html_crf, op5_toxicity, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing)}
 ORACLES: dict[str, str] = {}
