@@ -119,19 +119,23 @@ def edited_fingerprints(
     of the next document, or by all of that.
     """
     texts = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
+    )
+    lengths = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_column).alias("doc_id"),
-        F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+        F.coalesce(F.length(text_column), F.lit(0)).alias("n"),
     )
-    lengths = texts.select("row", "doc_id", F.length("text").alias("n"))
+    # The ids travel with the order, so that both joins read the same columns of the texts from one shuffle.
     following = stored(
         followers(lengths, "doc_id").select(
-            F.col("row").alias("_row"), "next_row", F.floor(F.col("n") / 4).cast("int").alias("_cut")
+            F.col("row").alias("_row"), "doc_id", "next_row", F.floor(F.col("n") / 4).cast("int").alias("_cut")
         ),
         "following",
     )
     heads = texts.join(following, F.col("row") == F.col("next_row")).select(
         "_row",
+        "doc_id",
         "_cut",
         F.substring("text", F.lit(1), F.col("_cut")).alias("_head"),
         sketch(F.col("text"), scale, shingle).alias("next_hashes"),

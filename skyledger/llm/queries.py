@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_crf, langid, lattice_lm, mixing, packing, toxicity, warc_zip
+from . import fingerprints, html_crf, langid, lattice_lm, mixing, ngram_join, packing, toxicity, warc_zip
 from .common import remainder, small_batches
 
 
@@ -19,6 +19,10 @@ def public_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), share=(90, 100), n=3)
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -63,5 +67,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(mixing.mix(mixing.units_of(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {q.__name__: q for q in (op2_fingerprints, op3_langid, op4_html_crf, op5_toxicity, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing)}
+QUERIES = {q.__name__: q for q in (op1_ngram_join, op2_fingerprints, op3_langid, op4_html_crf, op5_toxicity, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing)}
 ORACLES: dict[str, str] = {}
