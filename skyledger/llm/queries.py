@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_crf, langid, lattice_lm, mixing, ngram_join, packing, toxicity, warc_zip
+from . import ann, fingerprints, html_crf, langid, lattice_lm, mixing, ngram_join, packing, toxicity, warc_zip
 from .common import remainder, small_batches
 
 
@@ -67,5 +67,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(mixing.mix(mixing.units_of(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {q.__name__: q for q in (op1_ngram_join, op2_fingerprints, op3_langid, op4_html_crf, op5_toxicity, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing)}
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+QUERIES = {q.__name__: q for q in (op1_ngram_join, op2_fingerprints, op3_langid, op4_html_crf, op5_toxicity, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing, op10_ann)}
 ORACLES: dict[str, str] = {}
