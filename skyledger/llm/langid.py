@@ -205,9 +205,8 @@ def predict(texts: list[str | None], net: ByteCnn | None) -> list[tuple[str, flo
     return out
 
 
-def classified(df: DataFrame, net: ByteCnn | None, text_column: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``."""
-    small_batches(df.sparkSession)
+def prediction(net: ByteCnn | None, text: Column) -> Column:
+    """A struct of ``lang_pred`` and ``score`` of a text column."""
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     @F.pandas_udf(kind)
@@ -215,6 +214,12 @@ def classified(df: DataFrame, net: ByteCnn | None, text_column: str = "text") ->
         for texts in batches:
             yield pd.DataFrame(predict(texts.where(texts.notna(), None).tolist(), net), columns=["lang_pred", "score"])
 
-    found: Column = column(F.col(text_column))
+    return column(text)
+
+
+def classified(df: DataFrame, net: ByteCnn | None, text_column: str = "text") -> DataFrame:
+    """``df`` with ``lang_pred`` and ``score``."""
+    small_batches(df.sparkSession)
     kept = [c for c in df.columns if c not in ("lang_pred", "score")]
-    return df.withColumn("_found", found).select(*kept, "_found.lang_pred", "_found.score")
+    found = df.withColumn("_found", prediction(net, F.col(text_column)))
+    return found.select(*kept, "_found.lang_pred", "_found.score")

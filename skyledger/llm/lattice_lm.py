@@ -44,7 +44,8 @@ CHUNK_BITS = 12
 MOST_WORDS = 1_000_000
 #: Characters of words that go through the recursion at a time.
 CELLS = 300_000
-ROUNDS = 2
+ROUNDS = 3
+FILTER_BITS = 20
 SMOOTHING = 0.1
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -63,6 +64,7 @@ class Vocabulary:
     numbers: dict[int, np.ndarray]
     bytes: np.ndarray
     prior: np.ndarray  # log of the first weights, by piece
+    likely: np.ndarray  # whether any piece's hash begins with these bits; most of a word's substrings stop here
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -88,7 +90,10 @@ class Vocabulary:
         numbers = {n: np.array([k for _, k in sorted(x)]) for n, x in sorted(by_length.items())}
         with np.errstate(divide="ignore"):
             prior = np.log(weights / weights.sum())
-        return cls(hashes, numbers, spelled, prior)
+        likely = np.zeros(1 << FILTER_BITS, bool)
+        for known in hashes.values():
+            likely[(known >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        return cls(hashes, numbers, spelled, prior, likely)
 
 
 def _hash_of(piece: str) -> int:
@@ -121,10 +126,13 @@ class Lattice:
             rolling = rolling[:, : length - n + 1] * _PRIME + plain[:, n - 1 :]
             if n in vocabulary.hashes:
                 known = vocabulary.hashes[n]
-                at = np.searchsorted(known, rolling)
+                word, start = np.nonzero(vocabulary.likely[(rolling >> np.uint64(64 - FILTER_BITS)).astype(np.int32)])
+                own = rolling[word, start]
+                at = np.searchsorted(known, own)
                 at[at == len(known)] = 0
-                word, start = np.nonzero(known[at] == rolling)
-                arcs.append((n, word, start, vocabulary.numbers[n][at[word, start]]))
+                found = np.flatnonzero(known[at] == own)
+                word, start = word[found], start[found]
+                arcs.append((n, word, start, vocabulary.numbers[n][at[found]]))
                 if n == 1:
                     covered[word, start] = True
         word, start = np.nonzero(~covered)
@@ -134,24 +142,37 @@ class Lattice:
         """For each piece length the log weight of the piece at each start, or minus infinity."""
         weights = {}
         for n, word, start, number in self.arcs:
-            weights[n] = np.full((self.words, self.length - n + 1), -np.inf)
-            weights[n][word, start] = logs[number]
+            if len(word):
+                weights[n] = np.full((self.length - n + 1, self.words), -np.inf)
+                weights[n][start, word] = logs[number]
         word, start, code = self.spelled
         if len(code):
-            weights.setdefault(1, np.full((self.words, self.length), -np.inf))
+            weights.setdefault(1, np.full((self.length, self.words), -np.inf))
             distinct, at = np.unique(code, return_inverse=True)
             own = np.array([logs[vocabulary.bytes[list(chr(c).encode("utf-8", "replace"))]].sum() for c in distinct])
-            weights[1][word, start] = own[at]
+            weights[1][start, word] = own[at]
         return weights
 
 
+def _summed(ways: list[np.ndarray]) -> np.ndarray:
+    """Log of the sum of the exponentials of the ways."""
+    if len(ways) == 1:
+        return ways[0]
+    top = np.maximum.reduce(ways)
+    top = np.where(np.isfinite(top), top, 0)
+    total = np.exp(ways[0] - top)
+    for way in ways[1:]:
+        total += np.exp(way - top)
+    with np.errstate(divide="ignore"):
+        return top + np.log(total)
+
+
 def forward(weights: dict[int, np.ndarray], words: int, length: int) -> np.ndarray:
     """Log of the summed probability of all segmentations of each prefix."""
     alpha = np.full((length + 1, words), -np.inf)
     alpha[0] = 0
     for j in range(1, length + 1):
-        ways = [alpha[j - n] + w[:, j - n] for n, w in weights.items() if n <= j]
-        alpha[j] = np.logaddexp.reduce(ways) if len(ways) > 1 else ways[0]
+        alpha[j] = _summed([alpha[j - n] + w[j - n] for n, w in weights.items() if n <= j])
     return alpha
 
 
@@ -160,8 +181,7 @@ def backward(weights: dict[int, np.ndarray], words: int, length: int) -> np.ndar
     beta = np.full((length + 1, words), -np.inf)
     beta[length] = 0
     for j in range(length - 1, -1, -1):
-        ways = [beta[j + n] + w[:, j] for n, w in weights.items() if n <= length - j]
-        beta[j] = np.logaddexp.reduce(ways) if len(ways) > 1 else ways[0]
+        beta[j] = _summed([beta[j + n] + w[j] for n, w in weights.items() if n <= length - j])
     return beta
 
 
@@ -198,11 +218,13 @@ def expected_counts(words: list[str], counts: np.ndarray, logs: np.ndarray, voca
         beta = backward(weights, lattice.words, lattice.length)
         times = counts[places]
         for n, word, start, number in lattice.arcs:
-            share = np.exp(alpha[start, word] + weights[n][word, start] + beta[start + n, word] - alpha[-1, word])
+            if not len(word):
+                continue
+            share = np.exp(alpha[start, word] + weights[n][start, word] + beta[start + n, word] - alpha[-1, word])
             out += np.bincount(number, share * times[word], len(out))
         word, start, code = lattice.spelled
         if len(code):
-            share = np.exp(alpha[start, word] + weights[1][word, start] + beta[start + 1, word] - alpha[-1, word])
+            share = np.exp(alpha[start, word] + weights[1][start, word] + beta[start + 1, word] - alpha[-1, word])
             for c, s in zip(code, share * times[word], strict=True):
                 np.add.at(out, vocabulary.bytes[list(chr(c).encode("utf-8", "replace"))], s)
     return out
@@ -236,16 +258,14 @@ def _chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk, counts = None, Counter()
 
     def flush() -> Iterator[pa.RecordBatch]:
-        words = sorted(counts)
-        for k in range(0, len(words), 100_000):
-            part = words[k : k + 100_000]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "chunk": pa.array([chunk] * len(part), pa.int64()),
-                    "word": pa.array(part, pa.binary()),
-                    "n": pa.array([counts[w] for w in part], pa.int64()),
-                }
-            )
+        table = pa.table(
+            {
+                "chunk": pa.array(np.full(len(counts), chunk if counts else 0, np.int64)),
+                "word": pa.array(list(counts), pa.binary()),
+                "n": pa.array(list(counts.values()), pa.int64()),
+            }
+        )
+        yield from table.to_batches(max_chunksize=100_000)
 
     for batch in batches:
         for own, held, text in zip(*(batch[c].to_pylist() for c in ("chunk", "held_out", "text")), strict=True):
@@ -254,7 +274,8 @@ def _chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chunk, counts = own, Counter()
             words = words_of(text)
             if held:
-                counts.update(dict.fromkeys(set(words) - counts.keys(), 0))
+                for word in words:
+                    counts.setdefault(word, 0)
             else:
                 counts.update(words)
     yield from flush()

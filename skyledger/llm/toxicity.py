@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, uniform
@@ -199,9 +199,8 @@ def trained(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_
     return model
 
 
-def scored(df: DataFrame, model: ToxicityModel, text_column: str = "text", score_column: str = "score") -> DataFrame:
-    """``df`` with the score of each text, 0 to 1."""
-    small_batches(df.sparkSession)
+def score(model: ToxicityModel, text: Column) -> Column:
+    """The score of a text column, 0 to 1."""
 
     @F.pandas_udf("double")
     def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -210,4 +209,10 @@ def scored(df: DataFrame, model: ToxicityModel, text_column: str = "text", score
             features = [features_of(t, compressors) for t in texts.where(texts.notna(), None)]
             yield pd.Series(model.scores(np.array(features).reshape(len(features), -1)))
 
-    return df.withColumn(score_column, column(F.col(text_column)))
+    return column(text)
+
+
+def scored(df: DataFrame, model: ToxicityModel, text_column: str = "text", score_column: str = "score") -> DataFrame:
+    """``df`` with the score of each text."""
+    small_batches(df.sparkSession)
+    return df.withColumn(score_column, score(model, F.col(text_column)))
