@@ -155,10 +155,14 @@ class Grammar:
         self.out.append(f"</{kind[0]}>" + ("</tr></table>" if cell else ""))
 
     def page(self) -> tuple[str, list[int]]:
-        wrapped = self.r.choice(WRAPPERS)
+        wrapped, bare = self.r.choice(WRAPPERS), self.r.random() < 0.1
         self.out.append(f"<!DOCTYPE html><html><head><title>{self.words(1, 5)}</title><style>p{{}}</style></head><body>")
         if wrapped:
             self.out.append(self.open(("div", wrapped)))
+        if bare:  # nothing but an article
+            self.article()
+            self.out.append("</body></html>")
+            return "".join(self.out), self.labels
         self.frame(0.4, (NOTICES, ""), (HEADERS, "bare"), (HEADERS, "links"), (ADVERTS, ""))
         self.frame(0.75, (MENUS, "links"))
         self.frame(0.3, (ADVERTS, ""), (SIDEBARS, "links"), (NOTICES, "bare"))

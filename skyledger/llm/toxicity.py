@@ -64,6 +64,8 @@ class ToxicityModel:
     toxic: bytes = b""
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
+    least: np.ndarray | None = None  # the range of each feature in the calibration; others are drawn into it
+    most: np.ndarray | None = None
     weights: np.ndarray | None = None
     constant: float = 0.0
 
@@ -84,6 +86,7 @@ class ToxicityModel:
     def scores(self, features: np.ndarray) -> np.ndarray:
         if self.weights is None:
             return np.full(len(features), self.constant)
+        features = np.clip(features, self.least, self.most)
         return _logistic((features - self.mean) / self.spread @ self.weights[:-1] + self.weights[-1])
 
 
@@ -123,7 +126,7 @@ def dictionaries(ordinary: list[bytes], toxic: list[bytes]) -> tuple[bytes, byte
     return trained(ORDINARY_BYTES, windows, 64, 6), trained(TOXIC_BYTES, [s for s in apart if s], 24, 6)
 
 
-def calibrated(features: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def calibrated(features: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, ...]:
     """A logistic regression, shifted so that the cut with the best F1 scores ``CUT``."""
     mean, spread = features.mean(0), features.std(0) + 1e-9
     x = np.c_[(features - mean) / spread, np.ones(len(features))]
@@ -140,7 +143,7 @@ def calibrated(features: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np
     best = int(np.argmax(2 * hits / (said + labels.sum())))
     cut = (z[order[best]] + z[order[min(best + 1, len(z) - 1)]]) / 2
     weights[-1] += np.log(CUT / (1 - CUT)) - cut
-    return mean, spread, weights
+    return mean, spread, features.min(0), features.max(0), weights
 
 
 def trained(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> ToxicityModel:
@@ -195,7 +198,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_
         return ToxicityModel(constant=float(len(toxic) > len(ordinary)))
     order = np.lexsort(np.array(measured["features"].tolist()).T)
     found, kinds = np.array(measured["features"].tolist())[order], measured["label"].to_numpy()[order]
-    model.mean, model.spread, model.weights = calibrated(found, kinds)
+    model.mean, model.spread, model.least, model.most, model.weights = calibrated(found, kinds)
     return model
 
 
