@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.times import date_key
+from skyledger.operators.calendar import spine_over
 from skyledger.operators.merge import latest_per_key, mark_missing, merge_readings
 from skyledger.operators.parse import parse_air_quality, parse_weather, parsed
 from skyledger.plans.readings_load import load_rows
-from skyledger.schemas import AIR_QUALITY_MEASURES, AIR_QUALITY_REQUIRED, BRONZE, POLLUTANTS
+from skyledger.schemas import AIR_QUALITY_MEASURES, AIR_QUALITY_REQUIRED, BRONZE, POLLUTANTS, WEATHER_MEASURES
 from skyledger.session import scratch_dir
 from skyledger.sources.tables import Warehouse
 from skyledger.streaming.incremental import ingest_new_documents
 
 from .parsing import EVENTS_CTE, MICROS, air_quality_payload, documents, weather_payload
-from .standins import as_text, events
+from .standins import as_text, dim_city, events
 
 MEASURES = ["temperature_c", "fetched_at"]
 FIRST_TYPES = ["view", "click", "purchase"]
@@ -69,11 +70,16 @@ def fact_merge_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def aqi_fact_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed air-quality documents of every nation-wide hour, merged on the second."""
-    rows = parsed(parse_air_quality(documents(spark, sf_dir, air_quality_payload())))
-    rows = rows.withColumn("city_id", F.col("city_id") % 7).withColumn("reading_ts", F.date_trunc("hour", "reading_ts"))
-    early = F.hour("fetched_at") < 12
-    morning = merge_readings(rows.limit(0), rows.filter(early), AIR_QUALITY_MEASURES)
-    merged = merge_readings(morning, rows.filter(~early), AIR_QUALITY_MEASURES)
+    docs, early = documents(spark, sf_dir, air_quality_payload()), F.hour("fetched_at") < 12
+
+    def rows(of: DataFrame) -> DataFrame:
+        """Documents are picked before they are parsed: no filter gets below the parser."""
+        read = parsed(parse_air_quality(of))
+        return read.withColumns({"city_id": F.col("city_id") % 7, "reading_ts": F.date_trunc("hour", "reading_ts")})
+
+    first = rows(docs.filter(early))
+    morning = merge_readings(first.filter(F.lit(False)), first, AIR_QUALITY_MEASURES)
+    merged = merge_readings(morning, rows(docs.filter(~early)), AIR_QUALITY_MEASURES)
     return merged.select(
         F.col("city_id").cast("bigint").alias("city_id"), as_text("reading_ts").alias("reading_ts"),
         F.col("aqi_value").cast("bigint").alias("aqi_value"), *POLLUTANTS, "dominant_pollutant",
@@ -135,7 +141,71 @@ def stream_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_fact(warehouse)
 
 
+def _with_parents(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
+    """A warehouse that knows the active cities and the days of all events."""
+    warehouse = Warehouse(spark, scratch_dir(spark, label))
+    cities = dim_city(spark, sf_dir).filter("is_active")
+    absent = {n: F.lit(None) for n in ("latitude", "longitude", "tier", "population", "created_at", "updated_at")}
+    warehouse.replace("dim_city", cities.withColumns(absent))
+    warehouse.replace("dim_date", spine_over(events(spark, sf_dir), "ts"))
+    return warehouse
+
+
+def _left_over(warehouse: Warehouse, path: str, loaded: int | None) -> DataFrame:
+    """What a warehouse says became of its documents."""
+    lost = warehouse.read("load_rejects").select("kind", F.explode("violations").alias("reason"))
+    counted = lost.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("documents"))
+    stored = warehouse.read("fact_weather_reading").agg(
+        F.lit("stored").alias("kind"), F.lit("").alias("reason"), F.count(F.lit(1)).alias("documents")
+    )
+    parts = counted.unionByName(stored)
+    if loaded is not None:
+        parts = parts.unionByName(
+            warehouse.spark.range(1).select(
+                F.lit("loaded").alias("kind"), F.lit("").alias("reason"), F.lit(loaded).cast("bigint").alias("documents")
+            )
+        )
+    return parts.withColumn("path", F.lit(path))
+
+
+def stored_load_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of every weather document, in two batches with the second given twice, and in a stream that is replayed."""
+    docs, known = documents(spark, sf_dir, weather_payload()), "fact_weather_reading"
+    warehouse = _with_parents(spark, sf_dir, "outcomes")
+    loads = [
+        load_rows(warehouse, known, parse_weather(docs.filter(F.col("city_name").isin(types))), name)
+        for name, types in (("first", FIRST_TYPES), ("next", NEXT_TYPES), ("next", NEXT_TYPES))
+    ]
+    streamed = _with_parents(spark, sf_dir, "streamed_outcomes")
+    landing = scratch_dir(spark, "landing")
+    for types in (FIRST_TYPES, NEXT_TYPES):
+        docs.filter(F.col("city_name").isin(types)).select(*BRONZE.fieldNames()).write.mode("append").parquet(landing)
+    for _ in range(2):  # a stream that has lost its checkpoint starts from the first file again
+        ingest_new_documents(streamed, landing, known, f"{scratch_dir(spark, 'run')}/outcomes").awaitTermination()
+    return _left_over(warehouse, "batch", loads[0].loaded + loads[1].loaded).unionByName(_left_over(streamed, "stream", None))
+
+
+def reading_ids_subsecond(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored readings a few microseconds apart: as many ids as rows."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "subsecond"))
+    shifted = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id"))
+    rows = events(spark, sf_dir).select(
+        F.col("user_id").cast("int").alias("city_id"), shifted.alias("reading_ts"), date_key(F.col("ts")).cast("int").alias("date_key"),
+        *[F.lit(None).cast("decimal(5,2)").alias(m) for m in WEATHER_MEASURES if m != "fetched_at"],
+        F.col("ts").cast("timestamp").alias("fetched_at"),
+    )
+    with warehouse.scratch() as stage:
+        warehouse.merge_facts("fact_weather_reading", stage(rows, "rows"))
+    return warehouse.read("fact_weather_reading").agg(
+        F.count(F.lit(1)).alias("readings"),
+        F.count_distinct("reading_id").alias("ids"),
+        F.count_if(F.col("reading_id") < 0).alias("hashed_ids"),
+    )
+
+
 QUERIES = {
+    "stored_load_outcomes": stored_load_outcomes,
+    "reading_ids_subsecond": reading_ids_subsecond,
     "fact_merge": fact_merge,
     "fact_merge_twice": fact_merge_twice,
     "aqi_fact_merge": aqi_fact_merge,
@@ -182,6 +252,29 @@ FROM merged
 """
 
 ORACLES = {
+    "stored_load_outcomes": f"""
+WITH e AS ({EVENTS_CTE}), local AS (
+  SELECT e.*, c_acctbal >= 0 AS known, if(event_type = 'purchase', 2, 1) AS times,
+    date_trunc('minute', ts) - CASE event_type WHEN 'view' THEN INTERVAL 330 MINUTES
+      WHEN 'click' THEN INTERVAL (-300) MINUTES ELSE INTERVAL 0 MINUTES END AS reading_ts,
+    CASE WHEN k = 8 THEN 'unreadable' WHEN k IN (5, 6, 7) THEN 'no current block'
+         WHEN k < 5 THEN 'bad time' WHEN k = 9 THEN 'bad zone' ELSE 'ok' END AS parse_status
+  FROM e LEFT JOIN customer ON user_id = c_custkey
+), found AS (
+  SELECT 'spoilt' AS kind, parse_status AS reason, sum(times)::bigint AS documents FROM local
+  WHERE parse_status <> 'ok' GROUP BY ALL
+  UNION ALL SELECT 'rejected', 'city_id: unknown', sum(times)::bigint FROM local
+  WHERE parse_status = 'ok' AND NOT coalesce(known, false) HAVING count(*) > 0
+  UNION ALL SELECT 'stored', '', count(DISTINCT (user_id, reading_ts)) FROM local WHERE parse_status = 'ok' AND known
+)
+SELECT 'batch' AS path, * FROM found
+UNION ALL SELECT 'batch', 'loaded', '', sum(times)::bigint FROM local WHERE parse_status = 'ok' AND known
+UNION ALL SELECT 'stream', * FROM found
+""",
+    "reading_ids_subsecond": """
+WITH r AS (SELECT DISTINCT user_id, ts + to_microseconds(event_id) AS t FROM events)
+SELECT count(*) AS readings, count(*) AS ids, count(*) FILTER (epoch_us(t) % 1000000 <> 0) AS hashed_ids FROM r
+""",
     "fact_merge": _MERGED,
     "fact_merge_twice": _MERGED,
     "aqi_fact_merge": f"""

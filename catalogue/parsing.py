@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from skyledger.operators import parse
 from skyledger.schemas import POLLUTANTS
 from skyledger.session import scratch_dir, spread
-from skyledger.sources.landed import bronze_upsert, pair_batches, run_documents, to_bronze
+from skyledger.sources.landed import bronze_upsert, pair_batches, to_bronze
 from skyledger.sources.tables import Warehouse
 
 from .standins import as_text, events, table
@@ -241,12 +241,21 @@ def incremental_run_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.merge_bronze(docs.filter(first))
     warehouse.merge_bronze(docs.filter(~first))
     newest = docs.agg(F.max("run_id")).first()[0]
-    return run_documents(warehouse.read("bronze"), "api", newest).select(
+    return warehouse.run_documents("api", newest).select(
         F.col("city_id").cast("bigint").alias("city_id"), "city_name", as_text("fetched_at").alias("fetched_at"), "run_id"
     )
 
 
+def bronze_rerun_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, then corrected ones of two types fetched at the same instant, by a run whose name sorts before."""
+    docs = documents(spark, sf_dir, weather_payload())
+    corrected = docs.filter(F.col("city_name").isin("signup", "error")).withColumn("run_id", F.lit("run-10"))
+    merged = bronze_upsert(docs.withColumn("run_id", F.lit("run-9")), corrected)
+    return merged.groupBy("run_id").agg(F.count(F.lit(1)).alias("documents"))
+
+
 QUERIES = {
+    "bronze_rerun_wins": bronze_rerun_wins,
     "parse_weather_payload": parse_weather_payload,
     "parse_weather_outcomes": parse_weather_outcomes,
     "parse_aqi_payload": parse_aqi_payload,
@@ -306,11 +315,18 @@ WITH latest AS (
   SELECT c_nationkey AS city_id, event_type, ts, strftime(ts, '%Y-%m-%dT%H:')
          || CASE WHEN minute(ts) < 30 THEN '00' ELSE '30' END AS run_id
   FROM events JOIN customer ON user_id = c_custkey
-  QUALIFY row_number() OVER (PARTITION BY c_nationkey, date_trunc('hour', ts) ORDER BY ts DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY c_nationkey, date_trunc('hour', ts)
+                              ORDER BY event_type IN ('signup', 'error') DESC, ts DESC) = 1
 )
 """
 
 ORACLES = {
+    "bronze_rerun_wins": """
+WITH keys AS (
+  SELECT bool_or(event_type IN ('signup', 'error')) AS corrected FROM events GROUP BY user_id, date_trunc('hour', ts)
+)
+SELECT if(corrected, 'run-10', 'run-9') AS run_id, count(*) AS documents FROM keys GROUP BY 1
+""",
     "parse_weather_payload": f"""{_WEATHER}
 SELECT user_id AS city_id, cast(strftime(clock, '%Y%m%d') AS bigint) AS date_key,
        strftime(clock - shift, {MICROS}) AS reading_ts,

@@ -13,6 +13,9 @@ from skyledger.operators.calendar import spine_over
 from skyledger.operators.constraints import audit
 from skyledger.operators.merge import load_summary
 from skyledger.schemas import AIR_QUALITY_REQUIRED, DIM_CITY, FACT_AIR_QUALITY, TABLE_RULES, WEATHER_REQUIRED
+from skyledger.session import scratch_dir
+from skyledger.sources.tables import Warehouse
+from skyledger.sources.versions import VersionedTable
 
 from .resolving import known_aliases, named_cities, spelled_names
 from .standins import MEASURE, before_latest_event, dim_city, events, readings, table
@@ -20,7 +23,7 @@ from .standins import MEASURE, before_latest_event, dim_city, events, readings,
 
 def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All events as weather and as air quality, with every expected column."""
-    base = readings(spark, sf_dir, "value").join(events(spark, sf_dir).select("event_id", "k"), "event_id")
+    base = readings(spark, sf_dir, "value", "k")
     weather = base.select(
         F.col("event_id").alias("reading_id"), "city_id", "date_key", "reading_ts",
         (F.col("value") - 30).alias("temperature_c"), F.col("k").alias("humidity_pct"),
@@ -76,6 +79,38 @@ def _shown(results: DataFrame) -> DataFrame:
     return results.select("check_name", "table_name", "status", F.round("metric", 6).alias("metric"))
 
 
+def _damage_rows(weather: DataFrame, air: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both facts with all their columns: nulls in critical ones, and repeated rows."""
+    weather, _ = _damage(weather, air)
+    holes = air.withColumn("aqi_value", F.when(F.col("aqi_value") > 1, F.col("aqi_value")))
+    return weather, holes.unionByName(holes.filter(F.col("aqi_value") > 50))
+
+
+def dq_gate_damaged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted nulls and duplicates; now is an hour after the last error event."""
+    weather, air = _damage_rows(*_facts(spark, sf_dir))
+    as_of = events(spark, sf_dir).agg(F.max(F.when(F.col("event_type") == "error", F.col("ts"))) + F.expr("INTERVAL 1 HOUR"))
+    chosen = ("freshness", "completeness", "null_critical_fields", "uniqueness")
+    tables = {"fact_weather_reading": weather, "fact_air_quality_reading": air, "dim_city": dim_city(spark, sf_dir)}
+    return _shown(checks.evaluate(spark, tables, {}, as_of.scalar(), [c for c in checks.CHECKS if c.name in chosen]))
+
+
+def dq_schema_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored fact of which the last days lack two columns, and one that was never stored."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "schema_presence"))
+    weather, _ = _facts(spark, sf_dir)
+    weather = weather.withColumn("reading_day", F.col("reading_ts").cast("date"))
+    last = F.col("reading_day") >= before_latest_event(spark, sf_dir, "3 DAYS").cast("date")
+    facts = VersionedTable(spark, warehouse.path(checks.WEATHER), ["reading_day"])
+    facts.write(weather.filter(~last))
+    facts.write(weather.filter(last).drop("humidity_pct", "pressure_hpa"))
+    names = [checks.WEATHER, checks.AIR_QUALITY]
+    chosen = [check for check in checks.CHECKS if check.name == "schema_presence"]
+    stored = {name: warehouse.stored_columns(name) for name in names}
+    found = checks.evaluate(spark, {name: warehouse.read(name) for name in names}, {}, F.lit(None), chosen, stored)
+    return _shown(found).withColumn("rows", warehouse.read(checks.WEATHER).agg(F.count(F.lit(1))).scalar())
+
+
 def _single(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: _shown(_results(spark, sf_dir, False, [name]))
 
@@ -132,20 +167,18 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("reading_id"),
         F.when(F.col("k") > 0, F.col("user_id")).alias("city_id"),
         date_key(F.col("ts")).alias("date_key"),
-        F.date_trunc("hour", F.col("ts")).alias("reading_ts"),
+        F.date_trunc("hour", F.col("ts")).cast("timestamp").alias("reading_ts"),
         (F.col("value") * 100).alias("aqi_value"),
         F.concat(F.lit("pol"), "event_type").alias("dominant_pollutant"),
-        F.when(F.col("event_type") != "view", F.col("ts")).alias("fetched_at"),
+        F.when(F.col("event_type") != "view", F.col("ts").cast("timestamp")).alias("fetched_at"),
     ).drop("reading_id")
-    orders = table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
     tables = {
         "dim_city": cities,
-        "dim_date": spine_over(orders, "ts").filter(~F.col("is_weekend")),
+        "dim_date": spine_over(events(spark, sf_dir), "ts").filter(~F.col("is_weekend")),
         "fact_air_quality_reading": air,
     }
     schemas = {"dim_city": DIM_CITY, "fact_air_quality_reading": FACT_AIR_QUALITY}
-    counted = audit(tables, TABLE_RULES, schemas)
-    return counted.filter(~((F.col("kind") == "fit") & F.col("target").isin("reading_ts", "fetched_at")))
+    return audit(tables, TABLE_RULES, schemas)
 
 
 def alias_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +200,8 @@ _SINGLE = [check.name for check in checks.CHECKS if check.name != "schema_presen
 QUERIES = {
     **{f"dq_{name}": _single(name) for name in _SINGLE},
     "dq_gate": dq_gate,
+    "dq_gate_damaged_rows": dq_gate_damaged_rows,
+    "dq_schema_presence": dq_schema_presence,
     "dq_gate_damaged": dq_gate_damaged,
     "dq_run_summary": dq_run_summary,
     "dq_status_tallies": dq_status_tallies,
@@ -249,6 +284,34 @@ ORACLES = {
     **{f"dq_{name}": f"{_gate_sql()}{_SHOWN} WHERE check_name = '{name}'" for name in _SINGLE},
     "dq_gate": _gate_sql() + _SHOWN,
     "dq_gate_damaged": _damaged_sql() + _SHOWN,
+    "dq_gate_damaged_rows": f"""{_FACTS}, broken AS (
+  SELECT CASE WHEN h >= 2 THEN city_id END AS city_id, ts, t, h FROM weather
+), repeated AS (SELECT * FROM broken UNION ALL SELECT * FROM broken WHERE t > 20),
+holes AS (SELECT city_id, ts, CASE WHEN aqi > 1 THEN aqi END AS aqi FROM air),
+twice AS (SELECT * FROM holes UNION ALL SELECT * FROM holes WHERE aqi > 50),
+clock AS (SELECT max(ts) FILTER (event_type = 'error') + INTERVAL 1 HOUR AS now, max(ts) AS latest FROM events),
+metrics AS (
+  SELECT 'null_critical_fields' AS check_name, NULL AS table_name, (SELECT count(*) FILTER (city_id IS NULL)
+         + count(*) FILTER (h < 1) FROM repeated) + (SELECT count(*) FILTER (aqi IS NULL) FROM twice) AS metric
+  UNION ALL SELECT 'uniqueness', NULL,
+         (SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM repeated GROUP BY city_id, ts))
+         + (SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM twice GROUP BY city_id, ts))
+)
+SELECT check_name, table_name, if(metric > 0, 'fail', 'pass') AS status, cast(metric AS double) AS metric FROM metrics
+UNION ALL
+SELECT 'freshness', 'fact_weather_reading', CASE WHEN h > 6 THEN 'fail' WHEN h > 4 THEN 'warn' ELSE 'pass' END, round(h, 6)
+FROM (SELECT (epoch_us(now) - epoch_us(latest)) / 3.6e9 AS h FROM clock)
+UNION ALL
+SELECT 'completeness', 'fact_weather_reading', CASE WHEN r < 0.5 THEN 'fail' WHEN r < 0.7 THEN 'warn' ELSE 'pass' END, round(r, 6)
+FROM (SELECT (SELECT count(DISTINCT city_id) FROM repeated, clock WHERE ts >= now - INTERVAL 4 HOURS) / n AS r FROM cities)
+""",
+    "dq_schema_presence": """
+WITH missing AS (  -- two columns of the weather, all eleven of the air quality
+  SELECT 2 + len(['reading_id', 'city_id', 'date_key', 'reading_ts', 'aqi_value', 'pm25', 'pm10', 'no2', 'so2', 'co', 'o3']) AS n
+)
+SELECT 'schema_presence' AS check_name, NULL AS table_name, if(n > 0, 'fail', 'pass') AS status,
+       cast(n AS double) AS metric, (SELECT count(*) FROM events) AS rows FROM missing
+""",
     "dq_run_summary": _gate_sql()
     + """SELECT count(*) FILTER (status = 'fail') AS failed, count(*) FILTER (status = 'warn') AS warned,
 count(*) FILTER (status = 'pass') AS passed,
@@ -273,7 +336,7 @@ WITH cities AS (
 ), e AS (SELECT *, cast(props ->> '$.k' AS int) AS k FROM events), air AS (
   SELECT CASE WHEN k > 0 THEN user_id END AS city_id, cast(ts AS date) AS d, date_trunc('hour', ts) AS reading_ts,
          value * 100 AS aqi, length(event_type) + 3 AS n, event_type FROM e
-), span AS (SELECT min(ts) AS a, max(ts) AS b FROM events WHERE event_type <> 'error'),
+), span AS (SELECT min(ts) AS a, max(ts) AS b FROM events),
 days AS (
   SELECT d::date AS d FROM span, generate_series(date_trunc('day', a), date_trunc('day', b), INTERVAL 1 DAY) g(d)
   WHERE dayofweek(d) NOT IN (0, 6)

@@ -33,14 +33,15 @@ def before_latest_event(spark: SparkSession, sf_dir: str, interval: str) -> Colu
     return table(spark, sf_dir, "events").agg(F.max("ts") - F.expr(f"INTERVAL {interval}")).scalar()
 
 
-def readings(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
-    """Events as a fact table with one measure of two decimals."""
+def readings(spark: SparkSession, sf_dir: str, measure: str, *more: str) -> DataFrame:
+    """Events as a fact table with one measure of two decimals, and ``more`` columns of the events."""
     return events(spark, sf_dir).select(
         F.col("user_id").alias("city_id"),
         date_key(F.col("ts")).alias("date_key"),
         F.col("ts").alias("reading_ts"),
         F.col("value").cast(MEASURE).alias(measure),
         "event_id",
+        *more,
     )
 
 

@@ -172,6 +172,12 @@ def _outside(column: str, bounds: tuple[int, int]) -> Column:
     return F.count_if((F.col(column) < bounds[0]) | (F.col(column) > bounds[1]))
 
 
+def _recent(df: DataFrame, since: Column) -> DataFrame:
+    """Readings from ``since`` on. Stored facts are read from these days only."""
+    recent = df.filter(F.col("reading_ts") >= since)
+    return recent.filter(F.col("reading_day") >= since.cast("date")) if "reading_day" in df.columns else recent
+
+
 def _profiles(as_of: Column) -> dict[str, list[tuple[Callable[[DataFrame], DataFrame], dict[str, Column]]]]:
     """Per table: (rows to aggregate, metrics over them)."""
     since = as_of - F.expr(f"INTERVAL {RECENT_HOURS} HOURS")
@@ -198,7 +204,7 @@ def _profiles(as_of: Column) -> dict[str, list[tuple[Callable[[DataFrame], DataF
                 },
             ),
             (
-                lambda df: df.filter(F.col("reading_ts") >= since),
+                lambda df: _recent(df, since),
                 {"weather.recent_cities": F.count_distinct("city_id")},
             ),
             (keys, {"weather.duplicates": surplus}),
@@ -218,6 +224,7 @@ def measure(
     load_result: DataFrame | dict[str, int],
     as_of: Column,
     wanted: set[str],
+    columns: dict[str, list[str]] | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
     """``(metrics, crashed)``: rows of (metric, value), and why the other metrics cannot be computed.
 
@@ -225,7 +232,7 @@ def measure(
     surfaces here and takes down only the metrics that need it.
     """
     crashed: dict[str, str] = {}
-    parts = [_literal(spark, {"schema.missing": len(missing_columns(tables))})]
+    parts = [_literal(spark, {"schema.missing": len(missing_columns(tables, columns))})]
     for table, profiles in _profiles(as_of).items():
         for prepare, metrics in profiles:
             metrics = {name: column for name, column in metrics.items() if name in wanted}
@@ -253,9 +260,9 @@ def measure(
     return rows, crashed
 
 
-def missing_columns(tables: dict[str, DataFrame]) -> list[str]:
-    """Expected columns that are absent, as table.column."""
-    actual = {table: set(df.columns) for table, df in tables.items()}
+def missing_columns(tables: dict[str, DataFrame], columns: dict[str, list[str]] | None = None) -> list[str]:
+    """Expected columns that are absent, as table.column; ``columns`` tells those stored where frames show others."""
+    actual = {table: set(df.columns) for table, df in tables.items()} | {t: set(c) for t, c in (columns or {}).items()}
     return [
         f"{table}.{column}"
         for table, columns in EXPECTED_COLUMNS.items()
@@ -279,16 +286,18 @@ def evaluate(
     load_result: DataFrame | dict[str, int],
     as_of: Column | None = None,
     checks: list[Check] | None = None,
+    columns: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """One row per check: check_no, check_name, table_name, status, details, metric.
 
     ``load_result`` holds weather_loaded and aqi_loaded, as numbers or as one
-    row. A check that cannot be computed counts as failed; the others go on.
+    row. ``columns`` names the stored columns of tables whose frames show their whole schema.
+    A check that cannot be computed counts as failed; the others go on.
     """
     checks = CHECKS if checks is None else checks
     as_of = F.current_timestamp() if as_of is None else as_of
     wanted = {need for check in checks for need in check.needs}
-    metrics, crashed = measure(spark, tables, load_result, as_of, wanted)
+    metrics, crashed = measure(spark, tables, load_result, as_of, wanted, columns)
     # One row per metric, so this last aggregate handles a few dozen rows.
     names = sorted(wanted - set(crashed))
     wide = metrics.groupBy().agg(
@@ -306,7 +315,7 @@ def evaluate(
             status, details, value = F.lit("fail"), F.lit(f"check crashed: {broken[0]}"), F.lit(None)
         else:
             status, details, value = check.judge(metric)
-            if check.name == "schema_presence" and (missing := missing_columns(tables)):
+            if check.name == "schema_presence" and (missing := missing_columns(tables, columns)):
                 details = F.lit(f"missing columns: {missing}")
         rows.append(
             F.struct(

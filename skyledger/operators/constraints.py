@@ -38,8 +38,13 @@ def mark_violations(rows: DataFrame, schema: T.StructType, rules: Rules) -> Data
 
 
 def mark_orphans(marked: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Add to ``violations`` where ``column`` has a value that is no key of ``parent``."""
-    keys = parent.select(F.col(parent_column).alias("_key")).distinct()
+    """Add to ``violations`` where ``column`` has a value that is no key of ``parent``.
+
+    Parent keys are grouped by more than the join needs, so that they are dealt
+    out again for the join: only then can Spark split a frequent key.
+    """
+    key = F.col(parent_column)
+    keys = parent.select(key.alias("_key"), F.pmod(F.hash(key), F.lit(7)).alias("_salt")).distinct().select("_key")
     joined = marked.join(keys, F.col(column) == F.col("_key"), "left")
     orphan = F.col(column).isNotNull() & F.col("_key").isNull()
     unknown = F.when(orphan, F.array(F.lit(f"{column}: unknown"))).otherwise(F.array().cast("array<string>"))

@@ -49,6 +49,7 @@ def collect_results(
     load_result: dict[str, int],
     as_of: Column | None = None,
     checks: list[Check] | None = None,
+    columns: dict[str, list[str]] | None = None,
 ) -> list[Row]:
     """The results, one row per check.
 
@@ -57,14 +58,14 @@ def collect_results(
     """
     checks = CHECKS if checks is None else checks
     try:
-        return evaluate(spark, tables, load_result, as_of, checks).orderBy("check_no").collect()
+        return evaluate(spark, tables, load_result, as_of, checks, columns).orderBy("check_no").collect()
     except JobFailed:
-        return [_run_alone(spark, tables, load_result, as_of, check, n) for n, check in enumerate(checks, start=1)]
+        return [_run_alone(spark, tables, load_result, as_of, check, n, columns) for n, check in enumerate(checks, start=1)]
 
 
-def _run_alone(spark, tables, load_result, as_of, check: Check, number: int) -> Row:
+def _run_alone(spark, tables, load_result, as_of, check: Check, number: int, columns) -> Row:
     try:
-        result = evaluate(spark, tables, load_result, as_of, [check]).first().asDict()
+        result = evaluate(spark, tables, load_result, as_of, [check], columns).first().asDict()
     except JobFailed as error:
         details = f"check crashed: {str(error).splitlines()[0]}"
         result = dict(check_name=check.name, table_name=check.table, status="fail", details=details, metric=None)
@@ -103,7 +104,9 @@ def run_gate(
     """Check the warehouse, append run log and results, raise ``GateFailed`` on any failure."""
     spark = warehouse.spark
     names = ["fact_weather_reading", "fact_air_quality_reading", "dim_city", "quarantine_unmatched_city_names"]
-    results = collect_results(spark, {name: warehouse.read(name) for name in names}, load_result, as_of, checks)
+    # Frames show every column of the schema; what is stored may lack some.
+    stored = {name: warehouse.stored_columns(name) for name in names}
+    results = collect_results(spark, {name: warehouse.read(name) for name in names}, load_result, as_of, checks, stored)
     last_run = warehouse.read("pipeline_run_log").agg(F.max("run_id")).first()[0] or 0
     last_result = warehouse.read("dq_check_results").agg(F.max("id")).first()[0] or 0
     log, checked = record(spark, run, results, load_result, last_run + 1, last_result + 1)

@@ -79,11 +79,16 @@ def merge_readings(old: DataFrame, new: DataFrame, measures: list[str], order: l
 def reading_id(city_id: Column, reading_ts: Column) -> Column:
     """A reading's number, computed from its key instead of drawn from a sequence.
 
-    City number in the upper, epoch seconds in the lower 32 bits: distinct for
-    distinct keys, since sources report whole minutes or seconds (until 2106).
+    Whole seconds, which is all the sources report: city number in the upper,
+    epoch seconds in the lower 32 bits, so distinct for distinct keys (until
+    2106). Other instants: a 63-bit hash of city and microseconds with the sign bit
+    set, so never equal to one of the first kind.
     """
-    seconds = F.pmod(F.unix_seconds(reading_ts.cast("timestamp")), F.lit(2**32))
-    return F.shiftleft(city_id.cast("bigint"), 32) + seconds
+    micros = F.unix_micros(reading_ts.cast("timestamp"))
+    city = city_id.cast("bigint")
+    whole = F.shiftleft(city, 32) + F.pmod(F.unix_seconds(reading_ts.cast("timestamp")), F.lit(2**32))
+    hashed = F.xxhash64(city, micros).bitwiseOR(F.lit(-(2**63)))
+    return F.when(F.pmod(micros, F.lit(1_000_000)) == 0, whole).otherwise(hashed)
 
 
 def split_required(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:

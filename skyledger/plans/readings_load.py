@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.errors import PySparkValueError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.constraints import fit, mark_orphans, mark_violations
+from ..operators.constraints import ConstraintViolation, fit, mark_orphans, mark_violations
 from ..operators.dimension import active_cities
-from ..operators.parse import classify_attempts, parse_air_quality, parse_weather, parsed
+from ..operators.parse import OK, classify_attempts, parse_air_quality, parse_weather
 from ..schemas import AIR_QUALITY_REQUIRED, FACT_AIR_QUALITY, FACT_WEATHER, TABLE_RULES, WEATHER_REQUIRED
-from ..sources.landed import pair_batches, run_documents, to_bronze
-from ..sources.tables import Warehouse
+from ..sources.landed import pair_batches, to_bronze
+from ..sources.tables import Warehouse, utc_day
 
 # What the bronze zone calls its two sources.
 WEATHER_API = "open_meteo"
@@ -26,9 +27,17 @@ class NoActiveCities(PySparkValueError):
 
 @dataclass(frozen=True)
 class FactLoad:
+    """What became of a batch: rows loaded, rows rejected for a constraint, documents that could not be parsed.
+
+    The three add up to the documents given. ``rejects`` and ``spoilt`` are read
+    from the warehouse, where they stay under the batch's name.
+    """
+
     loaded: int
     rejected: int
+    spoilt: int
     rejects: DataFrame
+    spoilt_documents: DataFrame
 
 
 def cities_to_fetch(warehouse: Warehouse) -> DataFrame:
@@ -46,7 +55,8 @@ def store_weather(warehouse: Warehouse, requests: DataFrame, responses: DataFram
     """
     paired, rejected = pair_batches(requests, responses)
     documents = to_bronze(paired.withColumn("source_api", F.lit(WEATHER_API)))
-    warehouse.merge_bronze(warehouse.stage(documents, "weather_documents"))
+    with warehouse.scratch() as stage:
+        warehouse.merge_bronze(stage(documents, "weather_documents"))
     return rejected
 
 
@@ -58,14 +68,14 @@ def store_air_quality(warehouse: Warehouse, attempts: DataFrame) -> DataFrame:
     return classified
 
 
-def load_weather(warehouse: Warehouse, run_id: str) -> FactLoad:
-    documents = run_documents(warehouse.read("bronze"), WEATHER_API, run_id)
-    return load_rows(warehouse, "fact_weather_reading", parsed(parse_weather(documents)))
+def load_weather(warehouse: Warehouse, run_id: str, on_violation: str = "quarantine") -> FactLoad:
+    documents = warehouse.run_documents(WEATHER_API, run_id)
+    return load_rows(warehouse, "fact_weather_reading", parse_weather(documents), run_id, on_violation=on_violation)
 
 
-def load_air_quality(warehouse: Warehouse, run_id: str) -> FactLoad:
-    documents = run_documents(warehouse.read("bronze"), AIR_QUALITY_API, run_id)
-    return load_rows(warehouse, "fact_air_quality_reading", parsed(parse_air_quality(documents)))
+def load_air_quality(warehouse: Warehouse, run_id: str, on_violation: str = "quarantine") -> FactLoad:
+    documents = warehouse.run_documents(AIR_QUALITY_API, run_id)
+    return load_rows(warehouse, "fact_air_quality_reading", parse_air_quality(documents), run_id, on_violation=on_violation)
 
 
 _FACTS = {
@@ -74,32 +84,62 @@ _FACTS = {
 }
 
 
-def load_rows(warehouse: Warehouse, table: str, rows: DataFrame, check_foreign: bool = True) -> FactLoad:
+def load_rows(
+    warehouse: Warehouse,
+    table: str,
+    rows: DataFrame,
+    batch: str | None = None,
+    check_foreign: bool = True,
+    on_violation: str = "quarantine",
+) -> FactLoad:
     """Validate parsed rows and merge them into ``table``.
 
+    ``rows`` may have a ``parse_status``; those that are not ok count as spoilt.
     ``loaded`` counts valid rows given, before equal keys collapse; rejects list
     as ``violations`` what is missing, does not fit, or is an unknown city or day.
+    Both are stored under ``batch``, in place of what a batch of that name left before.
+    With ``on_violation="fail"`` a violation raises, and nothing is stored.
     """
     schema, required = _FACTS[table]
     rules = TABLE_RULES[table]
     strict = replace(rules, not_null=list(dict.fromkeys([*required, *rules.not_null])))
+    if "parse_status" not in rows.columns:
+        rows = rows.withColumn("parse_status", F.lit(OK))
     marked = mark_violations(rows, schema, strict)
     if check_foreign:
         for column, (parent, parent_column) in rules.foreign.items():
             marked = mark_orphans(marked, column, warehouse.read(parent), parent_column)
-    # Read for the counts, the days touched, the merge and by whoever looks at the rejects.
-    staged = warehouse.stage(marked, f"{table}_rows")
-    valid = F.size("violations") == 0
-    counts = staged.agg(F.count_if(valid).alias("loaded"), F.count_if(~valid).alias("rejected")).first()
-    warehouse.merge_facts(table, fit(staged.filter(valid).drop("violations"), schema))
-    return FactLoad(counts.loaded, counts.rejected, staged.filter(~valid))
+    batch = batch or uuid.uuid4().hex
+    with warehouse.scratch() as stage:
+        # Read for the counts and days together, for the merge, and for the rejects.
+        staged = stage(marked, f"{table}_rows")
+        parsed = F.col("parse_status") == OK
+        valid, broken = parsed & (F.size("violations") == 0), parsed & (F.size("violations") > 0)
+        counts = staged.agg(
+            F.count_if(valid).alias("loaded"),
+            F.count_if(broken).alias("rejected"),
+            F.count_if(~parsed).alias("spoilt"),
+            F.collect_set(F.when(valid, utc_day("reading_ts"))).alias("days"),
+        ).first()
+        if on_violation == "fail" and counts.rejected:
+            raise ConstraintViolation(f"rows violate {staged.filter(broken).first().violations}")
+        good = staged.filter(valid).drop("violations", "parse_status")
+        warehouse.merge_facts(table, fit(good, schema), days=counts.days)
+        kind = F.when(parsed, "rejected").otherwise("spoilt")
+        why = F.when(parsed, F.col("violations")).otherwise(F.array("parse_status"))
+        lost = staged.filter(~valid).withColumns({"kind": kind, "violations": why}).drop("parse_status")
+        warehouse.store_rejects(table, batch, lost)
+    kept = warehouse.rejects(table, batch)
+    return FactLoad(
+        counts.loaded, counts.rejected, counts.spoilt, kept.filter("kind = 'rejected'"), kept.filter("kind = 'spoilt'")
+    )
 
 
 def load_result(weather: FactLoad, air_quality: FactLoad) -> dict[str, int]:
     """The counts the quality gate looks at."""
     return {
         "weather_loaded": weather.loaded,
-        "weather_rejected": weather.rejected,
+        "weather_rejected": weather.rejected + weather.spoilt,
         "aqi_loaded": air_quality.loaded,
-        "aqi_rejected": air_quality.rejected,
+        "aqi_rejected": air_quality.rejected + air_quality.spoilt,
     }

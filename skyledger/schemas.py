@@ -17,6 +17,7 @@ def _table(**columns: T.DataType) -> T.StructType:
 
 CITY_CSV_COLUMNS = ["city_name", "state", "latitude", "longitude", "tier", "population"]
 
+# The warehouse's tables, columns and types.
 DIM_CITY = _table(
     city_id=INT, city_name=TEXT, state=TEXT, latitude=T.DecimalType(9, 6), longitude=T.DecimalType(9, 6),
     tier=SMALL, population=BIG, is_active=FLAG, created_at=INSTANT, updated_at=INSTANT,
@@ -55,6 +56,11 @@ BRONZE = _table(
     raw_response=TEXT,
 )
 
+#: Which days a run has fetched documents of.
+BRONZE_RUNS = _table(source_api=TEXT, run_id=TEXT, fetched_day=DAY)
+#: What a batch could not load: rows that break constraints, and documents that cannot be parsed.
+LOAD_REJECTS = _table(fact=TEXT, batch=TEXT, kind=TEXT, violations=TEXTS, document=TEXT)
+
 READING_KEY = ["city_id", "reading_ts"]
 WEATHER_MEASURES = [
     "temperature_c", "humidity_pct", "precipitation_mm", "pressure_hpa", "wind_speed_kmh", "fetched_at",

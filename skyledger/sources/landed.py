@@ -53,13 +53,14 @@ def to_bronze(attempts: DataFrame) -> DataFrame:
 
 
 def bronze_upsert(old: DataFrame, new: DataFrame) -> DataFrame:
-    """One document per (source_api, city_id, fetched_hour): the one fetched last.
+    """One document per (source_api, city_id, fetched_hour): of the later write, and in it the one fetched last.
 
     A re-run within the hour takes the document over, run id included, so the
     earlier run no longer finds it.
     """
-    both = old.select(*BRONZE.fieldNames()).unionByName(new.select(*BRONZE.fieldNames()))
-    return latest_per_key(both, ["source_api", "city_id", "fetched_hour"], ["fetched_at"])
+    columns = BRONZE.fieldNames()
+    both = old.select(*columns, F.lit(0).alias("_batch")).unionByName(new.select(*columns, F.lit(1).alias("_batch")))
+    return latest_per_key(both, ["source_api", "city_id", "fetched_hour"], ["_batch", "fetched_at"]).drop("_batch")
 
 
 def run_documents(bronze: DataFrame, source_api: str, run_id: str) -> DataFrame:

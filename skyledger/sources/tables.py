@@ -7,7 +7,10 @@ first value; so the days in a batch are exactly the partitions its merge touches
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +18,8 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.merge import merge_readings, reading_id
 from ..session import scratch_dir, use_utc
-from .landed import bronze_upsert
+from .landed import bronze_upsert, run_documents
+from .versions import VERSION, Files, VersionedTable
 
 READING_DAY = "reading_day"
 FETCHED_DAY = "fetched_day"
@@ -30,27 +34,40 @@ SCHEMAS: dict[str, T.StructType] = {
     "dq_check_results": schemas.DQ_RESULTS,
     "quarantine_unmatched_city_names": schemas.QUARANTINE,
     "bronze": schemas.BRONZE,
+    "bronze_runs": schemas.BRONZE_RUNS,
+    "load_rejects": schemas.LOAD_REJECTS,
 }
 PARTITIONS: dict[str, list[str]] = {
     "fact_weather_reading": [READING_DAY],
     "fact_air_quality_reading": [READING_DAY],
     "bronze": ["source_api", FETCHED_DAY],
+    "load_rejects": ["fact", "batch"],
 }
 MEASURES = {
     "fact_weather_reading": schemas.WEATHER_MEASURES,
     "fact_air_quality_reading": schemas.AIR_QUALITY_MEASURES,
 }
+#: Appended versions of a table after which they are written anew as one.
+MOST_APPENDS = 64
+#: Sources named in a filter; with more, a merge reads all sources of its days.
+MOST_SOURCES = 100
 
 
 def utc_day(ts: str) -> Column:
     return F.col(ts).cast("date")
 
 
-def _values(df: DataFrame, column: Column) -> list:
-    """Distinct partition values. A century has 36,525 days, so they fit a literal
-    list; only literals prune partitions when the table is listed, as a join with
+def _values(df: DataFrame, column: Column, most: int | None = None) -> list:
+    """Distinct partition values, at most ``most`` and one. A century has 36,525 days, so days fit a
+    literal list; only literals prune partitions when the table is listed, as a join with
     the batch does not look selective to the optimizer."""
-    return sorted(row[0] for row in df.select(column.alias("value")).distinct().collect())
+    found = df.select(column.alias("value")).distinct()
+    return sorted(row[0] for row in (found if most is None else found.limit(most + 1)).collect())
+
+
+def batch_name(batch: str) -> str:
+    """``batch`` as part of a path."""
+    return re.sub(r"[^A-Za-z0-9_.-]", "-", batch)
 
 
 class Warehouse:
@@ -63,42 +80,70 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame:
-        """The table, empty if it has not been written yet."""
+    def _table(self, table: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(table), PARTITIONS.get(table, []))
+
+    def _schema(self, table: str) -> T.StructType:
         schema = T.StructType(list(SCHEMAS[table]))
         for name in PARTITIONS.get(table, []):
             if name not in schema.fieldNames():
                 schema = schema.add(name, T.DateType())
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        return schema
+
+    def read(self, table: str) -> DataFrame:
+        """The table, empty if it has not been written yet. A lost table raises."""
+        schema, paths = self._schema(table), self._table(table).live_paths()
+        if not paths:
             return self.spark.createDataFrame([], schema)
+        found = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
+        return found.drop(VERSION)
+
+    def stored_columns(self, table: str) -> list[str]:
+        """The columns that are stored, none if the table has not been written yet.
+
+        ``read`` gives every column of the schema, as null where files lack it.
+        """
+        return [c for c in self._table(table).columns() or []]
 
     def append(self, table: str, df: DataFrame) -> None:
-        self._shaped(table, df).write.mode("append").parquet(self.path(table))
+        versions = self._table(table)
+        if len(versions.live_paths()) >= MOST_APPENDS:
+            versions.write(self._shaped(table, self.read(table).unionByName(self._shaped(table, df))).coalesce(1))
+        else:
+            versions.write(self._shaped(table, df), keep=True)
 
     def replace(self, table: str, df: DataFrame) -> None:
-        """Replace a small table, also by rows computed from it.
-
-        The rows are written out before the old files go: the new table is never
-        read from what it overwrites, and a failure in between loses nothing.
-        """
-        staged = self.stage(self._shaped(table, df), table)
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(table))
+        """Replace a small table, also by rows computed from it."""
+        self._table(table).write(self._shaped(table, df))
 
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` to the shared scratch folder and read it back: cuts lineage,
-        survives lost executors and is computed once however often it is read."""
+        survives lost executors and is computed once however often it is read.
+        The copy stays; inside a load use ``scratch``."""
         path = scratch_dir(self.spark, label)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def merge_facts(self, table: str, new: DataFrame, order: list[str] | None = None) -> None:
+    @contextmanager
+    def scratch(self) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+        """``stage`` for as long as the block runs; its copies go at the end, also after an error."""
+        paths: list[str] = []
+
+        def stage(df: DataFrame, label: str) -> DataFrame:
+            paths.append(scratch_dir(self.spark, label))
+            df.write.parquet(paths[-1])
+            return self.spark.read.schema(df.schema).parquet(paths[-1])
+
+        try:
+            yield stage
+        finally:
+            for path in paths:
+                Files(self.spark).delete(path)
+
+    def merge_facts(self, table: str, new: DataFrame, order: list[str] | None = None, days: list | None = None) -> None:
         """Upsert readings into a fact, rewriting only the days ``new`` has rows for.
 
-        ``new`` should be staged: it is read for its days and for the merge. Rows
+        ``new`` should be staged: it is read for its days, unless they are given, and for the merge. Rows
         are spread by day with oversized days split, and sorted for min/max
         skipping.
         """
@@ -110,33 +155,51 @@ class Warehouse:
             reading_id(F.col("city_id"), F.col("reading_ts")).alias("reading_id"),
             *dict.fromkeys([*measures, *order]),
         )
-        days = _values(incoming, utc_day("reading_ts"))
+        days = _values(incoming, utc_day("reading_ts")) if days is None else sorted(days)
         if not days:
             return
         touched = self.read(table).filter(F.col(READING_DAY).isin(days)).drop(READING_DAY)
         merged = merge_readings(touched, incoming, measures, order)
-        self._overwrite_partitions(table, merged.withColumn(READING_DAY, utc_day("reading_ts")), schemas.READING_KEY)
+        self._merge_partitions(table, merged.withColumn(READING_DAY, utc_day("reading_ts")), schemas.READING_KEY)
 
     def merge_bronze(self, new: DataFrame) -> None:
-        """Upsert documents into the bronze zone, rewriting only the days fetched."""
+        """Upsert documents into the bronze zone, rewriting only the days fetched, and note which days their runs fetched."""
         days = _values(new, utc_day("fetched_hour"))
         if not days:
             return
-        sources = _values(new, F.col("source_api"))
-        touched = self.read("bronze").filter(F.col(FETCHED_DAY).isin(days) & F.col("source_api").isin(sources))
+        sources = _values(new, F.col("source_api"), MOST_SOURCES)
+        touched = self.read("bronze").filter(F.col(FETCHED_DAY).isin(days))
+        if len(sources) <= MOST_SOURCES:
+            touched = touched.filter(F.col("source_api").isin(sources))
         merged = bronze_upsert(touched, new)
-        self._overwrite_partitions("bronze", merged.withColumn(FETCHED_DAY, utc_day("fetched_hour")), ["run_id", "city_id"])
+        # The runs first: days noted in vain cost a look, days not noted would hide documents.
+        runs = new.select("source_api", "run_id", utc_day("fetched_hour").alias(FETCHED_DAY))
+        self.replace("bronze_runs", self.read("bronze_runs").unionByName(runs).distinct())
+        self._merge_partitions("bronze", merged.withColumn(FETCHED_DAY, utc_day("fetched_hour")), ["run_id", "city_id"])
+
+    def run_documents(self, source_api: str, run_id: str) -> DataFrame:
+        """The documents that a run owns, read from the days it fetched only."""
+        runs = self.read("bronze_runs").filter((F.col("source_api") == source_api) & (F.col("run_id") == run_id))
+        days = _values(runs, F.col(FETCHED_DAY))
+        return run_documents(self.read("bronze").filter(F.col(FETCHED_DAY).isin(days)), source_api, run_id)
+
+    def store_rejects(self, fact: str, batch: str, rejects: DataFrame) -> None:
+        """Keep what a batch could not load: kind, violations and the row as JSON. A batch given again replaces its own."""
+        rows = rejects.select(
+            F.lit(fact).alias("fact"), F.lit(batch_name(batch)).alias("batch"), "kind", "violations",
+            F.to_json(F.struct(*[c for c in rejects.columns if c not in ("kind", "violations")])).alias("document"),
+        )
+        self._table("load_rejects").write(
+            self._shaped("load_rejects", rows), replaced=[f"fact={fact}/batch={batch_name(batch)}"]
+        )
 
-    def _overwrite_partitions(self, table: str, df: DataFrame, sort: list[str]) -> None:
+    def rejects(self, fact: str, batch: str) -> DataFrame:
+        own = (F.col("fact") == fact) & (F.col("batch") == batch_name(batch))
+        return self.read("load_rejects").filter(own)
+
+    def _merge_partitions(self, table: str, df: DataFrame, sort: list[str]) -> None:
         by = PARTITIONS[table]
-        (
-            df.hint("rebalance", *by)
-            .sortWithinPartitions(*by, *sort)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*by)
-            .parquet(self.path(table))
-        )
+        self._table(table).write(df.hint("rebalance", *by).sortWithinPartitions(*by, *sort))
 
     def _shaped(self, table: str, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table]])

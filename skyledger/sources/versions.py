@@ -1,0 +1,141 @@
+"""Tables as versions with a manifest: what a failed write leaves behind is never read.
+
+A write goes to a folder of its own. Then one small file, the manifest, is swapped: it
+lists which folders, and of partitioned tables which partitions, are live. Until
+the swap readers see the old table, afterwards the new one. Folders that a swap retires are
+deleted by the swap after it, so that frames read before still work.
+
+One writer at a time is assumed, as everywhere in this library. A table that was
+never written has no folder; one with a folder but without a manifest is lost, and
+reading it fails.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark import SparkContext
+from pyspark.sql import DataFrame, SparkSession
+
+MANIFEST = "_manifest.json"
+#: Stands in a table's folder until its first write is done.
+FIRST = "_first_write"
+VERSION = "version"
+
+
+class LostTable(RuntimeError):
+    """There is a folder, but nothing says what in it is live."""
+
+
+@dataclass
+class Manifest:
+    """Live (version, partition path) pairs, the columns of each version, and what the last swap retired."""
+
+    live: list[tuple[str, str]] = field(default_factory=list)
+    columns: dict[str, list[str]] = field(default_factory=dict)
+    retired: list[str] = field(default_factory=list)
+
+
+class Files:
+    """The few calls to the file system of the tables that Spark's readers and writers don't make."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def _path(self, path: str):
+        return self.jvm.org.apache.hadoop.fs.Path(path)
+
+    def _store(self, path: str):
+        return self._path(path).getFileSystem(self.conf)
+
+    def exists(self, path: str) -> bool:
+        return self._store(path).exists(self._path(path))
+
+    def delete(self, path: str) -> None:
+        self._store(path).delete(self._path(path), True)
+
+    def below(self, path: str, levels: int) -> list[str]:
+        """Paths so many levels below a folder, relative to it."""
+        found = self._store(path).globStatus(self._path("/".join([path, *["*=*"] * levels])))
+        root = self._store(path).getFileStatus(self._path(path)).getPath().toString()
+        return sorted(f.getPath().toString()[len(root) + 1 :] for f in found or [])
+
+    def text(self, path: str) -> str:
+        stream = self._store(path).open(self._path(path))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def swap_text(self, path: str, text: str) -> None:
+        """Write a file whole or not at all."""
+        draft = f"{path}.{uuid.uuid4().hex}"
+        stream = self._store(path).create(self._path(draft))
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        source, target = (self._store(path).makeQualified(self._path(p)) for p in (draft, path))
+        rename = self.jvm.org.apache.hadoop.fs.Options.Rename
+        how = SparkContext._gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.conf).rename(source, target, how)
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, by: list[str]) -> None:
+        self.spark, self.path, self.by, self.files = spark, path, by, Files(spark)
+
+    def manifest(self) -> Manifest | None:
+        """None if the table was never written."""
+        place = f"{self.path}/{MANIFEST}"
+        if self.files.exists(place):
+            found = json.loads(self.files.text(place))
+            return Manifest([tuple(x) for x in found["live"]], found["columns"], found["retired"])
+        if self.files.exists(self.path) and not self.files.exists(f"{self.path}/{FIRST}"):
+            raise LostTable(f"{self.path} has a folder but no manifest")
+        return None
+
+    def live_paths(self) -> list[str]:
+        manifest = self.manifest() or Manifest()
+        return ["/".join(filter(None, (self.path, version, part))) for version, part in manifest.live]
+
+    def columns(self) -> list[str] | None:
+        """The columns that all live versions have; None if the table was never written."""
+        manifest = self.manifest()
+        if manifest is None:
+            return None
+        used = [manifest.columns[v] for v in dict.fromkeys(version for version, _ in manifest.live)]
+        return [c for c in used[0] if all(c in other for other in used)] if used else []
+
+    def write(self, df: DataFrame, keep: bool = False, replaced: list[str] | None = None) -> None:
+        """Write ``df`` as a new version and make it live.
+
+        Of a partitioned table the partitions that ``df`` has rows for, and those
+        ``replaced``, are taken over; else the new version is the whole table,
+        or with ``keep`` is added to it.
+        """
+        version = f"{VERSION}={uuid.uuid4().hex}"
+        folder = f"{self.path}/{version}"
+        if not self.files.exists(self.path):
+            self.files.swap_text(f"{self.path}/{FIRST}", "")
+        writer = df.write.partitionBy(*self.by) if self.by else df.write
+        writer.parquet(folder)
+        self.make_live(version, df.columns, keep, replaced or [])
+
+    def make_live(self, version: str, columns: list[str], keep: bool, replaced: list[str]) -> None:
+        old = self.manifest() or Manifest()
+        fresh = self.files.below(f"{self.path}/{version}", len(self.by)) if self.by else [""]
+        gone = {*fresh, *replaced} if self.by else ({""} if not keep else set())
+        kept = [(v, part) for v, part in old.live if part not in gone]
+        live = kept + [(version, part) for part in fresh]
+        retired = ["/".join(filter(None, (v, part))) for v, part in old.live if part in gone]
+        used = {v for v, _ in live}
+        columns_of = {v: c for v, c in {**old.columns, version: columns}.items() if v in used}
+        manifest = Manifest(live, columns_of, retired)
+        self.files.swap_text(f"{self.path}/{MANIFEST}", json.dumps(manifest.__dict__))
+        self.files.delete(f"{self.path}/{FIRST}")
+        for path in old.retired:
+            self.files.delete(f"{self.path}/{path}")
