@@ -238,18 +238,21 @@ def _least_size(share: tuple[int, int]) -> int:
     return next(k for k in range(1, whole + 2) if part * (k + 1) <= whole * k)
 
 
-class Sets:
-    """Fetches the sets of the documents that are to be compared."""
+class Texts:
+    """Fetches the texts of the documents that are to be compared.
 
-    def __init__(self, texts: DataFrame, n: int) -> None:
-        self.texts, self.n = texts.where("doc_id IS NOT NULL"), n
+    Texts are shuffled, not sets: packed, they take a third of the room.
+    """
+
+    def __init__(self, texts: DataFrame) -> None:
+        self.texts = texts.where("doc_id IS NOT NULL")
 
-    def of(self, ids: DataFrame) -> DataFrame:
-        """``id`` and ``tokens`` (bytes of the sorted hashes) of the documents with these ids and digests.
+    def likely(self, ids: DataFrame) -> DataFrame:
+        """``id`` and ``text`` of the documents with these ids, and of few others.
 
         A bitmap of fixed size keeps most other documents from being shuffled.
         """
-        n, bits, spark = self.n, 1 << CANDIDATE_BITS, self.texts.sparkSession
+        bits, spark = 1 << CANDIDATE_BITS, self.texts.sparkSession
         slot = F.pmod(F.xxhash64("id"), F.lit(bits)).alias("slot")
 
         def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,26 +274,13 @@ class Sets:
             bitmap |= np.frombuffer(row["bitmap"], np.uint8)
         shared = spark.sparkContext.broadcast(bitmap)  # half a megabyte
 
-        def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen = np.unpackbits(shared.value).astype(bool)
             for batch in batches:
                 yield batch.filter(pa.array(seen[batch["slot"].to_numpy()]))
 
-        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hasher = NgramHasher(n)
-            for batch in batches:
-                sets = hasher.sets(batch["text"].to_pylist())
-                keep = [k for k, (s, d) in enumerate(zip(sets, batch["digest"].to_pylist(), strict=True)) if _digest(s) == d]
-                ids = batch["id"].take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array([sets[k].tobytes() for k in keep], pa.binary())], names=["id", "tokens"]
-                )
-
         rows = self.texts.select(F.col("doc_id").alias("id"), "text").select("id", "text", slot)
-        some = rows.mapInArrow(likely, "id long, text binary, slot long").select("id", "text")
-        wanted = ids.select(F.col("id").alias("_id"), "digest")
-        found = some.join(wanted, F.col("id") == F.col("_id")).select("id", "text", "digest")
-        return found.mapInArrow(hashed, "id long, tokens binary")
+        return rows.mapInArrow(wanted, "id long, text binary, slot long").select("id", "text")
 
 
 def _digest(tokens: np.ndarray) -> bytes:
@@ -299,22 +289,36 @@ def _digest(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sizes of the two sets of each row and of what they have in common."""
-    for batch in batches:
-        one, other = ([np.frombuffer(t, np.uint64) for t in batch[c].to_pylist()] for c in ("tokens", "others"))
-        both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, other, strict=True)]
-        union = [len(x) + len(y) - c for x, y, c in zip(one, other, both, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch["a"], batch["b"], pa.array(both, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "both", "all"]
-        )
+def _compared(n: int):
+    """Sizes of what the two sets of each row have in common and in all.
+
+    Rows of one id may have several texts; those that are not meant are left out.
+    """
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = NgramHasher(n)
+        for batch in batches:
+            one, other = (hasher.sets(batch[c].to_pylist()) for c in ("text_a", "text_b"))
+            meant = [
+                k for k, (d, e) in enumerate(zip(batch["digest_a"].to_pylist(), batch["digest_b"].to_pylist(), strict=True))
+                if _digest(one[k]) == d and _digest(other[k]) == e
+            ]
+            both = [len(np.intersect1d(one[k], other[k], assume_unique=True)) for k in meant]
+            union = [len(one[k]) + len(other[k]) - c for k, c in zip(meant, both, strict=True)]
+            kept = pa.array(meant, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch["a"].take(kept), batch["b"].take(kept), pa.array(both, pa.int64()), pa.array(union, pa.int64())],
+                names=["a", "b", "both", "all"],
+            )
+
+    return compared
 
 
 class Join:
     """The links between representatives of equal sets."""
 
     def __init__(self, texts: DataFrame, base: DataFrame, n: int, share: tuple[int, int]) -> None:
-        self.share, self.sets = share, Sets(texts, n)
+        self.share, self.n, self.texts = share, n, Texts(texts)
         part, whole = share
         classes = base.where("size > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
         self.classes = stored(classes.where("rep IS NOT NULL"), "ngram-classes")
@@ -322,49 +326,51 @@ class Join:
         reps = base.where(F.size("combos") > 0).join(
             firsts, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest"))
         )
-        postings = reps.select(F.explode("combos").alias("combo"), "rep", "size", "digest")
+        reps = stored(reps.select("rep", "size", "digest", "combos"), "ngram-reps")
+        self.reps = reps.select("rep", "size", "digest")
+        postings = reps.select(F.explode("combos").alias("combo"), "rep")
         # Grouped by more than the join needs: the result is dealt out again, and the join can split hot combinations.
-        lists = postings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(
-            F.count("*").alias("members"), F.min(F.struct("rep", "size", "digest")).alias("hub")
-        )
-        lists = lists.where("members > 1").select(F.col("combo").alias("_combo"), "hub")
+        lists = postings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.count("*").alias("n"), F.min("rep").alias("hub"))
+        lists = lists.where("n > 1").select(F.col("combo").alias("_combo"), "hub")
         self.lists = stored(
-            postings.join(lists, F.col("combo") == F.col("_combo")).select(
-                "combo", "rep", "size", "digest", F.col("hub.rep").alias("hub"), F.col("hub.size").alias("hub_size"),
-                F.col("hub.digest").alias("hub_digest"),
-            ),
-            "ngram-lists",
-        )
+            postings.join(lists, F.col("combo") == F.col("_combo")).select("combo", "rep", "hub"), "ngram-lists"
+        )
         self.fits = lambda x, y: (x * whole >= y * part) & (y * whole >= x * part)
 
+    def sized(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose sizes allow a link, with their digests."""
+        one = self.reps.select(F.col("rep").alias("_a"), F.col("size").alias("size_a"), F.col("digest").alias("digest_a"))
+        two = self.reps.select(F.col("rep").alias("_b"), F.col("size").alias("size_b"), F.col("digest").alias("digest_b"))
+        both = pairs.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
+        return both.where(self.fits(F.col("size_a"), F.col("size_b"))).select("a", "b", "digest_a", "digest_b")
+
     def compared(self, pairs: DataFrame) -> DataFrame:
-        """a, b, both, all and linked of distinct pairs (a, b, and their digests)."""
-        ids = pairs.select(F.col("a").alias("id"), F.col("digest_a").alias("digest")).unionByName(
-            pairs.select(F.col("b").alias("id"), F.col("digest_b").alias("digest"))
+        """a, b, both, all and linked of distinct pairs (a, b)."""
+        pairs = stored(self.sized(pairs), "ngram-pairs")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        texts = self.texts.likely(ids)
+        one = pairs.join(texts.select(F.col("id").alias("_a"), F.col("text").alias("text_a")), F.col("a") == F.col("_a"))
+        two = one.drop("_a").join(
+            texts.select(F.col("id").alias("_b"), F.col("text").alias("text_b")), F.col("b") == F.col("_b")
+        )
+        found = two.select("a", "b", "digest_a", "digest_b", "text_a", "text_b").mapInArrow(
+            _compared(self.n), "a long, b long, both long, all long"
         )
-        sets = stored(self.sets.of(ids.distinct()), "ngram-sets")
-        one = pairs.select("a", "b").join(sets.withColumnRenamed("id", "_a"), F.col("a") == F.col("_a")).drop("_a")
-        other = sets.select(F.col("id").alias("_b"), F.col("tokens").alias("others"))
-        two = one.join(other, F.col("b") == F.col("_b")).select("a", "b", "tokens", "others")
-        found = two.mapInArrow(_compared, "a long, b long, both long, all long")
         part, whole = self.share
         return stored(found.withColumn("linked", F.col("both") * whole >= F.col("all") * part), "ngram-compared")
 
     def hub_pairs(self, lists: DataFrame) -> DataFrame:
         """Every member of a list with the list's hub, once."""
-        apart = (F.col("hub") != F.col("rep")) & self.fits(F.col("hub_size"), F.col("size"))
-        return lists.where(apart).groupBy(F.col("hub").alias("a"), F.col("rep").alias("b")).agg(
-            F.first("hub_digest").alias("digest_a"), F.first("digest").alias("digest_b")
-        )
+        return lists.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
 
     def open_lists(self, lists: DataFrame, compared: DataFrame, links: DataFrame) -> DataFrame:
         """What is left of the lists whose members are in several components: with each member's component and
         its distance to the hub (null if their sizes rule a link out)."""
         parts = stored(components(links), "ngram-parts")
-        named = lists.drop("part", "distance").join(
+        named = lists.join(
             parts.select(F.col("node").alias("_node"), F.col("component").alias("part")), F.col("rep") == F.col("_node"), "left"
         )
-        named = named.drop("_node").withColumn("part", F.coalesce("part", "rep"))
+        named = stored(named.select("combo", "rep", "hub", F.coalesce("part", "rep").alias("part")), "ngram-named")
         several = named.groupBy("combo", F.pmod("combo", F.lit(5))).agg(
             F.min("part").alias("least"), F.max("part").alias("most")
         )
@@ -378,32 +384,33 @@ class Join:
         return stored(left, "ngram-open")
 
     def next_hubs(self, lists: DataFrame) -> DataFrame:
-        """The lists with the member nearest to the hub, but for the hub itself, as their new hub."""
+        """Members with the one nearest to their list's hub, but for the hub itself, as their new hub, where it is in
+        another component."""
         nearest = lists.where("hub <> rep").groupBy("combo", F.pmod("combo", F.lit(5))).agg(
-            F.min(F.struct(F.coalesce("distance", F.lit(2.0)).alias("d"), "rep", "size", "digest", "part")).alias("next")
+            F.min(F.struct(F.coalesce("distance", F.lit(2.0)).alias("d"), "rep", "part")).alias("next")
         )
         nearest = nearest.select(F.col("combo").alias("_combo"), "next")
-        return lists.join(nearest, F.col("combo") == F.col("_combo")).select(
-            "combo", "rep", "size", "digest", "part", F.col("next.rep").alias("hub"), F.col("next.size").alias("hub_size"),
-            F.col("next.digest").alias("hub_digest"), F.col("next.part").alias("hub_part"),
-        )
+        return lists.join(nearest, (F.col("combo") == F.col("_combo")) & (F.col("part") != F.col("next.part"))).select(
+            "rep", F.col("next.rep").alias("hub")
+        )
 
     def rest_pairs(self, lists: DataFrame) -> DataFrame:
         """Pairs of a list in different components that the triangle inequality does not rule out."""
         part, whole = self.share
         reach = (whole - part) / whole + 1e-9
+        sizes = self.reps.select(F.col("rep").alias("_rep"), "size")
         ring = F.coalesce(F.floor(F.col("distance") / reach), F.lit(-9)).cast("int")
-        rings = lists.select("combo", "rep", "size", "digest", "part", "distance", ring.alias("ring"))
+        rings = lists.join(sizes, F.col("rep") == F.col("_rep")).select("combo", "rep", "size", "part", "distance", ring.alias("ring"))
         # Only rings that, with the next ones, have several components hold pairs.
         spans = rings.groupBy("combo", "ring").agg(F.min("part").alias("least"), F.max("part").alias("most"))
-        near = spans.select(
-            "combo", "least", "most",
-            F.explode(F.when(F.col("ring") < 0, F.expr("sequence(-9, 11)")).otherwise(
-                F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1, F.lit(-9)))).alias("ring"),
-        )
+        around = F.when(F.col("ring") < 0, F.sequence(F.lit(-9), F.lit(whole // (whole - part) + 1))).otherwise(
+            F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1, F.lit(-9))
+        )
+        near = spans.select("combo", "least", "most", F.explode(around).alias("ring"))
         near = near.groupBy("combo", "ring").agg(F.min("least").alias("least"), F.max("most").alias("most"))
         near = near.where("least <> most").select(F.col("combo").alias("_combo"), F.col("ring").alias("_ring"))
         rows = rings.join(near, (F.col("combo") == F.col("_combo")) & (F.col("ring") == F.col("_ring"))).drop("_combo", "_ring")
+        rows = stored(rows, "ngram-rings")
         other = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
         close = F.coalesce(F.abs(F.col("distance") - F.col("distance_b")) <= reach, F.lit(True))
         pairs = rows.join(
@@ -411,24 +418,20 @@ class Join:
             (F.col("combo") == F.col("combo_b")) & (F.col("rep") < F.col("rep_b")) & (F.col("part") != F.col("part_b"))
             & self.fits(F.col("size"), F.col("size_b")) & close,
         )
-        return pairs.groupBy(F.col("rep").alias("a"), F.col("rep_b").alias("b")).agg(
-            F.first("digest").alias("digest_a"), F.first("digest_b").alias("digest_b")
-        )
+        return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
     def links(self) -> DataFrame:
         """Links (a, b) whose components are those of all links."""
-        lists = self.lists
-        compared = self.compared(stored(self.hub_pairs(lists), "ngram-pairs"))
+        compared = self.compared(self.hub_pairs(self.lists))
         links = compared.where("linked").select("a", "b")
-        left = self.open_lists(lists, compared, links)
+        left = self.open_lists(self.lists, compared, links)
         for _ in range(HUB_ROUNDS - 1):
-            again = self.next_hubs(left)
-            # A hub's own component is joined already; distances are needed of the others only.
-            found = self.compared(stored(self.hub_pairs(again.where("part <> hub_part")), "ngram-pairs"))
+            # A hub's own component is joined already.
+            found = self.compared(self.hub_pairs(self.next_hubs(left)))
             links = links.unionByName(found.where("linked").select("a", "b"))
             # Distances stay those to the first hub, which all members have.
             left = self.open_lists(left.drop("part", "distance"), compared, links)
-        rest = self.compared(stored(self.rest_pairs(left), "ngram-pairs"))
+        rest = self.compared(self.rest_pairs(left))
         return links.unionByName(rest.where("linked").select("a", "b"))
 
 
