@@ -19,12 +19,13 @@ def split_hot(df: DataFrame, key: str, hot_rows: int | None) -> tuple[DataFrame,
 
     The counting pass reads one column and combines before its shuffle. At most
     ``rows / hot_rows`` keys can be hot, 200,000 long values for 10^12 rows,
-    which bounds the broadcast. ``hot_rows=None`` counts nothing and calls every
-    key hot.
+    which bounds the broadcast; with a smaller threshold there may be more, and
+    Spark chooses by size. ``hot_rows=None`` counts nothing and calls every key hot.
     """
     if hot_rows is None:
         return df.filter(F.lit(False)), df
-    hot_keys = F.broadcast(df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key))
+    hot_keys = df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
+    hot_keys = F.broadcast(hot_keys) if hot_rows >= HOT_ROWS else hot_keys
     return df.join(hot_keys, key, "left_anti"), df.join(hot_keys, key, "left_semi")
 
 

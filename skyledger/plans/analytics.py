@@ -132,7 +132,7 @@ def weekly_leaderboard(
     each task before the ranking shuffle, and names are looked up for the few
     rows that remain.
     """
-    days = F.broadcast(dim_date.select("date_key", "full_date", "year", "week_of_year"))
+    days = dim_date.select("date_key", "full_date", "year", "week_of_year")
     weekly = (
         air_quality.filter(F.col("aqi_value").isNotNull())
         .select("city_id", "date_key", unscaled(F.col("aqi_value"), scale).alias("_units"))

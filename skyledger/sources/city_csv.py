@@ -12,13 +12,17 @@ from ..schemas import CITY_CSV_COLUMNS
 CORRUPT = "_corrupt_record"
 
 
-def read_city_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_city_csv(spark: SparkSession, path: str, multiline: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(rows, too_wide)`` of the CSV at ``path``, a file or a folder of files.
 
     Short rows are padded with null and blank lines skipped. A row with more
     fields than the header cannot be placed and goes to ``too_wide`` as its raw
     text. ``ingest_seq`` is the position of a row in the input: file, split
     within the file, order within the split. A missing path raises at once.
+
+    With ``multiline`` a quoted field may hold line breaks, and each file is read
+    by one task. Without it large files are split, and lines that such a
+    field would tear apart, those with an open quote, go to ``too_wide`` too.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*CITY_CSV_COLUMNS, CORRUPT]])
     scanned = (
@@ -28,6 +32,7 @@ def read_city_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("escape", '"')
+        .option("multiLine", multiline)
         .csv(path)
         .withColumn("ingest_seq", ingest_position())
     )
@@ -35,13 +40,23 @@ def read_city_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     # the test: a line with more of them is longer than the ones kept.
     longer = F.length(F.col(CORRUPT)) > F.length(F.concat_ws("", *CITY_CSV_COLUMNS))
     wide = F.coalesce((field_count(F.col(CORRUPT)) > len(CITY_CSV_COLUMNS)) & longer, F.lit(False))
-    rows = scanned.filter(~wide).select("ingest_seq", *[na_to_null(F.col(c)).alias(c) for c in CITY_CSV_COLUMNS])
-    too_wide = scanned.filter(wide).select(
-        "ingest_seq", F.col(CORRUPT).alias("raw_line"), F.lit("too many fields").alias("reason")
+    # Fields are unquoted by the scan, but for the second half of a torn line.
+    torn = F.lit(False) if multiline else open_quote(F.coalesce(CORRUPT, F.concat_ws(",", *CITY_CSV_COLUMNS)))
+    scanned = scanned.withColumns({"_wide": wide, "_torn": torn})
+    rows = scanned.filter(~F.col("_wide") & ~F.col("_torn"))
+    rows = rows.select("ingest_seq", *[na_to_null(F.col(c)).alias(c) for c in CITY_CSV_COLUMNS])
+    too_wide = scanned.filter(F.col("_wide") | F.col("_torn")).select(
+        "ingest_seq",
+        F.coalesce(CORRUPT, F.concat_ws(",", *CITY_CSV_COLUMNS)).alias("raw_line"),
+        F.when(F.col("_torn"), "open quote").otherwise("too many fields").alias("reason"),
     )
     return rows, too_wide
 
 
+def open_quote(line: Column) -> Column:
+    return F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
+
+
 def ingest_position() -> Column:
     """Orders rows as they stand in the input; comparable across files and splits."""
     return F.struct(

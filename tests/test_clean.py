@@ -181,7 +181,7 @@ def test_csv_order_spans_files_and_splits(spark, tmp_path):
         (tmp_path / f"part-{part}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        rows, _ = read_city_csv(spark, str(tmp_path))
+        rows, _ = read_city_csv(spark, str(tmp_path), multiline=False)
         assert rows.rdd.getNumPartitions() > 3
         in_order = [r.population for r in rows.orderBy("ingest_seq").collect()]
         assert in_order == sorted(in_order)
@@ -199,3 +199,16 @@ def test_csv_with_other_columns_is_refused(spark, csv_file):
 def test_csv_missing(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_city_csv(spark, str(tmp_path / "nowhere.csv"))
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    from skyledger.sources.city_csv import read_city_csv
+
+    path = tmp_path / "cities.csv"
+    path.write_text('city_name,state,latitude,longitude,tier,population\n"New\nYork",X,1,2,1,5\nRome,Y,3,4,1,6\n')
+    rows, too_wide = read_city_csv(spark, str(path))
+    assert [r.city_name for r in rows.orderBy("ingest_seq").collect()] == ["New\nYork", "Rome"]
+    assert too_wide.count() == 0
+    rows, too_wide = read_city_csv(spark, str(path), multiline=False)
+    assert [r.city_name for r in rows.collect()] == ["Rome"]
+    assert {r.reason for r in too_wide.collect()} == {"open quote"} and too_wide.count() == 2

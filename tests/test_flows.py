@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import gate
+from skyledger.operators.checks import _recent
+from skyledger.operators.constraints import ConstraintViolation, mark_orphans
 from skyledger.operators.resolve import resolve_names
 from skyledger.plans import dimension_load, readings_load
 from skyledger.plans.analytics import rolling_24h_average
@@ -255,3 +257,98 @@ def test_stream_loads_each_file_once_and_replays_safely(spark, warehouse, frame)
 def test_shared_folder_is_required_on_a_cluster(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class Broken(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("step", ["swap_text", "below"])
+def test_a_write_that_fails_before_the_swap_leaves_the_old_table(spark, warehouse, monkeypatch, frame, step):
+    from skyledger.sources.versions import Files
+
+    land_weather(frame, warehouse, "run-1", FETCHED, (["Mumbai"], weather_answer("2024-09-26T14:00", 30)))
+    readings_load.load_weather(warehouse, "run-1")
+    tables = ["dim_city", "fact_weather_reading", "bronze"]
+    before = {t: sorted(map(str, warehouse.read(t).collect())) for t in tables}
+
+    def fail(*_):
+        raise Broken
+
+    monkeypatch.setattr(Files, step, fail)
+    with pytest.raises(Broken):
+        if step == "below":
+            warehouse.merge_bronze(warehouse.read("bronze").withColumn("run_id", F.lit("run-2")))
+        else:
+            dimension_load.load_dimension(warehouse, warehouse.city_file, F.lit(datetime(2025, 1, 1)))
+    monkeypatch.undo()
+    assert {t: sorted(map(str, warehouse.read(t).collect())) for t in tables} == before
+    dimension_load.load_dimension(warehouse, warehouse.city_file, F.lit(datetime(2025, 1, 1)))
+    assert {r.updated_at for r in warehouse.read("dim_city").collect()} == {datetime(2025, 1, 1)}
+    assert ids(warehouse) == {r.split("city_name='")[1].split("'")[0]: int(r.split("city_id=")[1].split(",")[0]) for r in before["dim_city"]}
+
+
+def test_a_lost_table_is_not_an_empty_one(spark, tmp_path):
+    import os
+
+    from skyledger.sources.versions import LostTable
+
+    warehouse = Warehouse(spark, str(tmp_path))
+    assert warehouse.read("dim_city").count() == 0
+    os.makedirs(f"{tmp_path}/dim_city/_temporary")
+    with pytest.raises(LostTable):
+        warehouse.read("dim_city")
+
+
+def test_loads_leave_no_scratch_and_keep_rejects_once(spark, warehouse, frame):
+    import os
+
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    land_weather(
+        frame, warehouse, "run/1 a", FETCHED,
+        (["Mumbai"], weather_answer("2024-09-26T14:00", 99999)), (["Pune"], weather_answer("no time", 1)),
+        (["Agra"], weather_answer("2024-09-26T14:00", 21)),
+    )
+    before = set(os.listdir(scratch))
+    for _ in range(2):
+        load = readings_load.load_weather(warehouse, "run/1 a")
+        assert (load.loaded, load.rejected, load.spoilt) == (1, 1, 1)
+        assert load.rejects.first().violations == ["temperature_c: does not fit"]
+        assert load.spoilt_documents.first().violations == ["bad time"]
+        assert '"city_id"' in load.spoilt_documents.first().document
+    assert warehouse.read("load_rejects").count() == 2
+    assert set(os.listdir(scratch)) == before
+    with pytest.raises(ConstraintViolation):
+        readings_load.load_weather(warehouse, "run/1 a", on_violation="fail")
+    assert set(os.listdir(scratch)) == before
+
+
+def test_scans_prune_by_run_and_by_day(warehouse, frame):
+    for day in (25, 26, 27):
+        land_weather(frame, warehouse, f"run-{day}", FETCHED.replace(day=day), (["Mumbai"], weather_answer(f"2024-09-{day}T14:00", day)))
+    documents = warehouse.run_documents(readings_load.WEATHER_API, "run-26")
+    assert documents.count() == 1
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "fetched_day" in filters and "source_api" in filters
+    readings_load.load_weather(warehouse, "run-26")
+    recent = _recent(warehouse.read("fact_weather_reading"), F.lit(FETCHED))
+    assert "reading_day" in recent._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_frequent_city_is_split_in_the_foreign_key_join(spark):
+    rows = spark.range(200_000).select(F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id")).cast("int").alias("city_id"), F.array().cast("array<string>").alias("violations"))
+    parent = spark.range(200_000).select(F.col("id").cast("int").alias("city_id"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        marked = mark_orphans(rows.repartition(8), "city_id", parent, "city_id")
+        marked.write.format("noop").mode("overwrite").save()
+        assert marked.filter(F.size("violations") > 0).count() == 0
+        marked.collect()
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
