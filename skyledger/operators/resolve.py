@@ -185,11 +185,20 @@ def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Data
     city name keeps at least one piece unchanged, and in the other name that
     piece has moved by no more than e. So close pairs meet on an equal piece
     (pigeonhole, as in partition-based similarity joins).
+
+    Not every move needs a look: take the first piece i such that the pieces up to it have
+    at most i edits. It has none itself, exactly i stand before it, and at most e - i after it.
+    So it has moved by i at most and by an even number less, and the rest of the length
+    difference is at most e - i. Lengths that no name on the other side has are skipped.
     """
     shortest = -(-(ENUMERATED_LENGTH + 1) * cutoff // (200 - cutoff))
     edits = F.call_function("div", (F.col("a") + F.col("b")) * (100 - cutoff), F.lit(100))
 
-    def with_other_length(df: DataFrame, own: str, other: str) -> DataFrame:
+    def lengths(df: DataFrame, name: str) -> DataFrame:
+        """As many rows as there are lengths."""
+        return df.select(F.length("text").alias(name)).distinct()
+
+    def with_other_length(df: DataFrame, own: str, other: str, others: DataFrame) -> DataFrame:
         length = F.length("text")
         low = F.ceil(length * cutoff / F.lit(200.0 - cutoff)).cast("int")
         high = F.floor(length * (200 - cutoff) / F.lit(float(cutoff))).cast("int")
@@ -197,6 +206,7 @@ def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Data
             df.filter(length >= shortest)
             .withColumn(own, length)
             .withColumn(other, F.explode(F.sequence(low, high)))
+            .join(lengths(others, other), other, "left_semi")
             .filter(F.greatest("a", "b") > ENUMERATED_LENGTH)
             .withColumn("e", edits)
             .withColumn("piece", F.explode(F.sequence(F.lit(0), F.least(F.col("e"), F.col("b") - 1))))
@@ -209,13 +219,16 @@ def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Data
         )
 
     keys = ["a", "b", "piece", "stretch"]
-    indexed = with_other_length(candidates, "b", "a").select(
+    indexed = with_other_length(candidates, "b", "a", probes).select(
         "a", "b", "piece", F.substr("text", F.col("start") + 1, F.col("size")).alias("stretch"),
         F.col("text").alias("city_text"), "city_id",
     )
-    moved = with_other_length(probes, "a", "b").withColumn("move", F.explode(F.sequence(-F.col("e"), F.col("e"))))
+    moved = with_other_length(probes, "a", "b", candidates).withColumn("move", F.explode(F.sequence(-F.col("e"), F.col("e"))))
     within = (F.col("start") + F.col("move")).between(0, F.col("a") - F.col("size"))
-    reachable = F.abs("move") + F.abs(F.col("a") - F.col("b") - F.col("move")) <= F.col("e")
+    rest = F.abs(F.col("a") - F.col("b") - F.col("move"))
+    first = (F.abs("move") <= F.col("piece")) & (F.pmod(F.col("move") - F.col("piece"), F.lit(2)) == 0)
+    first = first & (rest <= F.col("e") - F.col("piece"))
+    reachable = F.when(F.col("pieces") > F.col("e"), first).otherwise(F.abs("move") + rest <= F.col("e"))
     sought = moved.filter(within & reachable).select(
         "a", "b", "piece", F.substr("text", F.col("start") + F.col("move") + 1, F.col("size")).alias("stretch"), "text"
     )

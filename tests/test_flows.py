@@ -14,6 +14,7 @@ from skyledger.operators.constraints import ConstraintViolation, mark_orphans
 from skyledger.operators.resolve import resolve_names
 from skyledger.plans import dimension_load, readings_load
 from skyledger.plans.analytics import rolling_24h_average
+from skyledger.plans.name_load import resolve_and_store
 from skyledger.schemas import BRONZE, CITY_CSV_COLUMNS
 from skyledger.session import scratch_dir
 from skyledger.sources.landed import pair_batches, run_documents
@@ -352,3 +353,16 @@ def test_a_frequent_city_is_split_in_the_foreign_key_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_names_are_resolved_and_stored(warehouse, frame):
+    names = frame("raw_name string", "Mumbai", "Mumbaii", "Mumbaii", "Poona", "Atlantis", "Atlantis", " ", None)
+    load = resolve_and_store(warehouse, names, F.lit(FETCHED))
+    assert (load.exact, load.fuzzy, load.quarantined, load.blank) == (2, 1, 1, 2)
+    learned = {r.raw_alias: r.match_method for r in warehouse.read("dim_city_alias").collect()}
+    assert learned["Mumbaii"] == "fuzzy"
+    again = resolve_and_store(warehouse, names, F.lit(FETCHED + timedelta(hours=1)))
+    assert (again.exact, again.fuzzy, again.quarantined) == (3, 0, 1)
+    open_names = warehouse.read("quarantine_unmatched_city_names").collect()
+    assert [(r.raw_name, r.occurrence_count, r.first_seen_at, r.resolved) for r in open_names] == [("Atlantis", 4, FETCHED, False)]
+    assert warehouse.read("quarantine_unmatched_city_names").filter(~F.col("resolved")).count() == 1
