@@ -42,8 +42,8 @@ from .common import small_batches, stored
 CHUNK_BITS = 12
 #: Distinct words after which a chunk's counts are handed on and begun afresh.
 MOST_WORDS = 1_000_000
-#: Characters of words that go through the recursion at a time.
-CELLS = 300_000
+#: Words that a task gathers before the recursion, and characters of words that go through the recursion at a time.
+WORDS_AT_ONCE, CELLS = 50_000, 300_000
 ROUNDS = 3
 FILTER_BITS = 20
 SMOOTHING = 0.1
@@ -230,6 +230,19 @@ def expected_counts(words: list[str], counts: np.ndarray, logs: np.ndarray, voca
     return out
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Words in tables of some size: the recursion takes all words of one length together."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= WORDS_AT_ONCE:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
 _vocabularies: dict[str, Vocabulary] = {}
 
 
@@ -291,7 +304,7 @@ def trained(words: DataFrame, documents: int, path: str, rounds: int = ROUNDS) -
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             vocabulary, total = vocabulary_at(path), np.zeros(len(shared.value))
-            for batch in batches:
+            for batch in _gathered(batches):
                 known = [w.decode("utf-8", "replace") for w in batch["word"].to_pylist()]
                 total += expected_counts(known, batch["c"].to_numpy().astype(float), shared.value, vocabulary)
             some = np.nonzero(total)[0]
@@ -332,10 +345,10 @@ def score(
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary_at(vocabulary)
-        for batch in batches:
-            text = [w.decode("utf-8", "replace") for w in batch["word"].to_pylist()]
+        for table in _gathered(batches):
+            text = [w.decode("utf-8", "replace") for w in table["word"].to_pylist()]
             s = word_log_probabilities(text, shared.value, known) / np.log(10)
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["c"], pa.array(s)], names=["word", "c", "s"])
+            yield from table.select(["word", "c"]).append_column("s", pa.array(s)).combine_chunks().to_batches()
 
     by_word = words.mapInArrow(scored, "word binary, c long, s double").withColumnRenamed("word", "_word")
     back = pairs.select("chunk", "word").join(by_word, F.col("word") == F.col("_word")).drop("_word")

@@ -16,9 +16,10 @@ documents: collisions cost time, never a link.
 
 Documents with equal sets are one class from the start. Sets that share a
 combination are not paired with each other: each is compared with one of them, the
-hub, and the components of these links are formed. Then the member nearest to
-the hub is the next hub. What is still apart after that is compared directly, but for pairs that
-the triangle inequality of the Jaccard distance to the hub rules out. So groups of copies cost a
+hub (the one with the fewest rare tokens), and the components of these links are formed. Then the
+member nearest to the hub is the next hub. What is still apart after that is compared directly, but for pairs that
+the triangle inequality of the Jaccard distance to the hub rules out, or the number of their rare
+tokens. So groups of copies cost a
 comparison per copy, and no link is lost. Comparisons use the exact sets, of 64-bit hashes.
 
 Defined results: a null text or one without words has no n-grams, no links and itself as
@@ -41,8 +42,8 @@ from .common import small_batches, stored
 from .components import components
 
 BUCKET_BITS, SLICES = 20, 64
-#: A bucket of so many times the mean count makes its tokens frequent (pairs) or very frequent (triples).
-FREQUENT, VERY_FREQUENT = 4, 32
+#: A bucket that stands so many spreads above the mean makes its tokens frequent (pairs) or very frequent (triples).
+FREQUENT, VERY_FREQUENT, LEAST_SPREAD = 4, 32, 6
 #: Tokens of a size band for each class of pairs or triples.
 TOKENS_PER_CLASS = 64
 CANDIDATE_BITS = 22
@@ -136,8 +137,11 @@ class Prefixes:
         part, whole = self.share
         return {size.bit_length(), (size * whole // part).bit_length()}
 
-    def combinations_of(self, tokens: np.ndarray) -> np.ndarray:
-        """Keys of the indexed combinations. ``tokens`` are distinct hashes."""
+    def combinations_of(self, tokens: np.ndarray) -> tuple[np.ndarray, int]:
+        """Keys of the indexed combinations, and the number of rare tokens if all of them are indexed, else -1.
+
+        ``tokens`` are distinct hashes. Keys of single tokens are even, others odd.
+        """
         level = self.levels[(tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
         # The order: level, then hash. Levels 0 to 255; classes follow from the level.
         keys = np.sort((level.astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8)))
@@ -145,10 +149,10 @@ class Prefixes:
         rare = int(np.searchsorted(keys, np.uint64(1 << 62)))
         for band in sorted(self.bands(len(keys))):
             salt = np.uint64(band * 0x2545F4914F6CDD1D % (1 << 64))
-            out.append(_mixed(keys[: min(rare, needed)] + salt))
+            out.append(_mixed(keys[: min(rare, needed)] + salt) & ~np.uint64(1))
             if rare < needed:
-                out.append(self._frequent(keys[rare:], needed - rare, band, salt))
-        return np.unique(np.concatenate(out))
+                out.append(self._frequent(keys[rare:], needed - rare, band, salt) | np.uint64(1))
+        return np.unique(np.concatenate(out)), rare if rare < needed else -1
 
     @staticmethod
     def _frequent(keys: np.ndarray, needed: int, band: int, salt: np.uint64) -> np.ndarray:
@@ -171,12 +175,16 @@ class Prefixes:
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
-    """Order of the buckets as numbers up to 255: rare below 64, frequent below 128, very frequent above."""
-    mean = max(1.0, counts.sum() / len(counts))
-    steep = np.log2(1 + counts / mean)
+    """Order of the buckets as numbers up to 255: rare below 64, frequent below 128, very frequent above.
+
+    What counts is how far a bucket stands out from the mean, in units of the spread that
+    chance gives buckets. So lists of rare tokens hardly grow with the input.
+    """
+    mean = counts.mean()
+    above = (counts - mean) / max(LEAST_SPREAD, np.sqrt(mean))
     out = np.where(
-        counts < FREQUENT * mean, np.minimum(63, 24 * steep),
-        np.where(counts < VERY_FREQUENT * mean, 64 + np.minimum(63, 10 * steep), 128 + np.minimum(127, 4 * steep)),
+        above < FREQUENT, np.clip(32 + 7 * above, 0, 63),
+        np.where(above < VERY_FREQUENT, np.minimum(127, 64 + 2 * above), 128 + np.minimum(127, 8 * np.log2(1 + above))),
     )
     return out.astype(np.uint8)
 
@@ -211,7 +219,7 @@ def frequency_levels(texts: DataFrame, n: int) -> np.ndarray:
 
 
 def indexed(texts: DataFrame, n: int, share: tuple[int, int], levels: np.ndarray) -> DataFrame:
-    """Each document's set size, a 128-bit hash of its set, and its combinations."""
+    """Each document's set size, a 128-bit hash of its set, its combinations, and what ``combinations_of`` counts."""
     shared = texts.sparkSession.sparkContext.broadcast(levels)  # 1 MB at any input
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,17 +227,18 @@ def indexed(texts: DataFrame, n: int, share: tuple[int, int], levels: np.ndarray
         for batch in batches:
             sets = hasher.sets(batch["text"].to_pylist())
             least = _least_size(share)
-            combos = [prefixes.combinations_of(s).astype(np.int64) if len(s) >= least else [] for s in sets]
+            found = [prefixes.combinations_of(s) if len(s) >= least else (np.empty(0), -1) for s in sets]
+            combos, rare = [keys.astype(np.int64) for keys, _ in found], [n for _, n in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s) for s in sets], pa.binary()),
-                    pa.array(combos, pa.list_(pa.int64())),
+                    pa.array(combos, pa.list_(pa.int64())), pa.array(rare, pa.int32()),
                 ],
-                names=["doc_id", "size", "digest", "combos"],
+                names=["doc_id", "size", "digest", "combos", "rare"],
             )
 
-    return texts.mapInArrow(made, "doc_id long, size long, digest binary, combos array<long>")
+    return texts.mapInArrow(made, "doc_id long, size long, digest binary, combos array<long>, rare int")
 
 
 def _least_size(share: tuple[int, int]) -> int:
@@ -326,23 +335,49 @@ class Join:
         reps = base.where(F.size("combos") > 0).join(
             firsts, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest"))
         )
-        reps = stored(reps.select("rep", "size", "digest", "combos"), "ngram-reps")
-        self.reps = reps.select("rep", "size", "digest")
+        reps = stored(reps.select("rep", "size", "digest", "combos", "rare"), "ngram-reps")
         postings = reps.select(F.explode("combos").alias("combo"), "rep")
         # Grouped by more than the join needs: the result is dealt out again, and the join can split hot combinations.
-        lists = postings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.count("*").alias("n"), F.min("rep").alias("hub"))
-        lists = lists.where("n > 1").select(F.col("combo").alias("_combo"), "hub")
-        self.lists = stored(
-            postings.join(lists, F.col("combo") == F.col("_combo")).select("combo", "rep", "hub"), "ngram-lists"
+        shared = postings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.count("*").alias("n")).where("n > 1")
+        shared = shared.select(F.col("combo").alias("_combo"))
+        members = stored(
+            postings.join(shared, F.col("combo") == F.col("_combo")).select("combo", "rep"), "ngram-members"
         )
+        self.reps = reps.select("rep", "size", "digest", F.when(F.col("rare") >= 0, F.col("rare")).alias("rare"))
+        self.lists = stored(self._with_hubs(members), "ngram-lists")
         self.fits = lambda x, y: (x * whole >= y * part) & (y * whole >= x * part)
 
+    def _with_hubs(self, members: DataFrame) -> DataFrame:
+        """Lists with their hub: the member with the fewest rare tokens, as it is nearest to the others."""
+        known = self.reps.select(F.col("rep").alias("_rep"), "size", "rare")
+        rows = stored(members.join(known, F.col("rep") == F.col("_rep")).drop("_rep"), "ngram-sized")
+        first = F.min(F.struct(F.coalesce("rare", F.lit(2**31)).alias("rank"), "rep", "size", "rare")).alias("first")
+        hubs = rows.groupBy("combo", F.pmod("combo", F.lit(5))).agg(first).select(F.col("combo").alias("_combo"), "first")
+        return rows.join(hubs, F.col("combo") == F.col("_combo")).select(
+            "combo", "rep", "size", "rare", F.col("first.rep").alias("hub"), F.col("first.size").alias("hub_size"),
+            F.col("first.rare").alias("hub_rare"),
+        )
+
+    def _apart(self, combo, size_a, rare_a, size_b, rare_b):
+        """Whether two sets need no comparison for sharing ``combo``.
+
+        Of a combination of frequent tokens, with all rare tokens of both sets indexed: if they shared one of those, they
+        would meet there. Else either lacks all rare tokens of the other; with the difference of the sizes this is a
+        bound of how many tokens only one of them has, which for similar sets is at most
+        (1 - share) / (1 + share) of both sizes together.
+        """
+        part, whole = self.share
+        differ = F.greatest(2 * rare_a - size_a + size_b, 2 * rare_b - size_b + size_a)
+        known = rare_a.isNotNull() & rare_b.isNotNull() & (combo % 2 != 0)
+        return known & (differ * (whole + part) > (size_a + size_b) * (whole - part))
+
     def sized(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes allow a link, with their digests."""
-        one = self.reps.select(F.col("rep").alias("_a"), F.col("size").alias("size_a"), F.col("digest").alias("digest_a"))
-        two = self.reps.select(F.col("rep").alias("_b"), F.col("size").alias("size_b"), F.col("digest").alias("digest_b"))
+        """Pairs (a, b) with the digests of their sets."""
+        one, two = (
+            self.reps.select(F.col("rep").alias(f"_{x}"), F.col("digest").alias(f"digest_{x}")) for x in ("a", "b")
+        )
         both = pairs.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
-        return both.where(self.fits(F.col("size_a"), F.col("size_b"))).select("a", "b", "digest_a", "digest_b")
+        return both.select("a", "b", "digest_a", "digest_b")
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """a, b, both, all and linked of distinct pairs (a, b)."""
@@ -360,17 +395,20 @@ class Join:
         return stored(found.withColumn("linked", F.col("both") * whole >= F.col("all") * part), "ngram-compared")
 
     def hub_pairs(self, lists: DataFrame) -> DataFrame:
-        """Every member of a list with the list's hub, once."""
-        return lists.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+        """Every member of a list that may be linked with the list's hub, with the hub, once."""
+        sizes = F.col("hub_size"), F.col("size")
+        apart = self._apart(F.col("combo"), sizes[0], F.col("hub_rare"), sizes[1], F.col("rare"))
+        rows = lists.where((F.col("hub") != F.col("rep")) & self.fits(*sizes) & ~apart)
+        return rows.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
 
     def open_lists(self, lists: DataFrame, compared: DataFrame, links: DataFrame) -> DataFrame:
         """What is left of the lists whose members are in several components: with each member's component and
-        its distance to the hub (null if their sizes rule a link out)."""
+        its distance to the hub (null if they were not compared)."""
         parts = stored(components(links), "ngram-parts")
         named = lists.join(
             parts.select(F.col("node").alias("_node"), F.col("component").alias("part")), F.col("rep") == F.col("_node"), "left"
         )
-        named = stored(named.select("combo", "rep", "hub", F.coalesce("part", "rep").alias("part")), "ngram-named")
+        named = stored(named.withColumn("part", F.coalesce("part", "rep")).drop("_node"), "ngram-named")
         several = named.groupBy("combo", F.pmod("combo", F.lit(5))).agg(
             F.min("part").alias("least"), F.max("part").alias("most")
         )
@@ -386,21 +424,26 @@ class Join:
     def next_hubs(self, lists: DataFrame) -> DataFrame:
         """Members with the one nearest to their list's hub, but for the hub itself, as their new hub, where it is in
         another component."""
-        nearest = lists.where("hub <> rep").groupBy("combo", F.pmod("combo", F.lit(5))).agg(
-            F.min(F.struct(F.coalesce("distance", F.lit(2.0)).alias("d"), "rep", "part")).alias("next")
-        )
+        near = F.struct(F.coalesce("distance", F.lit(2.0)).alias("d"), "rep", "part", "size", "rare")
+        nearest = lists.where("hub <> rep").groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.min(near).alias("next"))
         nearest = nearest.select(F.col("combo").alias("_combo"), "next")
         return lists.join(nearest, (F.col("combo") == F.col("_combo")) & (F.col("part") != F.col("next.part"))).select(
-            "rep", F.col("next.rep").alias("hub")
-        )
+            "combo", "rep", "size", "rare", F.col("next.rep").alias("hub"), F.col("next.size").alias("hub_size"),
+            F.col("next.rare").alias("hub_rare"),
+        )
 
     def rest_pairs(self, lists: DataFrame) -> DataFrame:
-        """Pairs of a list in different components that the triangle inequality does not rule out."""
+        """Pairs of a list in different components that neither the triangle inequality nor their rare tokens rule out."""
         part, whole = self.share
         reach = (whole - part) / whole + 1e-9
-        sizes = self.reps.select(F.col("rep").alias("_rep"), "size")
         ring = F.coalesce(F.floor(F.col("distance") / reach), F.lit(-9)).cast("int")
-        rings = lists.join(sizes, F.col("rep") == F.col("_rep")).select("combo", "rep", "size", "part", "distance", ring.alias("ring"))
+        rings = lists.select("combo", "rep", "size", "rare", "part", "distance", ring.alias("ring"))
+        # A member whose rare tokens keep it from all others of its list, the smallest included, has no pairs.
+        least = rings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.min("size").alias("_least"), F.count_if(F.col("rare").isNull()).alias("_open"))
+        rings = rings.join(least.select(F.col("combo").alias("_combo"), "_least", "_open"), F.col("combo") == F.col("_combo"))
+        smallest = F.greatest(F.col("_least"), F.ceil(F.col("size") * part / whole))
+        alone = (F.col("_open") == 0) & self._apart(F.col("combo"), F.col("size"), F.col("rare"), smallest, F.lit(0))
+        rings = rings.where(~alone).drop("_combo", "_least", "_open")
         # Only rings that, with the next ones, have several components hold pairs.
         spans = rings.groupBy("combo", "ring").agg(F.min("part").alias("least"), F.max("part").alias("most"))
         around = F.when(F.col("ring") < 0, F.sequence(F.lit(-9), F.lit(whole // (whole - part) + 1))).otherwise(
@@ -416,7 +459,8 @@ class Join:
         pairs = rows.join(
             other,
             (F.col("combo") == F.col("combo_b")) & (F.col("rep") < F.col("rep_b")) & (F.col("part") != F.col("part_b"))
-            & self.fits(F.col("size"), F.col("size_b")) & close,
+            & self.fits(F.col("size"), F.col("size_b")) & close
+            & ~self._apart(F.col("combo"), F.col("size"), F.col("rare"), F.col("size_b"), F.col("rare_b")),
         )
         return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
