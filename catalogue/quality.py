@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.times import date_key
@@ -17,8 +17,8 @@ from skyledger.session import scratch_dir
 from skyledger.sources.tables import Warehouse
 from skyledger.sources.versions import VersionedTable
 
-from .resolving import known_aliases, named_cities, spelled_names
-from .standins import MEASURE, before_latest_event, dim_city, events, readings, table
+from .resolving import known_aliases, named_cities
+from .standins import before_latest_event, dim_city, events, readings, table
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

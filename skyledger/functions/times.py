@@ -65,7 +65,3 @@ def offset_instant(text: Column, offset: Column) -> Column:
 def date_key(local: Column) -> Column:
     """yyyymmdd of a local date or timestamp."""
     return (F.year(local) * 10000 + F.month(local) * 100 + F.dayofmonth(local)).cast("int")
-
-
-def hours_between(later: Column, earlier: Column) -> Column:
-    return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(3.6e9)
