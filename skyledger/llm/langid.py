@@ -156,7 +156,7 @@ def fitted(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs
 
 def trained(rows: DataFrame, text_column: str = "text", lang_column: str = "lang") -> ByteCnn | None:
     """A network fitted to a bounded sample of ``rows``; None if no row has a text and a language."""
-    spark = small_batches(rows.sparkSession)
+    small_batches(rows.sparkSession)
     taught = rows.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
@@ -179,7 +179,7 @@ def trained(rows: DataFrame, text_column: str = "text", lang_column: str = "lang
 
     sample = drawn.select("lang", "text").mapInArrow(cut, "lang string, part binary").toPandas()
     sample = sample.sort_values(["lang", "part"])
-    if spark and not len(sample):
+    if not len(sample):
         return None
     languages = sorted(sample["lang"].unique())
     windows = np.frombuffer(b"".join(sample["part"]), dtype=np.uint8).reshape(-1, WINDOW)
