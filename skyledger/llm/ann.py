@@ -265,7 +265,7 @@ class Graph:
 
     def search(self, queries: DataFrame, beam: int = BEAM, width: int = WIDTH, rounds: int = SEARCH_ROUNDS) -> DataFrame:
         """query and its list of best nodes (``others``, best first). ``queries`` has query, entry (a node) and unit."""
-        asked = max(1, queries.count() // 64)
+        asked = max(1, queries.count() // 16)  # groups of queries
         edges = stored(self.adjacency(), "ann-edges")
 
         def group(column: str) -> Column:
