@@ -414,11 +414,13 @@ class Join:
         )
         several = several.where("least <> most").select(F.col("combo").alias("_combo"))
         known = compared.select(
-            F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("both") / F.col("all")).alias("distance")
+            F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("both") / F.col("all")).alias("distance"), "both"
         )
         left = named.join(several, F.col("combo") == F.col("_combo")).drop("_combo")
         left = left.join(known, (F.col("hub") == F.col("_a")) & (F.col("rep") == F.col("_b")), "left").drop("_a", "_b")
-        left = left.withColumn("distance", F.when(F.col("hub") == F.col("rep"), 0.0).otherwise(F.col("distance")))
+        is_hub = F.col("hub") == F.col("rep")
+        left = left.withColumn("distance", F.when(is_hub, 0.0).otherwise(F.col("distance")))
+        left = left.withColumn("both", F.when(is_hub, F.col("size")).otherwise(F.col("both")))
         return stored(left, "ngram-open")
 
     def next_hubs(self, lists: DataFrame) -> DataFrame:
@@ -437,7 +439,13 @@ class Join:
         part, whole = self.share
         reach = (whole - part) / whole + 1e-9
         ring = F.coalesce(F.floor(F.col("distance") / reach), F.lit(-9)).cast("int")
-        rings = lists.select("combo", "rep", "size", "rare", "part", "distance", ring.alias("ring"))
+        # What a member has beside the hub's tokens, how much of that may be frequent, and what of the hub's it lacks.
+        beside = F.col("size") - F.col("both")
+        usual = beside - F.greatest(F.lit(0), F.col("rare") - F.col("hub_rare"))
+        rings = lists.select(
+            "combo", "rep", "size", "rare", "part", "distance", ring.alias("ring"), beside.alias("beside"),
+            usual.alias("usual"), (F.col("hub_size") - F.col("both")).alias("lacked"),
+        )
         # A member whose rare tokens keep it from all others of its list, the smallest included, has no pairs.
         least = rings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.min("size").alias("_least"), F.count_if(F.col("rare").isNull()).alias("_open"))
         rings = rings.join(least.select(F.col("combo").alias("_combo"), "_least", "_open"), F.col("combo") == F.col("_combo"))
@@ -456,11 +464,16 @@ class Join:
         rows = stored(rows, "ngram-rings")
         other = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
         close = F.coalesce(F.abs(F.col("distance") - F.col("distance_b")) <= reach, F.lit(True))
+        # In a list of frequent tokens two members share no rare ones, or they would meet there: beside the hub's
+        # tokens they share no more than what either has of usual ones.
+        differ = F.col("beside") + F.col("beside_b") - 2 * F.least("usual", "usual_b") + F.abs(F.col("lacked") - F.col("lacked_b"))
+        differ = F.when(F.col("usual").isNotNull() & F.col("usual_b").isNotNull() & (F.col("combo") % 2 != 0), differ)
+        too_far = F.coalesce(differ * (whole + part) > (F.col("size") + F.col("size_b")) * (whole - part), F.lit(False))
         pairs = rows.join(
             other,
             (F.col("combo") == F.col("combo_b")) & (F.col("rep") < F.col("rep_b")) & (F.col("part") != F.col("part_b"))
             & self.fits(F.col("size"), F.col("size_b")) & close
-            & ~self._apart(F.col("combo"), F.col("size"), F.col("rare"), F.col("size_b"), F.col("rare_b")),
+            & ~self._apart(F.col("combo"), F.col("size"), F.col("rare"), F.col("size_b"), F.col("rare_b")) & ~too_far,
         )
         return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
@@ -474,7 +487,7 @@ class Join:
             found = self.compared(self.hub_pairs(self.next_hubs(left)))
             links = links.unionByName(found.where("linked").select("a", "b"))
             # Distances stay those to the first hub, which all members have.
-            left = self.open_lists(left.drop("part", "distance"), compared, links)
+            left = self.open_lists(left.drop("part", "distance", "both"), compared, links)
         rest = self.compared(self.rest_pairs(left))
         return links.unionByName(rest.where("linked").select("a", "b"))
 
