@@ -13,8 +13,8 @@ fitted on the driver, to a sample of ``SAMPLE`` vectors.
 Rows with equal vectors are one node, so that copies do not fill the lists of
 their neighbours; they come back as rows of their own in the result.
 
-The graph works on unit vectors in half precision; results are scored anew in double precision on the original
-vectors.
+The graph works on unit vectors in single precision, multiplied in double precision. All nodes of a query's last list
+are scored anew in double precision on the original vectors, so that near copies come in their true order.
 
 Defined results: vectors that are null, empty or zero, hold null or non-finite
 components, or have another length than most (the longer, if as many) take no
@@ -40,8 +40,8 @@ SAMPLE, SEED = 5000, 20240610
 #: Nodes in a block, on average; a block is worked on in one call.
 BLOCK = 256
 
-LISTS = "block long, node long, neighbours array<long>, likeness array<float>"
-FOUND = "block long, node long, other long, likeness float"
+LISTS = "block long, node long, neighbours array<long>, likeness array<double>"
+FOUND = "block long, node long, other long, likeness double"
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -61,9 +61,9 @@ def _block(node: Column | str, blocks: int) -> Column:
 
 
 def _units(column: pa.ChunkedArray) -> np.ndarray:
-    """Half-precision vectors from their bytes, as single precision."""
+    """Single-precision vectors from their bytes, as doubles: products of near copies differ in the last digits."""
     data = column.to_pylist()
-    return np.frombuffer(b"".join(data), np.float16).reshape(len(data), -1).astype(np.float32)
+    return np.frombuffer(b"".join(data), np.float32).reshape(len(data), -1).astype(np.float64)
 
 
 def best_lists(node: np.ndarray, other: np.ndarray, likeness: np.ndarray, most: int):
@@ -88,7 +88,7 @@ def _as_lists(block: int, node: np.ndarray, other: np.ndarray, likeness: np.ndar
             "block": pa.array(np.full(len(nodes), block), pa.int64()),
             "node": pa.array(nodes, pa.int64()),
             "neighbours": pa.ListArray.from_arrays(offsets, pa.array(other, pa.int64())),
-            "likeness": pa.ListArray.from_arrays(offsets, pa.array(likeness, pa.float32())),
+            "likeness": pa.ListArray.from_arrays(offsets, pa.array(likeness, pa.float64())),
         }
     )
 
@@ -111,18 +111,18 @@ class Graph:
         marked = rows.withColumn("a", F.xxhash64(F.lit(1), "vector")).withColumn("b", F.xxhash64(F.lit(2), "vector"))
         nodes = marked.groupBy("a", "b").agg(F.min("vec_id").alias("node"), F.first("vector").alias("vector"))
 
-        def halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x = np.array(batch["vector"].to_pylist(), dtype=np.float64)
                 if len(x):
                     x = x / np.abs(x).max(axis=1, keepdims=True)  # keeps huge and tiny components in range
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
-                unit = pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())
+                unit = pa.array([v.tobytes() for v in x.astype(np.float32)], pa.binary())
                 arrays = [batch[c] for c in ("node", "a", "b", "vector")] + [unit]
                 yield pa.RecordBatch.from_arrays(arrays, names=["node", "a", "b", "vector", "unit"])
 
         self.nodes = stored(
-            nodes.mapInArrow(halved, "node long, a long, b long, vector array<double>, unit binary"), "ann-nodes"
+            nodes.mapInArrow(shortened, "node long, a long, b long, vector array<double>, unit binary"), "ann-nodes"
         )
         self.rows, self.spark = marked, spark
         self.size = self.nodes.count()
@@ -132,10 +132,10 @@ class Graph:
     def first_lists(self) -> DataFrame:
         """Lists from the buckets of all tables."""
         sample = self.nodes.orderBy(uniform("node", seed=SEED)).limit(SAMPLE).select("unit").toPandas()["unit"]
-        known = np.frombuffer(b"".join(sample), np.float16).reshape(len(sample), -1).astype(np.float32)
+        known = np.frombuffer(b"".join(sample), np.float32).reshape(len(sample), -1).astype(np.float64)
         bits = max(0, ceil(log2(max(1, self.size / BUCKET))))
-        planes = np.random.default_rng(SEED).normal(size=(known.shape[1], TABLES * bits)).astype(np.float32)
-        offsets = np.median(known @ planes, axis=0) if bits else np.zeros(0, np.float32)
+        planes = np.random.default_rng(SEED).normal(size=(known.shape[1], TABLES * bits))
+        offsets = np.median(known @ planes, axis=0) if bits else np.zeros(0)
 
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -161,7 +161,7 @@ class Graph:
             np.fill_diagonal(likeness, -9)
             most = min(NEIGHBOURS, len(node) - 1)
             if most < 1:
-                return pa.table({"node": pa.array([], pa.int64()), "neighbours": pa.array([], pa.list_(pa.int64())), "likeness": pa.array([], pa.list_(pa.float32()))})
+                return pa.table({"node": pa.array([], pa.int64()), "neighbours": pa.array([], pa.list_(pa.int64())), "likeness": pa.array([], pa.list_(pa.float64()))})
             best = np.argpartition(-likeness, most - 1, axis=1)[:, :most]
             offsets = pa.array(np.arange(0, len(node) * most + 1, most), pa.int32())
             return pa.table(
@@ -173,7 +173,7 @@ class Graph:
             )
 
         found = dealt.select("table", "code", part.alias("part"), "node", "unit").groupBy("table", "code", "part").applyInArrow(
-            compared, "node long, neighbours array<long>, likeness array<float>"
+            compared, "node long, neighbours array<long>, likeness array<double>"
         )
 
         def merged(key: tuple, table: pa.Table) -> pa.Table:
@@ -195,9 +195,9 @@ class Graph:
             return rows.select(F.col(centre).alias("centre"), F.col(member).alias("member"))
 
         members = some("node", "other").unionByName(some("other", "node")).distinct()
-        last = lists.select(F.col("node").alias("_node"), F.when(F.size("likeness") >= NEIGHBOURS, F.element_at("likeness", -1)).otherwise(-9.0).cast("float").alias("least"))
+        last = lists.select(F.col("node").alias("_node"), F.when(F.size("likeness") >= NEIGHBOURS, F.element_at("likeness", -1)).otherwise(-9.0).cast("double").alias("least"))
         info = self.nodes.select("node", "unit").join(last, F.col("node") == F.col("_node"), "left").drop("_node")
-        info = stored(info.withColumn("least", F.coalesce("least", F.lit(-9.0).cast("float"))), "ann-info")
+        info = stored(info.withColumn("least", F.coalesce("least", F.lit(-9.0).cast("double"))), "ann-info")
         local = members.join(info, F.col("member") == F.col("node")).select(
             _block("centre", self.blocks), "centre", "member", "unit", "least"
         )
@@ -217,7 +217,7 @@ class Graph:
             node, other, likeness = best_lists(node, other, likeness, NEIGHBOURS)
             return pa.table({"node": node, "other": other, "likeness": likeness})
 
-        found = local.groupBy("block").applyInArrow(compared, "node long, other long, likeness float")
+        found = local.groupBy("block").applyInArrow(compared, "node long, other long, likeness double")
         found = found.select(_block("node", self.blocks), "*")
 
         def merged(key: tuple, old: pa.Table, new: pa.Table) -> pa.Table:
@@ -272,18 +272,18 @@ class Graph:
             return F.pmod(F.xxhash64(F.lit(SEED + 2), column), F.lit(asked)).alias("group")
 
         state = queries.select(
-            group("query"), "query", "unit", F.array("entry").alias("others"), F.array(F.lit(2.0).cast("float")).alias("likeness"),
+            group("query"), "query", "unit", F.array("entry").alias("others"), F.array(F.lit(2.0).cast("double")).alias("likeness"),
             F.array(F.lit(True)).alias("open"),
         )
-        kind = "group long, query long, unit binary, others array<long>, likeness array<float>, open array<boolean>"
+        kind = "group long, query long, unit binary, others array<long>, likeness array<double>, open array<boolean>"
         state = stored(state.select(*[F.col(c) for c in state.columns]), "ann-state")
 
         def expanded(front: pa.Table, known: pa.Table) -> pa.Table:
             if not front.num_rows or not known.num_rows:
-                return pa.table({"query": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "likeness": pa.array([], pa.float32())})
+                return pa.table({"query": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "likeness": pa.array([], pa.float64())})
             nodes = np.frombuffer(known["nodes"][0].as_py(), np.int64)
             others = np.frombuffer(known["others"][0].as_py(), np.int64)
-            units = np.frombuffer(known["units"][0].as_py(), np.float16).reshape(len(nodes), -1).astype(np.float32)
+            units = np.frombuffer(known["units"][0].as_py(), np.float32).reshape(len(nodes), -1).astype(np.float64)
             at = front["node"].to_numpy()
             a, b = np.searchsorted(nodes, at), np.searchsorted(nodes, at, side="right")
             own, query, least = _units(front["unit"]), front["query"].to_numpy(), front["least"].to_numpy()
@@ -294,7 +294,7 @@ class Graph:
                 out.append((np.full(len(good), query[k]), others[a[k] + good], likeness[good]))
             query, other, likeness = (np.concatenate(x) for x in zip(*out, strict=True))
             query, other, likeness = best_lists(query, other, likeness, beam)
-            return pa.table({"query": query.astype(np.int64), "other": other, "likeness": likeness.astype(np.float32)})
+            return pa.table({"query": query.astype(np.int64), "other": other, "likeness": likeness})
 
         def merged(state: pa.Table, found: pa.Table) -> pa.Table:
             found_query = found["query"].to_numpy()
@@ -310,22 +310,22 @@ class Graph:
                 held = set(row["others"])
                 fresh = np.array([o not in held for o in other[a:b].tolist()], dtype=bool)
                 ids = np.concatenate([np.array(row["others"], np.int64), other[a:b][fresh]])
-                scores = np.concatenate([np.array(row["likeness"], np.float32), likeness[a:b][fresh]])
+                scores = np.concatenate([np.array(row["likeness"], np.float64), likeness[a:b][fresh]])
                 still = np.concatenate([still, np.ones(int(fresh.sum()), bool)])
                 ids, at = np.unique(ids, return_index=True)
                 scores, still = scores[at], still[at]
                 best = np.lexsort((ids, -scores))[:beam]
                 out.append(row | {"others": ids[best].tolist(), "likeness": scores[best].tolist(), "open": still[best].tolist()})
-            schema = pa.schema([("group", pa.int64()), ("query", pa.int64()), ("unit", pa.binary()), ("others", pa.list_(pa.int64())), ("likeness", pa.list_(pa.float32())), ("open", pa.list_(pa.bool_()))])
+            schema = pa.schema([("group", pa.int64()), ("query", pa.int64()), ("unit", pa.binary()), ("others", pa.list_(pa.int64())), ("likeness", pa.list_(pa.float64())), ("open", pa.list_(pa.bool_()))])
             return pa.Table.from_pylist(out, schema)
 
         for _ in range(rounds):
             looked = F.slice(F.filter("others", lambda o, i: F.element_at("open", i + 1)), 1, width)
-            least = F.when(F.size("others") >= beam, F.element_at("likeness", -1)).otherwise(F.lit(-9.0)).cast("float")
+            least = F.when(F.size("others") >= beam, F.element_at("likeness", -1)).otherwise(F.lit(-9.0)).cast("double")
             front = state.select("query", "unit", least.alias("least"), F.explode(looked).alias("node"))
             front = front.select(_block("node", self.blocks), "*")
             found = front.groupBy("block").cogroup(edges.groupBy("block")).applyInArrow(
-                expanded, "query long, other long, likeness float"
+                expanded, "query long, other long, likeness double"
             )
             found = found.select(group("query"), "*")
             state = stored(state.groupBy("group").cogroup(found.groupBy("group")).applyInArrow(merged, kind), "ann-state")
@@ -346,7 +346,7 @@ class Graph:
         own = self.nodes.select("node", "unit", "vector")
         queries = stored(asked.select("node").distinct().join(own, "node"), "ann-queries")
         found = self.search(queries.select(F.col("node").alias("query"), F.col("node").alias("entry"), "unit"))
-        pairs = found.select("query", F.explode(F.concat(F.array("query"), F.slice(F.array_except("others", F.array("query")), 1, 3 * k + 5))).alias("other"))
+        pairs = found.select("query", F.explode(F.array_union(F.array("query"), "others")).alias("other"))
         one = self.nodes.select(F.col("node").alias("_one"), F.col("vector").alias("x"))
         two = self.nodes.select(F.col("node").alias("_two"), F.col("vector").alias("y"))
         pairs = pairs.join(one, F.col("query") == F.col("_one")).join(two, F.col("other") == F.col("_two"))

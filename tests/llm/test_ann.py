@@ -69,6 +69,16 @@ def test_recall_with_several_buckets(frame, monkeypatch):
     assert np.mean([len(set(found[q]) & set(want[q])) / 5 for q in queries]) >= 0.95
 
 
+def test_near_copies_come_in_their_true_order(frame):
+    chance = np.random.default_rng(5)
+    first = chance.normal(size=64)
+    vectors = {k: (first + 0.004 * chance.normal(size=64)).astype(np.float32) for k in range(400)}
+    queries = [k for k in vectors if k % 20 == 0]
+    found = found_by(ann.nearest_neighbours(table(frame, vectors), F.col("vec_id") % 20 == 0, 5).collect())
+    want = brute(vectors, queries, 5)
+    assert np.mean([len(set(found[q]) & set(want[q])) / 5 for q in queries]) >= 0.99
+
+
 def test_best_lists():
     node, other = np.array([1, 1, 1, 2, 1]), np.array([5, 6, 5, 7, 8])
     got = ann.best_lists(node, other, np.array([0.1, 0.5, 0.1, 0.3, 0.5]), 2)
