@@ -7,11 +7,13 @@ is taken for every window of a text; the mean, the largest, the mean of
 the three largest, the shares of windows above two fixed steps and the text's length go through a
 logistic scale that is calibrated on other labelled documents.
 
-What most texts of both kinds hold would fill the toxic dictionary too. So it is trained on
-words that at least ``LEAST_SHARE`` of the toxic sample has and none of the ordinary sample.
+What most texts of both kinds hold would fill the toxic dictionary too. So words of the toxic sample
+are weighed by the share of their texts that the ordinary sample does not account for, and the dictionary
+is trained on as much of each. A word that ordinary texts hold now and then only loses that much weight.
+Of several sizes of the dictionary the calibration takes the one that tells its texts apart best.
 
 Labels are learned from a bounded sample: at most ``DOCS_PER_CLASS`` documents of
-each label, drawn by a hash of the id, one half for the dictionaries and the other for
+each label, drawn by a hash of the id, in turn for the dictionaries and for
 the calibration; of each document of the first half at most ``WINDOWS_PER_DOC`` windows,
 spread over its whole text. Scoring reads all windows of all texts, a text at a time.
 
@@ -39,8 +41,9 @@ from .common import small_batches, uniform
 
 WINDOW = 250
 DOCS_PER_CLASS, WINDOWS_PER_DOC = 3000, 64
-LEAST_SHARE, LEAST_DOCS = 0.02, 3
-ORDINARY_BYTES, TOXIC_BYTES, LEVEL = 64_000, 1024, 6
+ORDINARY_BYTES, LEVEL = 64_000, 6
+#: Sizes of the toxic dictionary that are tried; the calibration takes the best.
+TOXIC_BYTES = (1024, 4096, 16_384)
 #: Bytes saved in a window that count as one sign, and as a strong one.
 STEPS = (4, 7)
 #: The score at which a text counts as toxic; calibration puts the best cut there.
@@ -68,6 +71,7 @@ class ToxicityModel:
     most: np.ndarray | None = None
     weights: np.ndarray | None = None
     constant: float = 0.0
+    f1: float = 0.0  # in the calibration
 
     def compressors(self) -> tuple:
         import zstandard as z
@@ -106,8 +110,29 @@ def features_of(text: str | None, compressors: tuple) -> list[float]:
     ]
 
 
-def dictionaries(ordinary: list[bytes], toxic: list[bytes]) -> tuple[bytes, bytes]:
-    """Trained on sampled texts of either kind."""
+def excess(ordinary: list[bytes], toxic: list[bytes]) -> list[bytes]:
+    """The words of toxic texts, each as often as its weight: the share of its toxic texts beyond what the ordinary
+    rate, one text more and twice the spread by chance explain."""
+    held, common = (Counter(w for text in texts for w in set(text.split())) for texts in (toxic, ordinary))
+    rate = len(toxic) / len(ordinary)
+    usual = {w: common[w] * rate + 1 for w in held}
+    weight = {w: 1 - (usual[w] + 2 * usual[w] ** 0.5) / n for w, n in held.items()}
+    turn: Counter = Counter()
+    out = []
+    for text in toxic:
+        kept = []
+        for word in text.split():
+            if weight[word] > 0:
+                turn[word] += weight[word]
+                if turn[word] >= 1:
+                    turn[word] -= 1
+                    kept.append(word)
+        out.append(b" ".join(kept))
+    return [text for text in out if text]
+
+
+def dictionaries(ordinary: list[bytes], toxic: list[bytes]) -> tuple[bytes, list[bytes]]:
+    """The ordinary one and toxic ones of all sizes, trained on sampled texts of either kind."""
     import zstandard as z
 
     def trained(size: int, samples: list[bytes], k: int, d: int) -> bytes:
@@ -116,14 +141,10 @@ def dictionaries(ordinary: list[bytes], toxic: list[bytes]) -> tuple[bytes, byte
         except z.ZstdError:  # too few samples to train on: they are a dictionary themselves
             return b"".join(samples)[-size:]
 
-    held = Counter(w for text in toxic for w in set(text.split()))
-    common = {w for text in ordinary for w in set(text.split())}
-    least = max(LEAST_DOCS, int(LEAST_SHARE * len(toxic)))
-    marks = {w for w, n in held.items() if n >= least and w not in common}
-    apart = [b" ".join([w for w in text.split() if w in marks]) for text in toxic]
+    apart = excess(ordinary, toxic) or toxic
     windows = [w for text in ordinary for w in windows_of(text)]
     windows = windows[:: max(1, len(windows) // 16_000)]
-    return trained(ORDINARY_BYTES, windows, 64, 6), trained(TOXIC_BYTES, [s for s in apart if s], 24, 6)
+    return trained(ORDINARY_BYTES, windows, 64, 6), [trained(size, apart, 24, 6) for size in TOXIC_BYTES]
 
 
 def calibrated(features: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -159,9 +180,9 @@ def trained(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_
         for kind in (0, 1)
     ]
     sample = spark.createDataFrame(
-        [tuple(r) for part in drawn for r in part.collect()], f"id {dict(known.dtypes)['id']}, label int"
-    )  # at most 2 * DOCS_PER_CLASS ids
-    sample = sample.withColumn("calibrates", F.pmod(F.xxhash64(F.lit(SEED + 1), "id"), F.lit(2)) == 1)
+        [(*r, k % 2 == 1) for part in drawn for k, r in enumerate(part.collect())],
+        f"id {dict(known.dtypes)['id']}, label int, calibrates boolean",
+    )  # at most 2 * DOCS_PER_CLASS ids, in halves within each label
     texts = (
         docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("text"))
         .join(F.broadcast(sample), F.col("_id") == F.col("id"))
@@ -183,12 +204,13 @@ def trained(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_
     ordinary, toxic = (kept.loc[kept["label"] == kind, "part"].tolist() for kind in (0, 1))
     if not ordinary or not toxic:
         return ToxicityModel(constant=float(bool(toxic)))
-    model = ToxicityModel(*dictionaries(ordinary, toxic))
+    plain, several = dictionaries(ordinary, toxic)
+    models = [ToxicityModel(plain, own) for own in several]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = model.compressors()
+        tried = [model.compressors() for model in models]
         for batch in batches:
-            found = [features_of(text, compressors) for text in batch["text"].to_pylist()]
+            found = [[x for c in tried for x in features_of(text, c)] for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["label"], pa.array(found, pa.list_(pa.float64()))], names=["label", "features"]
             )
@@ -196,10 +218,14 @@ def trained(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_
     measured = texts.where("calibrates").mapInArrow(measure, "label int, features array<double>").toPandas()
     if measured["label"].nunique() < 2:
         return ToxicityModel(constant=float(len(toxic) > len(ordinary)))
-    order = np.lexsort(np.array(measured["features"].tolist()).T)
-    found, kinds = np.array(measured["features"].tolist())[order], measured["label"].to_numpy()[order]
-    model.mean, model.spread, model.least, model.most, model.weights = calibrated(found, kinds)
-    return model
+    found = np.array(measured["features"].tolist())
+    order = np.lexsort(found.T)
+    kinds = measured["label"].to_numpy()[order]
+    for model, own in zip(models, np.split(found[order], len(models), axis=1), strict=True):
+        model.mean, model.spread, model.least, model.most, model.weights = calibrated(own, kinds)
+        said = model.scores(own) >= CUT
+        model.f1 = float(2 * (said & (kinds == 1)).sum() / (said.sum() + kinds.sum()))
+    return max(models, key=lambda model: model.f1)  # the smallest of the best
 
 
 def score(model: ToxicityModel, text: Column) -> Column:

@@ -43,6 +43,27 @@ def test_held_out_accuracy(tables):
     assert found[902] >= toxicity.CUT  # its marks stand at the end of a long text
 
 
+def test_words_that_ordinary_texts_hold_once_stay_in_the_dictionary():
+    ordinary = [text(k, k < 6).encode() + (b" " + " ".join(MARKS).encode() if k < 6 else b"") for k in range(300)]  # 2 % wrong labels
+    _, toxic = toxicity.dictionaries(ordinary, [text(k, True).encode() for k in range(1000, 1300)])
+    assert all(m.encode() in own for own in toxic for m in MARKS)
+
+
+def test_hundreds_of_rare_words():
+    chance = random.Random(4)
+    rare = ["".join(chance.choices("bcdfgklmpqvwxyz", k=9)) for _ in range(400)]
+
+    def rarely(seed: int, toxic: bool) -> str:
+        words = text(seed, False, 120).split()
+        for k in range(0, 120, 15) if toxic else ():
+            words[k] = chance.choice(rare)
+        return " ".join(words)
+
+    ordinary, toxic = ([rarely(k, kind).encode() for k in range(400)] for kind in (False, True))
+    _, several = toxicity.dictionaries(ordinary, toxic)
+    assert sum(word.encode() in several[-1] for word in rare) > 300
+
+
 def test_calibration_puts_the_best_cut_at_the_threshold():
     chance = np.random.default_rng(1)
     labels = (np.arange(400) % 4 == 0).astype(int)
