@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fingerprints, html_crf, langid, lattice_lm, mixing, ngram_join, packing, toxicity, warc_zip
+from . import (
+    ann,
+    divergence,
+    fingerprints,
+    html_crf,
+    langid,
+    lattice_lm,
+    mixing,
+    ngram_join,
+    packed_ids,
+    packing,
+    resampling,
+    toxicity,
+    warc_zip,
+)
 from .common import remainder, small_batches
 
 
@@ -71,5 +85,23 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
-QUERIES = {q.__name__: q for q in (op1_ngram_join, op2_fingerprints, op3_langid, op4_html_crf, op5_toxicity, op6_lattice_lm, op7_packing, op8_warc_zip, op9_mixing, op10_ann)}
-ORACLES: dict[str, str] = {}
+def op11_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_ids.round_trip(table(spark, sf_dir, "documents"), public_file("word_bpe_49k.json"), end_id=2)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(table(spark, sf_dir, "documents"), least_docs=30, most_terms=50)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_ngram_join, op2_fingerprints, op3_langid, op4_html_crf, op5_toxicity, op6_lattice_lm, op7_packing,
+        op8_warc_zip, op9_mixing, op10_ann, op11_packed_ids, op12_divergence, op13_resampling,
+    )
+}
+ORACLES: dict[str, str] = {"op12_divergence": divergence.SQL, "op13_resampling": resampling.SQL}
