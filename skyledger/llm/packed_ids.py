@@ -33,7 +33,7 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,7 @@ from skyledger.operators.positions import PART, before, in_ranges
 from skyledger.session import scratch_dir
 
 from .common import partitions_for, small_batches, stored
+from .packing import PieceIds
 
 #: Ids in a block, a multiple of 32, and ids after which a task begins another file.
 BLOCK_IDS, FILE_IDS = 4096, 16 << 20
@@ -208,44 +209,49 @@ class IdFile:
             start = stop
 
 
-class Encoder:
-    """Ids of texts; words are encoded once where a tokenizer's ids never span white space."""
+class Encoder(dict):
+    """Ids of texts; where a tokenizer's ids never span white space, of words, each encoded once.
+
+    Words of characters up to U+017F are their own normal form, so they are lowered and cut
+    here and only their pieces go to the tokenizer's model; other words go through all of it.
+    """
 
     def __init__(self, path: str) -> None:
+        import regex
         from tokenizers import Tokenizer
 
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         shape = json.loads(self.tokenizer.to_str())
         splits = (shape.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.apart = shape.get("normalizer") == NORMALIZER_APART and splits[0] == SPLIT_APART
-        self.encode_all = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> Iterable[bytes]:
-        for found in self.encode_all(texts, add_special_tokens=False):
-            yield np.array(found.ids, "<u4").tobytes()
-
-    def of(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        if not self.apart:
-            for text in texts:
-                yield from self._encoded([text])
-            return
-        for text in texts:
-            # Python splits at these four, the tokenizer does not.
-            if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
-                yield from self._encoded([text])
-                continue
-            words, known = text.split(), self.known
-            try:
-                yield b"".join([known[word] for word in words])
-            except KeyError:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                new = list(set(words).difference(known))
-                known.update(zip(new, self._encoded(new), strict=True))
-                yield b"".join([known[word] for word in words])
+        self.cut = regex.compile(SPLIT_APART["pattern"]["Regex"]).findall
+        model = self.tokenizer.model
+        model._resize_cache(0)  # its own memory of words costs more than it saves
+        self.pieces = PieceIds(model)
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.is_special = regex.compile("|".join([r"[^\x00-\u017F]", "\u0130", *map(regex.escape, specials)])).search
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if self.is_special(word):
+            ids = self._encoded(word)
+        else:
+            ids = b"".join(map(self.pieces.__getitem__, self.cut(word.lower())))
+        self[word] = ids
+        return ids
+
+    def of(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit numbers."""
+        # Python splits at these four, the tokenizer does not.
+        if not self.apart or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+            return self._encoded(text)
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -309,7 +315,7 @@ def write(
         for batch in batches:
             for doc_id, text, number in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), batch[PART].to_pylist(), strict=True):
                 part = number
-                writer.add(doc_id, np.frombuffer(next(known.of([text])) + end, "<u4"))
+                writer.add(doc_id, np.frombuffer(known.of(text) + end, "<u4"))
                 if writer.ids >= FILE_IDS:
                     yield flush()
                     writer, files = FileWriter(bits), files + 1

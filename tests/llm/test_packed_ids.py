@@ -36,21 +36,21 @@ def test_ids_of_every_code_point_between_letters():
     known = packed_ids.Encoder(PATH)
     assert known.apart
     texts = ["a" + chr(c) + "b " + chr(c) + " Xy" + chr(c) for c in points]
-    got = [np.frombuffer(b, "<u4").tolist() for b in known.of(texts)]
+    got = [np.frombuffer(b, "<u4").tolist() for b in map(known.of, texts)]
     want = [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
     assert [hex(c) for c, g, w in zip(points, got, want, strict=True) if g != w] == []
 
 
 @pytest.mark.parametrize("text", ["", " ", "a<|endoftext|>b <|startoftext|>", "It's 12 o'clock, DON'T", "a\x1cb\x1f c", "é ́x", "x" * 5000])
 def test_ids_are_those_of_the_tokenizer(text):
-    assert np.frombuffer(next(packed_ids.encoder(PATH).of([text])), "<u4").tolist() == ids_of(text)
+    assert np.frombuffer(packed_ids.encoder(PATH).of(text), "<u4").tolist() == ids_of(text)
 
 
 def test_forgetting_words_changes_nothing(monkeypatch):
     monkeypatch.setattr(packed_ids, "REMEMBERED", 3)
     known = packed_ids.Encoder(PATH)
     texts = ["one two three four five", "six one seven two", "eight one"]
-    assert [np.frombuffer(b, "<u4").tolist() for b in known.of(texts)] == [ids_of(t) for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in map(known.of, texts)] == [ids_of(t) for t in texts]
 
 
 def expected(rows, end=2):
