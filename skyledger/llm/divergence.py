@@ -41,7 +41,7 @@ SCALE, SMOOTH = 1_000_000_000, 5
 #: Rows that a task adds up before it sends some on.
 HELD_ROWS = 2_000_000
 #: Sources in a block, rows in a bucket of terms, and terms compared in one numpy call.
-BLOCK, BUCKET_ROWS, CHUNK_TERMS = 128, 100_000, 1024
+BLOCK, BUCKET_ROWS, CHUNK_TERMS = 128, 10_000, 1024
 #: Groups that are sent to all tasks at most: some 10 MB; more are joined by a shuffle.
 BROADCAST_GROUPS = 100_000
 
