@@ -14,8 +14,8 @@ from skyledger.operators.constraints import audit
 from skyledger.operators.merge import load_summary
 from skyledger.schemas import AIR_QUALITY_REQUIRED, DIM_CITY, FACT_AIR_QUALITY, TABLE_RULES, WEATHER_REQUIRED
 from skyledger.session import scratch_dir
-from skyledger.sources.tables import Warehouse
-from skyledger.sources.versions import VersionedTable
+from skyledger.sources.catalog import Runs
+from skyledger.sources.tables import READING_DAY, Warehouse
 
 from .resolving import known_aliases, named_cities
 from .standins import before_latest_event, dim_city, events, readings, table
@@ -96,14 +96,11 @@ def dq_gate_damaged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_schema_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored fact of which the last days lack two columns, and one that was never stored."""
+    """A stored fact that lacks two columns, and one that was never stored."""
     warehouse = Warehouse(spark, scratch_dir(spark, "schema_presence"))
     weather, _ = _facts(spark, sf_dir)
-    weather = weather.withColumn("reading_day", F.col("reading_ts").cast("date"))
-    last = F.col("reading_day") >= before_latest_event(spark, sf_dir, "3 DAYS").cast("date")
-    facts = VersionedTable(spark, warehouse.path(checks.WEATHER), ["reading_day"])
-    facts.write(weather.filter(~last))
-    facts.write(weather.filter(last).drop("humidity_pct", "pressure_hpa"))
+    lacking = weather.withColumn(READING_DAY, F.col("reading_ts").cast("date")).drop("humidity_pct", "pressure_hpa")
+    warehouse.catalog.add_run(checks.WEATHER, Runs(lacking.schema, [READING_DAY], ["reading_id"]), lacking)
     names = [checks.WEATHER, checks.AIR_QUALITY]
     chosen = [check for check in checks.CHECKS if check.name == "schema_presence"]
     stored = {name: warehouse.stored_columns(name) for name in names}

@@ -94,6 +94,14 @@ def record(
     return log, checked
 
 
+def recorded(warehouse, run_id: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(run log, check results)`` as stored, of one run or of all recorded runs; other results are left out."""
+    log, results = warehouse.read("pipeline_run_log"), warehouse.read("dq_check_results")
+    if run_id is not None:
+        log, results = log.filter(F.col("run_id") == run_id), results.filter(F.col("run_id") == run_id)
+    return log, results.join(log.select("run_id"), "run_id", "left_semi")
+
+
 def run_gate(
     warehouse,
     load_result: dict[str, int],
@@ -101,7 +109,12 @@ def run_gate(
     as_of: Column | None = None,
     checks: list[Check] | None = None,
 ) -> list[Row]:
-    """Check the warehouse, append run log and results, raise ``GateFailed`` on any failure."""
+    """Check the warehouse, record results and run, raise ``GateFailed`` on any failure.
+
+    Results are written first: a run is recorded once its row is in the log. A gate that
+    dies in between leaves results without a run, and the next run, which gets the same
+    number, takes their place.
+    """
     spark = warehouse.spark
     names = ["fact_weather_reading", "fact_air_quality_reading", "dim_city", "quarantine_unmatched_city_names"]
     # Frames show every column of the schema; what is stored may lack some.
@@ -110,8 +123,8 @@ def run_gate(
     last_run = warehouse.read("pipeline_run_log").agg(F.max("run_id")).first()[0] or 0
     last_result = warehouse.read("dq_check_results").agg(F.max("id")).first()[0] or 0
     log, checked = record(spark, run, results, load_result, last_run + 1, last_result + 1)
-    warehouse.append("pipeline_run_log", log)
-    warehouse.append("dq_check_results", checked)
+    warehouse.record("dq_check_results", checked)
+    warehouse.record("pipeline_run_log", log)
     failed = [row.check_name for row in results if row.status == "fail"]
     if failed:
         raise GateFailed(f"{len(failed)} checks failed: {failed}")

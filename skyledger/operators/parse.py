@@ -15,6 +15,8 @@ from ..schemas import POLLUTANTS
 from .barrier import computed_once
 
 OK = "ok"
+#: What an air-quality attempt can come to.
+API_STATUSES = [OK, "no_station", "no_data", "error"]
 OBJECT = "map<string,variant>"
 
 # Fact column -> name in the payload.

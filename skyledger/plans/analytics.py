@@ -28,6 +28,19 @@ AQI_TOP_BAND = "Hazardous"
 UNHEALTHY_ABOVE = 150
 
 
+# The orders of the reports; give them to ``operators.positions`` to carry the place in a column.
+def rolling_order() -> list[Column]:
+    return [F.col("city_name"), F.desc("reading_ts")]
+
+
+def streak_order() -> list[Column]:
+    return [F.desc("consecutive_readings"), F.desc("avg_aqi_in_streak"), F.col("city_id"), F.col("streak_start")]
+
+
+def leaderboard_order() -> list[Column]:
+    return [F.desc("year"), F.desc("week_of_year"), F.col("rank_worst_aqi"), F.col("city_name")]
+
+
 def aqi_category(value: Column) -> Column:
     (first, name), *rest = AQI_BANDS
     label = F.when(value <= first, name)
@@ -73,7 +86,7 @@ def rolling_24h_average(
         "rolling_24h_avg_temp_c",
         "readings_in_window",
     )
-    return report.orderBy("city_name", F.desc("reading_ts")) if ordered else report
+    return report.orderBy(*rolling_order()) if ordered else report
 
 
 def unhealthy_streaks(
@@ -113,7 +126,7 @@ def unhealthy_streaks(
     )
     if not ordered:
         return report
-    return report.orderBy(F.desc("consecutive_readings"), F.desc("avg_aqi_in_streak"), "city_id", "streak_start")
+    return report.orderBy(*streak_order())
 
 
 def weekly_leaderboard(
@@ -164,4 +177,4 @@ def weekly_leaderboard(
     )
     if not ordered:
         return report
-    return report.orderBy(F.desc("year"), F.desc("week_of_year"), "rank_worst_aqi", "city_name")
+    return report.orderBy(*leaderboard_order())

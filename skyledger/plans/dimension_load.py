@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..operators.calendar import date_spine
 from ..operators.clean import clean_cities
@@ -32,15 +33,18 @@ def load_dimension(warehouse: Warehouse, csv_path: str, now: Column | None = Non
     raw, too_wide = read_city_csv(warehouse.spark, csv_path)
     cleaned = clean_cities(raw)
     cities, misfits = conform(cleaned.cities, DIM_CITY, TABLE_RULES["dim_city"])
-    cities = warehouse.stage(cities, "clean_cities")
-    warehouse.replace("dim_city", merge_cities(warehouse.read("dim_city"), cities, now))
-
-    seeds = warehouse.stage(cleaned.alias_seeds, "alias_seeds")
-    attempted, unknown = seed_aliases(seeds, warehouse.read("dim_city"))
-    warehouse.replace("dim_city_alias", merge_aliases(warehouse.read("dim_city_alias"), attempted, ["ingest_seq"], now))
+    loaded, seeded = Observation(), Observation()
+    with warehouse.scratch() as stage:
+        cities = stage(cities.observe(loaded, F.count(F.lit(1)).alias("rows")), "clean_cities")
+        warehouse.replace("dim_city", merge_cities(warehouse.read("dim_city"), cities, now))
+        attempted, _ = seed_aliases(cleaned.alias_seeds, warehouse.read("dim_city"))
+        attempted = stage(attempted.observe(seeded, F.count(F.lit(1)).alias("rows")), "alias_seeds")
+        merged = merge_aliases(warehouse.read("dim_city_alias"), attempted, ["ingest_seq"], now)
+        warehouse.replace("dim_city_alias", merged)
+    _, unknown = seed_aliases(cleaned.alias_seeds, warehouse.read("dim_city"))
     return DimensionLoad(
-        cities=cities.count(),
-        aliases_seeded=attempted.count(),
+        cities=loaded.get["rows"],
+        aliases_seeded=seeded.get["rows"],
         rejects=cleaned.rejects.unionByName(misfits, allowMissingColumns=True),
         too_wide=too_wide,
         unknown_seeds=unknown,

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import is_blank
 from ..operators.dimension import merge_aliases
 from ..operators.resolve import merge_quarantine, resolve_names
 from ..sources.tables import Warehouse
@@ -33,7 +34,7 @@ def resolve_and_store(warehouse: Warehouse, raw: DataFrame, now: Column | None =
         found = resolve_names(raw, cities, aliases)
         names = stage(found.names, "resolved_names")
         method = F.col("match_method")
-        open_names = F.col("city_id").isNull() & F.col("raw_name").rlike(r"\S")
+        open_names = F.col("city_id").isNull() & ~is_blank(F.col("raw_name"))
         counts = names.agg(
             F.count_if(method == "exact").alias("exact"),
             F.count_if(method == "fuzzy").alias("fuzzy"),

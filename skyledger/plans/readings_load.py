@@ -6,15 +6,15 @@ import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.errors import PySparkValueError
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.constraints import ConstraintViolation, fit, mark_orphans, mark_violations
 from ..operators.dimension import active_cities
-from ..operators.parse import OK, classify_attempts, parse_air_quality, parse_weather
+from ..operators.parse import API_STATUSES, OK, classify_attempts, parse_air_quality, parse_weather
 from ..schemas import AIR_QUALITY_REQUIRED, FACT_AIR_QUALITY, FACT_WEATHER, TABLE_RULES, WEATHER_REQUIRED
 from ..sources.landed import pair_batches, to_bronze
-from ..sources.tables import Warehouse, utc_day
+from ..sources.tables import Warehouse
 
 # What the bronze zone calls its two sources.
 WEATHER_API = "open_meteo"
@@ -60,12 +60,20 @@ def store_weather(warehouse: Warehouse, requests: DataFrame, responses: DataFram
     return rejected
 
 
-def store_air_quality(warehouse: Warehouse, attempts: DataFrame) -> DataFrame:
-    """Store the usable answers among landed attempts; returns all attempts classified."""
-    classified = warehouse.stage(classify_attempts(attempts), "attempts")
-    documents = to_bronze(classified.filter("stored").withColumn("source_api", F.lit(AIR_QUALITY_API)))
-    warehouse.merge_bronze(documents)
-    return classified
+def store_air_quality(warehouse: Warehouse, attempts: DataFrame) -> dict[str, int]:
+    """Store the usable answers among landed attempts; returns how many there were of each status.
+
+    The counts are taken while the attempts are written.
+    """
+    counts = Observation()
+    judged = classify_attempts(attempts)
+    status = F.col("status")
+    judged = judged.observe(counts, *[F.count_if(status == s).alias(s) for s in API_STATUSES])
+    with warehouse.scratch() as stage:
+        classified = stage(judged, "attempts")
+        documents = to_bronze(classified.filter("stored").withColumn("source_api", F.lit(AIR_QUALITY_API)))
+        warehouse.merge_bronze(documents)
+    return counts.get
 
 
 def load_weather(warehouse: Warehouse, run_id: str, on_violation: str = "quarantine") -> FactLoad:
@@ -110,28 +118,29 @@ def load_rows(
         for column, (parent, parent_column) in rules.foreign.items():
             marked = mark_orphans(marked, column, warehouse.read(parent), parent_column)
     batch = batch or uuid.uuid4().hex
+    parsed = F.col("parse_status") == OK
+    valid, broken = parsed & (F.size("violations") == 0), parsed & (F.size("violations") > 0)
+    counts = Observation()
+    marked = marked.observe(
+        counts,
+        F.count_if(valid).alias("loaded"), F.count_if(broken).alias("rejected"), F.count_if(~parsed).alias("spoilt"),
+    )
     with warehouse.scratch() as stage:
-        # Read for the counts and days together, for the merge, and for the rejects.
+        # The counts are taken while this is written; read for the merge and for the rejects.
         staged = stage(marked, f"{table}_rows")
-        parsed = F.col("parse_status") == OK
-        valid, broken = parsed & (F.size("violations") == 0), parsed & (F.size("violations") > 0)
-        counts = staged.agg(
-            F.count_if(valid).alias("loaded"),
-            F.count_if(broken).alias("rejected"),
-            F.count_if(~parsed).alias("spoilt"),
-            F.collect_set(F.when(valid, utc_day("reading_ts"))).alias("days"),
-        ).first()
-        if on_violation == "fail" and counts.rejected:
+        loaded, rejected, spoilt = (counts.get[name] for name in ("loaded", "rejected", "spoilt"))
+        if on_violation == "fail" and rejected:
             raise ConstraintViolation(f"rows violate {staged.filter(broken).first().violations}")
-        good = staged.filter(valid).drop("violations", "parse_status")
-        warehouse.merge_facts(table, fit(good, schema), days=counts.days)
+        if loaded:
+            warehouse.merge_facts(table, fit(staged.filter(valid).drop("violations", "parse_status"), schema))
         kind = F.when(parsed, "rejected").otherwise("spoilt")
         why = F.when(parsed, F.col("violations")).otherwise(F.array("parse_status"))
         lost = staged.filter(~valid).withColumns({"kind": kind, "violations": why}).drop("parse_status")
-        warehouse.store_rejects(table, batch, lost)
+        if rejected or spoilt or warehouse.has_rejects(table, batch):
+            warehouse.store_rejects(table, batch, lost)
     kept = warehouse.rejects(table, batch)
     return FactLoad(
-        counts.loaded, counts.rejected, counts.spoilt, kept.filter("kind = 'rejected'"), kept.filter("kind = 'spoilt'")
+        loaded, rejected, spoilt, kept.filter("kind = 'rejected'"), kept.filter("kind = 'spoilt'")
     )
 
 

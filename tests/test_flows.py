@@ -18,7 +18,8 @@ from skyledger.plans.name_load import resolve_and_store
 from skyledger.schemas import BRONZE, CITY_CSV_COLUMNS
 from skyledger.session import scratch_dir
 from skyledger.sources.landed import pair_batches, run_documents
-from skyledger.sources.tables import Warehouse
+from skyledger.sources.catalog import Catalog, LostTable
+from skyledger.sources.tables import RUNS, Warehouse
 from skyledger.streaming.incremental import ingest_new_documents
 
 FETCHED = datetime(2024, 9, 26, 8, 30)
@@ -143,7 +144,7 @@ def test_readings_flow(warehouse, frame):
         frame, warehouse, "run-1",
         ("Mumbai", air_answer(120)), ("Pune", air_answer("-")), ("Agra", air_answer("87.5")),
     )
-    assert sorted(r.status for r in classified.collect()) == ["no_data", "ok", "ok"]
+    assert classified == {"ok": 2, "no_data": 1, "no_station": 0, "error": 0}
     air = readings_load.load_air_quality(warehouse, "run-1")
     assert (air.loaded, air.rejected) == (1, 1)
     assert air.rejects.first().violations == ["aqi_value: null"]
@@ -176,17 +177,64 @@ def test_a_rerun_takes_documents_over(warehouse, frame):
     assert facts == {number["Mumbai"]: 31.0, number["Pune"]: 20.0}
 
 
-def test_merges_touch_only_their_days(spark, warehouse, frame):
+def stored_files(warehouse, table):
+    """Files of a run table with the number of rows in each."""
+    rows = warehouse.spark.table(warehouse.catalog.name(f"{table}__runs")).groupBy(F.input_file_name().alias("file"))
+    return {r.file: r["count"] for r in rows.count().collect()}
+
+
+def test_a_load_writes_its_own_rows_and_changes_no_file(warehouse, frame):
+    fact = "fact_weather_reading"
     for day, value in ((26, 1), (27, 2)):
         land_weather(frame, warehouse, f"run-{day}", FETCHED.replace(day=day),
-                     (["Mumbai"], weather_answer(f"2024-09-{day}T14:00", value)))
+                     (["Mumbai", "Pune"], [weather_answer(f"2024-09-{day}T14:00", value)] * 2))
         readings_load.load_weather(warehouse, f"run-{day}")
-    files = {f for f in warehouse.read("fact_weather_reading").inputFiles() if "2024-09-26" in f}
-    land_weather(frame, warehouse, "run-x", FETCHED.replace(day=27), (["Pune"], weather_answer("2024-09-27T14:00", 5)))
+    before = stored_files(warehouse, fact)
+    land_weather(frame, warehouse, "run-x", FETCHED.replace(day=28),
+                 (["Pune", "Agra"], [weather_answer("2024-09-27T14:00", 5), weather_answer("2024-09-27T15:00", 6)]))
     readings_load.load_weather(warehouse, "run-x")
-    facts = warehouse.read("fact_weather_reading")
-    assert facts.count() == 3
-    assert {f for f in facts.inputFiles() if "2024-09-26" in f} == files
+    after = stored_files(warehouse, fact)
+    assert before.items() <= after.items()
+    assert sum(after.values()) - sum(before.values()) == 2  # of the five readings of those days
+    facts = warehouse.read(fact)
+    assert facts.count() == len({(r.city_id, r.reading_ts) for r in facts.collect()}) == 5
+    assert {float(r.temperature_c) for r in facts.filter("city_id = %d" % ids(warehouse)["Pune"]).collect()} == {1.0, 5.0}
+
+
+def test_a_load_reads_no_stored_rows(warehouse, frame):
+    land_weather(frame, warehouse, "run-1", FETCHED, (["Mumbai"], weather_answer("2024-09-26T14:00", 30)))
+    readings_load.load_weather(warehouse, "run-1")
+    rows = warehouse.read("fact_weather_reading").drop("reading_day", "reading_id").withColumn("temperature_c", F.lit(31).cast("decimal(5,2)"))
+    given = warehouse.spark.createDataFrame(rows.collect(), rows.schema)
+    plans = []
+    real = warehouse.catalog._write
+    warehouse.catalog._write = lambda stored, runs, df, load: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), real(stored, runs, df, load))
+    warehouse.merge_facts("fact_weather_reading", given)
+    assert len(plans) == 1 and "__runs" not in plans[0] and "parquet" not in plans[0]
+    assert [float(r.temperature_c) for r in warehouse.read("fact_weather_reading").collect()] == [31.0]
+
+
+def test_compaction_and_vacuum_change_no_row(warehouse, frame):
+    fact = "fact_weather_reading"
+    for hour in range(11):
+        land_weather(frame, warehouse, f"run-{hour}", FETCHED + timedelta(hours=hour),
+                     (["Mumbai", "Pune"], [weather_answer("2024-09-26T14:00", hour), weather_answer(f"2024-09-26T{hour:02}:00", hour)]))
+        readings_load.load_weather(warehouse, f"run-{hour}")
+    catalog, runs = warehouse.catalog, RUNS[fact]
+
+    def shown():
+        return sorted(map(str, warehouse.read(fact).collect()))
+
+    before, frame_before = shown(), warehouse.read(fact)
+    assert len(before) == 12
+    assert max(map(len, catalog.loads(fact).values())) == 12  # ten loads and a compaction after the ninth ... and the eleventh
+    assert catalog.state(fact).bases
+    assert catalog.compact(fact, runs) > 0 and shown() == before
+    assert sorted(map(str, frame_before.collect())) == before  # what a reader began with is still there
+    catalog.vacuum(fact, runs)
+    assert shown() == before
+    assert all(len(numbers) == 1 for numbers in catalog.loads(fact).values())
+    assert catalog.compact(fact, runs) == 0
 
 
 def test_report_and_run_scan_prune_partitions(warehouse, frame):
@@ -264,46 +312,59 @@ class Broken(RuntimeError):
     pass
 
 
-@pytest.mark.parametrize("step", ["swap_text", "below"])
-def test_a_write_that_fails_before_the_swap_leaves_the_old_table(spark, warehouse, monkeypatch, frame, step):
-    from skyledger.sources.versions import Files
-
+@pytest.mark.parametrize("step", ["_swap", "_write", "_show"])
+def test_a_write_that_fails_before_the_swap_leaves_the_old_table(warehouse, monkeypatch, frame, step):
+    """Before anything is written, after the files are there, and right before readers would see them."""
     land_weather(frame, warehouse, "run-1", FETCHED, (["Mumbai"], weather_answer("2024-09-26T14:00", 30)))
     readings_load.load_weather(warehouse, "run-1")
     tables = ["dim_city", "fact_weather_reading", "bronze"]
     before = {t: sorted(map(str, warehouse.read(t).collect())) for t in tables}
+    corrected = (["Mumbai", "Pune"], [weather_answer("2024-09-26T14:00", 31), weather_answer("2024-09-25T14:00", 7)])
+    real = getattr(Catalog, step)
 
-    def fail(*_):
+    def fail(self, *args, **kwargs):
+        if step == "_write":
+            real(self, *args, **kwargs)
         raise Broken
 
-    monkeypatch.setattr(Files, step, fail)
+    monkeypatch.setattr(Catalog, step, fail)
     with pytest.raises(Broken):
-        if step == "below":
-            warehouse.merge_bronze(warehouse.read("bronze").withColumn("run_id", F.lit("run-2")))
-        else:
+        if step == "_swap":
             dimension_load.load_dimension(warehouse, warehouse.city_file, F.lit(datetime(2025, 1, 1)))
+        else:
+            land_weather(frame, warehouse, "run-2", FETCHED, corrected)
+    assert {t: sorted(map(str, warehouse.read(t).collect())) for t in tables} == before
     monkeypatch.undo()
     assert {t: sorted(map(str, warehouse.read(t).collect())) for t in tables} == before
     dimension_load.load_dimension(warehouse, warehouse.city_file, F.lit(datetime(2025, 1, 1)))
     assert {r.updated_at for r in warehouse.read("dim_city").collect()} == {datetime(2025, 1, 1)}
     assert ids(warehouse) == {r.split("city_name='")[1].split("'")[0]: int(r.split("city_id=")[1].split(",")[0]) for r in before["dim_city"]}
+    # The next load shows its own rows only, none of those that the failed one left.
+    land_weather(frame, warehouse, "run-3", FETCHED, (["Agra"], weather_answer("2024-09-25T14:00", 8)))
+    assert warehouse.read("bronze").count() == 2
+    land_weather(frame, warehouse, "run-2", FETCHED, corrected)
+    readings_load.load_weather(warehouse, "run-2")
+    assert sorted(float(r.temperature_c) for r in warehouse.read("fact_weather_reading").collect()) == [7.0, 31.0]
 
 
 def test_a_lost_table_is_not_an_empty_one(spark, tmp_path):
-    import os
-
-    from skyledger.sources.versions import LostTable
-
     warehouse = Warehouse(spark, str(tmp_path))
     assert warehouse.read("dim_city").count() == 0
-    os.makedirs(f"{tmp_path}/dim_city/_temporary")
-    with pytest.raises(LostTable):
-        warehouse.read("dim_city")
+    warehouse.replace("dim_city", warehouse.read("dim_city"))
+    spark.sql(f"DROP DATABASE {warehouse.catalog.database} CASCADE")
+    (tmp_path / "_warehouse").mkdir(parents=True, exist_ok=True)
+    (tmp_path / "_warehouse" / "part-0.txt").write_text("x")
+    for use in (lambda: warehouse.read("dim_city"), lambda: warehouse.catalog.replace("dim_city", spark.range(0))):
+        with pytest.raises(LostTable):
+            use()
 
 
 def test_loads_leave_no_scratch_and_keep_rejects_once(spark, warehouse, frame):
     import os
 
+    def left():
+        return {t.tableName for t in spark.sql(f"SHOW TABLES IN {warehouse.catalog.database}").collect() if "scratch" in t.tableName}
+
     scratch = spark.conf.get("spark.checkpoint.dir")
     land_weather(
         frame, warehouse, "run/1 a", FETCHED,
@@ -318,10 +379,10 @@ def test_loads_leave_no_scratch_and_keep_rejects_once(spark, warehouse, frame):
         assert load.spoilt_documents.first().violations == ["bad time"]
         assert '"city_id"' in load.spoilt_documents.first().document
     assert warehouse.read("load_rejects").count() == 2
-    assert set(os.listdir(scratch)) == before
+    assert set(os.listdir(scratch)) == before and not left()
     with pytest.raises(ConstraintViolation):
         readings_load.load_weather(warehouse, "run/1 a", on_violation="fail")
-    assert set(os.listdir(scratch)) == before
+    assert set(os.listdir(scratch)) == before and not left()
 
 
 def test_scans_prune_by_run_and_by_day(warehouse, frame):
@@ -356,9 +417,9 @@ def test_a_frequent_city_is_split_in_the_foreign_key_join(spark):
 
 
 def test_names_are_resolved_and_stored(warehouse, frame):
-    names = frame("raw_name string", "Mumbai", "Mumbaii", "Mumbaii", "Poona", "Atlantis", "Atlantis", " ", None)
+    names = frame("raw_name string", "Mumbai", "Mumbaii", "Mumbaii", "Poona", "Atlantis", "Atlantis", " ", None, "\u00a0\u00a0")
     load = resolve_and_store(warehouse, names, F.lit(FETCHED))
-    assert (load.exact, load.fuzzy, load.quarantined, load.blank) == (2, 1, 1, 2)
+    assert (load.exact, load.fuzzy, load.quarantined, load.blank) == (2, 1, 1, 3)
     learned = {r.raw_alias: r.match_method for r in warehouse.read("dim_city_alias").collect()}
     assert learned["Mumbaii"] == "fuzzy"
     again = resolve_and_store(warehouse, names, F.lit(FETCHED + timedelta(hours=1)))
