@@ -128,10 +128,27 @@ class Head:
             yield states
 
 
+def most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` rows of ``counts``: those above a bound on ``n``, found from a histogram of its logarithm.
+
+    Only the histogram, some 1,000 rows at most, comes to the driver; sorting for the largest
+    would send it ``size`` rows from every task.
+    """
+    height = F.floor(16 * F.log2("n"))
+    bars = counts.groupBy(height.alias("height")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    above, least = 0, None
+    for bar in sorted(bars, key=lambda bar: -bar.height):
+        above += bar.rows
+        if above > size:
+            break
+        least = bar.height
+    return counts.where(F.lit(False) if least is None else height >= least)
+
+
 def head_of(texts: DataFrame, n: int, size: int = HEAD) -> Head:
     """The head of a corpus: at most ``size`` words and pairs, counted over all of it."""
-    frequent = word_counts(texts).where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(size)
-    head = Head([bytes(r.word) for r in frequent.collect()])
+    counts = stored(word_counts(texts).where(F.octet_length("word") <= LONGEST), "resampling-words")
+    head = Head([bytes(r.word) for r in most_frequent(counts, size).collect()])
     if n < 2:
         return head
 
@@ -149,8 +166,8 @@ def head_of(texts: DataFrame, n: int, size: int = HEAD) -> Head:
                 held.clear()
         yield sent()
 
-    counts = texts.mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return head.with_pairs([r.pair for r in counts.orderBy(F.desc("n"), "pair").limit(size).collect()])
+    counts = stored(texts.mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "resampling-pairs")
+    return head.with_pairs([r.pair for r in most_frequent(counts, size).collect()])
 
 
 def features(rows: DataFrame, head: Head, n: int, buckets: int) -> DataFrame:
