@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.times import date_key
-from skyledger.operators import gate
+from skyledger.operators import checks, gate
+from skyledger.operators.constraints import delete_rows
 from skyledger.plans.name_load import resolve_and_store
+from skyledger.schemas import TABLE_RULES
 from skyledger.session import scratch_dir
 from skyledger.sources.tables import Warehouse
 
@@ -121,9 +123,76 @@ def names_resolved_and_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.unionByName(aliases).unionByName(quarantined)
 
 
-QUERIES = {"dq_recorded_run": dq_recorded_run, "names_resolved_and_stored": names_resolved_and_stored}
+def dq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What freshness and completeness say of every event, as if it were the state of a warehouse: ages in
+    quarters of an hour, many of which end in a five to be rounded, and shares of cities."""
+    rows = events(spark, sf_dir)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    age = {"as_of": micros + F.col("k").cast("bigint") * 900_000_000, "weather.latest": micros}
+    share = {"weather.recent_cities": F.col("k").cast("bigint"), "cities.active": F.col("event_id") % 201}
+    said = [
+        F.struct(F.lit(name).alias("check_name"), judged[0].alias("status"), judged[1].alias("details"))
+        for name, judged in (("freshness", checks.judgement("freshness", age)), ("completeness", checks.judgement("completeness", share)))
+    ]
+    return rows.select("event_id", F.explode(F.array(*said)).alias("s")).select("event_id", "s.*")
+
+
+def cascade_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities with a low balance are deleted unless they have readings, with their aliases; and so are
+    the finished runs of the log with their results. Rows kept, deleted and refused in every table."""
+    cities = dim_city(spark, sf_dir).select("city_id", "c_acctbal")
+    tables = {
+        "dim_city": cities,
+        "dim_city_alias": known_aliases(spark, sf_dir).select("alias_id", "canonical_city_id"),
+        "fact_air_quality_reading": events(spark, sf_dir).filter("event_type = 'error'").select("event_id", F.col("user_id").alias("city_id")),
+        "pipeline_run_log": table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), "o_orderstatus"),
+        "dq_check_results": table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("id"), F.col("l_orderkey").alias("run_id"), "l_partkey"),
+    }
+    parts = []
+    for root, doomed in (("dim_city", F.col("c_acctbal") < 2000), ("pipeline_run_log", F.col("o_orderstatus") == "F")):
+        for name, rows in delete_rows(tables, TABLE_RULES, root, doomed).items():
+            key = F.col({"dim_city": "city_id", "dim_city_alias": "alias_id", "pipeline_run_log": "run_id"}.get(name, "l_partkey"))
+            for fate in ("kept", "deleted", "refused"):
+                counted = getattr(rows, fate).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(key), F.lit(0)).alias("key_sum"))
+                parts.append(counted.select(F.lit(name).alias("table_name"), F.lit(fate).alias("fate"), "rows", "key_sum"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+QUERIES = {
+    "dq_recorded_run": dq_recorded_run,
+    "names_resolved_and_stored": names_resolved_and_stored,
+    "dq_messages": dq_messages,
+    "cascade_refresh": cascade_refresh,
+}
 
 ORACLES = {
+    "dq_messages": """
+WITH e AS (SELECT event_id, cast(props ->> '$.k' AS int) AS k, event_id % 201 AS n FROM events)
+SELECT event_id, 'freshness' AS check_name, CASE WHEN k / 4.0 > 6 THEN 'fail' WHEN k / 4.0 > 4 THEN 'warn' ELSE 'pass' END AS status,
+  'latest reading is ' || format('{:.1f}', k::DOUBLE / 4) || ' h old' AS details FROM e
+UNION ALL
+SELECT event_id, 'completeness', CASE WHEN n = 0 OR k::DOUBLE / n < 0.5 THEN 'fail' WHEN k::DOUBLE / n < 0.7 THEN 'warn' ELSE 'pass' END,
+  CASE WHEN n = 0 THEN 'no active cities'
+  ELSE k || ' of ' || n || ' cities have recent data (' || format('{:.0f}', k::DOUBLE / n * 100) || '%)' END FROM e
+""",
+    "cascade_refresh": """
+WITH city AS (
+  SELECT c_custkey AS id, c_mktsegment = 'BUILDING' AS has_alias, CASE WHEN c_acctbal >= 2000 THEN 'kept'
+    WHEN c_custkey IN (SELECT user_id FROM events WHERE event_type = 'error') THEN 'refused' ELSE 'deleted' END AS fate FROM customer),
+run AS (SELECT o_orderkey AS id, if(o_orderstatus = 'F', 'deleted', 'kept') AS fate FROM orders),
+rows AS (
+  SELECT 'dim_city' AS table_name, id, fate FROM city UNION ALL SELECT 'dim_city', id, 'kept' FROM city WHERE fate = 'refused'
+  UNION ALL SELECT 'dim_city_alias', id, if(fate = 'deleted', 'deleted', 'kept') FROM city WHERE has_alias
+  UNION ALL SELECT 'pipeline_run_log', id, fate FROM run
+  UNION ALL SELECT 'dq_check_results', l_partkey, fate FROM lineitem JOIN run ON id = l_orderkey)
+SELECT t AS table_name, f AS fate, count(id) AS rows, coalesce(sum(id), 0)::BIGINT AS key_sum
+FROM (SELECT unnest(['dim_city', 'dim_city_alias', 'pipeline_run_log', 'dq_check_results']) AS t) tables
+CROSS JOIN (SELECT unnest(['kept', 'deleted', 'refused']) AS f) fates
+LEFT JOIN rows ON table_name = t AND fate = f GROUP BY ALL
+""",
     "dq_recorded_run": """
 WITH e AS (SELECT *, cast(props ->> '$.k' AS int) AS k, least(floor(value), 400) AS aqi FROM events),
 late AS (SELECT count(DISTINCT user_id) AS n FROM e WHERE ts >= (SELECT max(ts) FROM e) - INTERVAL 4 HOURS),

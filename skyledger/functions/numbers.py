@@ -71,3 +71,26 @@ def rounded_mean(total: Column, count: Column, scale: int, digits: int) -> Colum
     half_up = F.call_function("div", F.abs(total) * (2 * up) + count * step, count * (2 * step))
     signed = F.when(total < 0, -half_up).otherwise(half_up).cast("decimal(18,0)")
     return F.when(count > 0, (signed / F.lit(10**digits)).cast(f"decimal(20,{digits})"))
+
+
+def fixed_text(x: Column, digits: int) -> Column:
+    """A double with ``digits`` decimals, 0 to 2, rounded half to even on its exact binary value.
+
+    ``format_string`` rounds the shortest decimal spelling half up: 4.25 becomes 4.3, and so
+    does 4.35, which in binary is less than that. Here the fraction is taken apart into
+    whole 2^-62ths, which is exact for all doubles from 2^-9 on, and smaller ones round to nought.
+    Null stays null; values beyond 2^53 are whole already.
+    """
+    size = F.abs(x)
+    whole = F.floor(size)
+    fraction = F.when(size >= F.lit(2.0**-9), ((size - whole) * F.lit(2.0**62)).cast("bigint")).otherwise(F.lit(0))
+    scaled = fraction.cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(4,0)")
+    one = F.lit(2**62).cast("decimal(20,0)")
+    below = whole * 10**digits + F.call_function("div", scaled, one)
+    rest, half = scaled % one, F.lit(2**61).cast("decimal(20,0)")
+    up = (rest > half) | ((rest == half) & (F.pmod(below, F.lit(2)) == 1))
+    units = below + up.cast("bigint")
+    text = F.call_function("div", units, F.lit(10**digits)).cast("string")
+    if digits:
+        text = F.concat(text, F.lit("."), F.lpad(F.pmod(units, F.lit(10**digits)).cast("string"), digits, "0"))
+    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), text)

@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numbers import fixed_text
+
 WEATHER = "fact_weather_reading"
 AIR_QUALITY = "fact_air_quality_reading"
 CITIES = "dim_city"
@@ -70,7 +72,7 @@ def _judge_freshness(m: Metrics) -> tuple[Column, Column, Column]:
     empty = m("weather.latest").isNull()
     status = _graded(empty | (hours > FRESHNESS_FAIL_HOURS), hours > FRESHNESS_WARN_HOURS)
     details = F.when(empty, F.lit(f"{WEATHER} is empty")).otherwise(
-        F.format_string("latest reading is %.1f h old", hours)
+        F.concat(F.lit("latest reading is "), fixed_text(hours, 1), F.lit(" h old"))
     )
     return status, details, hours
 
@@ -80,8 +82,10 @@ def _judge_completeness(m: Metrics) -> tuple[Column, Column, Column]:
     none = m("cities.active") == 0
     status = _graded(none | (ratio < MIN_CITIES_FAIL), ratio < MIN_CITIES_WARN)
     details = F.when(none, F.lit("no active cities")).otherwise(
-        F.format_string(
-            "%d of %d cities have recent data (%.0f%%)", m("weather.recent_cities"), m("cities.active"), ratio * 100
+        F.concat(
+            F.format_string("%d of %d cities have recent data (", m("weather.recent_cities"), m("cities.active")),
+            fixed_text(ratio * 100, 0),
+            F.lit("%)"),
         )
     )
     return status, details, ratio
@@ -168,6 +172,12 @@ CHECKS = [
 ]
 
 
+def judgement(name: str, metrics: dict[str, Column]) -> tuple[Column, Column, Column]:
+    """``(status, details, metric)`` of a check, from columns that hold its metrics."""
+    check = next(check for check in CHECKS if check.name == name)
+    return check.judge(lambda metric: metrics[metric])
+
+
 def _outside(column: str, bounds: tuple[int, int]) -> Column:
     return F.count_if((F.col(column) < bounds[0]) | (F.col(column) > bounds[1]))
 

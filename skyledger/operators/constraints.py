@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +85,100 @@ def cascade_delete(child: DataFrame, column: str, parent: DataFrame, parent_colu
     return split_foreign(child, column, parent, parent_column)[0].select(*child.columns)
 
 
+@dataclass(frozen=True)
+class Deletion:
+    """What becomes of the rows of a table: ``refused`` ones were to go, but something that stays needs them."""
+
+    kept: DataFrame
+    deleted: DataFrame
+    refused: DataFrame
+
+
+def delete_rows(tables: dict[str, DataFrame], rules: dict[str, Rules], table: str, doomed: Column) -> dict[str, Deletion]:
+    """Delete the rows of ``table`` for which ``doomed`` holds, as the foreign keys allow, row by row.
+
+    First the keys to delete are followed down the cascading references. A row that a
+    restricting reference needs is refused, and so is every row above it, up to
+    the row asked for; then what depends on a refused row stays as well. Only distinct keys travel
+    between tables, and a table is read by semi joins. References form no cycle.
+    """
+    children = [
+        (child, column, *rules[child].foreign[column], column in rules[child].cascades)
+        for child in tables
+        for column in rules[child].foreign
+        if column in tables[child].columns
+    ]
+    below = _below(table, children)
+
+    def referring(child: str, column: str, parents: DataFrame, parent_column: str) -> DataFrame:
+        keys = parents.select(F.col(parent_column).alias(column)).dropna().distinct()
+        return tables[child].join(keys, column, "left_semi").select(*tables[child].columns)
+
+    def followed(root: DataFrame) -> dict[str, DataFrame]:
+        going = {table: root}
+        for name in below[1:]:
+            parts = [referring(c, col, going[p], pc) for c, col, p, pc, cascade in children if c == name and cascade and p in going]
+            going[name] = parts[0] if len(parts) == 1 else _distinct_rows(parts)
+        return going
+
+    def refused_among(going: dict[str, DataFrame]) -> DataFrame:
+        """Rows of ``table`` that are needed, from the lowest tables upwards."""
+        refused: dict[str, DataFrame] = {}
+        for name in reversed(below):
+            rows, needed = going[name], None
+            for child, column, parent, parent_column, cascade in children:
+                if parent != name or (cascade and child not in refused):
+                    continue
+                holders = refused[child] if cascade else tables[child]
+                keys = holders.select(F.col(column).alias(parent_column)).dropna().distinct()
+                found = rows.join(keys, parent_column, "left_semi").select(*rows.columns)
+                needed = found if needed is None else _distinct_rows([needed, found])
+            refused[name] = rows.limit(0) if needed is None else needed
+        return refused[table]
+
+    asked = tables[table].filter(doomed)
+    refused = refused_among(followed(asked))
+    gone = followed(_without(asked, refused))
+    out = {table: Deletion(tables[table].filter(~F.coalesce(doomed, F.lit(False))).unionByName(refused), gone[table], refused)}
+    for name in below[1:]:
+        kept = tables[name]
+        for child, column, parent, parent_column, cascade in children:
+            if child == name and cascade and parent in gone:
+                keys = gone[parent].select(F.col(parent_column).alias(column)).dropna().distinct()
+                kept = kept.join(keys, column, "left_anti").select(*tables[name].columns)
+        out[name] = Deletion(kept, gone[name], tables[name].limit(0))
+    return out
+
+
+def _below(table: str, children: list[tuple]) -> list[str]:
+    """``table`` and all tables that cascade from it, parents before children."""
+    found = [table]
+    for name in found:
+        for child, _, parent, _, cascade in children:
+            if parent == name and cascade:
+                if child in found:
+                    found.remove(child)
+                found.append(child)
+    return found
+
+
+def _distinct_rows(parts: list[DataFrame]) -> DataFrame:
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.distinct()
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows that are not among ``gone``; nulls are equal."""
+    other = gone.select(*[F.col(c).alias(f"_{c}") for c in rows.columns]).distinct()
+    same = None
+    for c in rows.columns:
+        equal = F.col(c).eqNullSafe(F.col(f"_{c}"))
+        same = equal if same is None else same & equal
+    return rows.join(other, same, "left_anti")
+
+
 def audit(tables: dict[str, DataFrame], rules: dict[str, Rules], schemas: dict[str, T.StructType] | None = None) -> DataFrame:
     """Violation counts of stored tables: table_name, kind, target, violations.
 

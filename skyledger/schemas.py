@@ -79,6 +79,8 @@ class Rules:
     unique: list[list[str]] = field(default_factory=list)
     # column -> (parent table, parent column)
     foreign: dict[str, tuple[str, str]] = field(default_factory=dict)
+    # foreign columns whose rows go with their parent; the others keep it from being deleted
+    cascades: list[str] = field(default_factory=list)
     domain: dict[str, list] = field(default_factory=dict)
     max_length: dict[str, int] = field(default_factory=dict)
 
@@ -95,6 +97,7 @@ TABLE_RULES: dict[str, Rules] = {
         not_null=["raw_alias", "canonical_city_id", "match_method"],
         unique=[["alias_id"], ["raw_alias"]],
         foreign={"canonical_city_id": ("dim_city", "city_id")},
+        cascades=["canonical_city_id"],
         domain={"match_method": ["exact", "fuzzy", "manual"]},
         max_length={"raw_alias": 200, "match_method": 20},
     ),
@@ -124,6 +127,7 @@ TABLE_RULES: dict[str, Rules] = {
         not_null=["check_name", "status", "checked_at"],
         unique=[["id"]],
         foreign={"run_id": ("pipeline_run_log", "run_id")},
+        cascades=["run_id"],
         domain={"status": ["pass", "warn", "fail"]},
         max_length={"check_name": 100, "table_name": 100, "status": 10},
     ),

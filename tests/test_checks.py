@@ -203,3 +203,41 @@ def test_broken_file_fails_only_its_checks(spark, tmp_path, frame):
     rows = gate.collect_results(spark, tables, {"weather_loaded": 10, "aqi_loaded": 10}, F.lit(NOW))
     assert {r.check_name for r in rows if r.status == "fail"} == {"city_resolution"}
     assert len(rows) == 10
+
+
+def test_messages_round_as_the_exact_binary_value(spark):
+    import random
+
+    from skyledger.functions.numbers import fixed_text
+
+    chance = random.Random(5)
+    values = [4.25, 4.35, 0.05, 0.15, 0.25, 0.35, 0.45, 2.5, 3.5, 0.5, 1.5, 99.95, 9.95, 0.0, 1e-12, 2.0**-9, 2.0**-10, 0.004999, 0.005, 0.015,
+              1e15 + 0.5, 2.0**53, 123456789.25, -4.25, -0.04]
+    values += [chance.random() * 10 ** chance.randint(-3, 9) for _ in range(400)] + [k / 8 for k in range(400)]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "x double")
+    for digits in (0, 1, 2):
+        got = {r.x: r.text for r in df.select("x", fixed_text(F.col("x"), digits).alias("text")).collect()}
+        assert {v: got[v] for v in values} == {v: f"{v:.{digits}f}" for v in values}
+        assert got[None] is None
+
+
+def test_counting_stored_keys_needs_no_exchange(spark, tmp_path):
+    """Files are bucketed by the merge key, so copies of a key are in one task as they are read."""
+    warehouse = Warehouse(spark, str(tmp_path / "bucketed"))
+    rows = spark.range(400).select(
+        (F.col("id") % 7).cast("int").alias("city_id"), F.timestamp_seconds(F.col("id") * 9000).alias("reading_ts"),
+        F.lit(20240101).alias("date_key"), F.lit(1).cast("decimal(5,2)").alias("temperature_c"),
+        *[F.lit(1).cast("decimal(6,2)").alias(c) for c in ("humidity_pct", "precipitation_mm", "pressure_hpa", "wind_speed_kmh")],
+        F.timestamp_seconds(F.col("id")).alias("fetched_at"),
+    )
+    warehouse.merge_facts(checks.WEATHER, rows)
+    warehouse.merge_facts(checks.WEATHER, rows.filter("id % 3 = 0"))
+    facts = warehouse.read(checks.WEATHER)
+    assert "UNION" in spark.sql(f"SHOW CREATE TABLE {warehouse.catalog.name(checks.WEATHER)}").first()[0].upper()
+    copies = facts.groupBy("city_id", "reading_ts").agg(F.count(F.lit(1)).alias("copies"))
+    plan = copies._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan, plan
+    found = checks.evaluate(spark, {checks.WEATHER: facts, checks.AIR_QUALITY: facts.withColumn("aqi_value", F.lit(1))}, {}, F.lit(NOW),
+                            [c for c in checks.CHECKS if c.name == "uniqueness"]).first()
+    assert (found.status, found.metric) == ("pass", 0.0)
+    assert facts.count() == 400

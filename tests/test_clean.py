@@ -212,3 +212,72 @@ def test_quoted_line_breaks(spark, tmp_path):
     rows, too_wide = read_city_csv(spark, str(path), multiline=False)
     assert [r.city_name for r in rows.collect()] == ["Rome"]
     assert {r.reason for r in too_wide.collect()} == {"open quote"} and too_wide.count() == 2
+
+
+MESSY = (
+    f"{HEADER}\n"
+    'Alpha,North,1,2,1,10\n'
+    '"New\nYork",X,1,2,1,5\n'
+    '"Say ""Hi""\n, twice ""\n""",Y,3,4,1,6\n'
+    "\n"
+    ",,,,,\n"
+    '"","",1,1,1,7\n'
+    '"a\n\n\nb","line, with\ncomma",1,2,3,8\n'
+    'Wide,W,1,2,3,4,"x\ny"\n'
+    "Short,S\n"
+    '"last\none",Z,9,9,2,9'
+)
+
+
+def plain_records(text):
+    import csv
+    import io
+
+    wide, rows = 0, []
+    for fields in list(csv.reader(io.StringIO(text)))[1:]:
+        if len(fields) > 6:
+            wide += 1
+        elif fields:
+            rows.append(tuple(f or None for f in fields) + (None,) * (6 - len(fields)))
+    return rows, wide
+
+
+@pytest.mark.parametrize("size", ["1", "7", "13", "20", "33", "50", "77", "128m"])
+def test_quoted_line_breaks_across_splits(spark, tmp_path, size):
+    """Split sizes from one byte on cut the files at every place."""
+    texts = {"a.csv": MESSY, "b.csv": MESSY.replace("Alpha", "Beta") + "\n", "c.csv": f"{HEADER}\nGamma,G,1,1,1,1\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows, too_wide = read_city_csv(spark, str(tmp_path))
+        got, wide = rows.orderBy("ingest_seq").collect(), too_wide.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [plain_records(text) for text in texts.values()]
+    columns = ["city_name", "state", "latitude", "longitude", "tier", "population"]
+    assert [tuple(r[c] for c in columns) for r in got] == [r for rows, _ in want for r in rows]
+    assert len(wide) == sum(n for _, n in want) and {r.reason for r in wide} == {"too many fields"}
+
+
+def test_a_quote_left_open_takes_only_the_lines_after_it(spark, csv_file):
+    path = csv_file(f'{HEADER}\n"A\nB",X,1,2,1,5\nRome,Y,3,4,1,6\n"lost,Z,1,1,1,1\nParis,Y,3,4,1,6\n')
+    rows, too_wide = read_city_csv(spark, path)
+    assert [r.city_name for r in rows.orderBy("ingest_seq").collect()] == ["A\nB", "Rome"]
+    assert [(r.raw_line, r.reason) for r in too_wide.orderBy("ingest_seq").collect()] == [
+        ('"lost,Z,1,1,1,1', "open quote"), ("Paris,Y,3,4,1,6", "open quote"),
+    ]
+
+
+def test_no_task_reads_a_whole_file(spark, tmp_path):
+    (tmp_path / "big.csv").write_text(HEADER + "\n" + "City,S,1,1,1,1\n" * 2000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows, _ = read_city_csv(spark, str(tmp_path))
+        assert "SinglePartition" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

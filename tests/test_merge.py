@@ -201,3 +201,51 @@ def test_audit(frame):
         ("child", "unique", "id"): 1,
         ("child", "foreign", "c"): 2,
     }
+
+
+def test_deletions_walk_the_foreign_keys(frame):
+    from skyledger.operators.constraints import delete_rows
+    from skyledger.schemas import Rules
+
+    rules = {
+        "city": Rules(),
+        "alias": Rules(foreign={"city": ("city", "id")}, cascades=["city"]),
+        "use": Rules(foreign={"alias": ("alias", "id")}, cascades=["alias"]),
+        "fact": Rules(foreign={"city": ("city", "id")}),
+        "note": Rules(foreign={"use": ("use", "id")}),
+    }
+    tables = {
+        "city": frame("id int, gone boolean", (1, True), (2, True), (3, True), (4, False), (5, True), (None, True)),
+        "alias": frame("id int, city int", (10, 1), (11, 1), (12, 2), (13, 3), (14, 4), (15, None)),
+        "use": frame("id int, alias int", (100, 10), (101, 12), (102, 13), (103, 14), (103, 14)),
+        "fact": frame("city int", 2, 2, 4, None),
+        "note": frame("use int", 102, None),
+    }
+    out = delete_rows(tables, rules, "city", F.col("gone"))
+
+    def ids(df):
+        return sorted((r[0] for r in df.collect()), key=lambda x: (x is None, x))
+
+    # 2 has facts; 3 has an alias with a use with a note: both are refused, and what hangs on them stays.
+    assert set(out) == {"city", "alias", "use"}
+    assert (ids(out["city"].kept), ids(out["city"].deleted), ids(out["city"].refused)) == ([2, 3, 4], [1, 5, None], [2, 3])
+    assert (ids(out["alias"].kept), ids(out["alias"].deleted)) == ([12, 13, 14, 15], [10, 11])
+    assert (ids(out["use"].kept), ids(out["use"].deleted)) == ([101, 102, 103, 103], [100])
+
+
+def test_deletions_of_the_warehouse(frame):
+    from skyledger.operators.constraints import delete_rows
+    from skyledger.schemas import TABLE_RULES
+
+    tables = {
+        "dim_city": frame("city_id int", 1, 2, 3),
+        "dim_city_alias": frame("alias_id int, canonical_city_id int", (1, 1), (2, 2), (3, 3)),
+        "fact_weather_reading": frame("city_id int, date_key int", (2, 7)),
+        "fact_air_quality_reading": frame("city_id int, date_key int"),
+        "dim_date": frame("date_key int", 7, 8),
+    }
+    out = delete_rows(tables, TABLE_RULES, "dim_city", F.col("city_id") < 3)
+    assert [r.city_id for r in out["dim_city"].refused.collect()] == [2]
+    assert sorted(r.alias_id for r in out["dim_city_alias"].kept.collect()) == [2, 3]
+    days = delete_rows(tables, TABLE_RULES, "dim_date", F.col("date_key") > 0)
+    assert [r.date_key for r in days["dim_date"].deleted.collect()] == [8]
