@@ -17,8 +17,10 @@ whatever their length.
 from __future__ import annotations
 
 import os
+import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +31,14 @@ from .common import small_batches
 
 #: Documents and bytes of text in a group, on average. A group is packed in one call.
 GROUP_DOCS, GROUP_BYTES = 2048, 8 << 20
-#: Words whose ids a worker remembers before it starts afresh; of pieces, twice as many.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers before it starts afresh; as many pieces of other words.
+REMEMBERED = 400_000
 #: Fixed value: how a byte-level pre-tokenizer cuts a text.
 PIECES_OF_TEXT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEED = 20240607
+ID = attrgetter("id")
 
-PIECES = (
-    "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-)
+PIECES = "doc_id long, start long, length long, {ids}, doc_tokens long, sequence_id long, offset long"
 
 
 class TournamentTree:
@@ -80,19 +81,25 @@ class PieceIds(dict):
 
     def __init__(self, model) -> None:
         super().__init__()
-        self.model = model
+        self.tokenize = model.tokenize
         # Bytes that print stand for themselves, the others for characters from 256 on.
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         spare = iter(range(256, 512))
         self.letters = {b: chr(b) if b in printable else chr(next(spare)) for b in range(256)}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= 2 * REMEMBERED:
+        if len(self) >= REMEMBERED:
             self.clear()
-        spelled = piece.encode().decode("latin-1").translate(self.letters)
-        self[piece] = ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        self[piece] = ids = self.of_spelled(piece.encode().decode("latin-1").translate(self.letters))
         return ids
 
+    def of_spelled(self, spelled: str) -> bytes:
+        return array("I", map(ID, self.tokenize(spelled))).tobytes()
+
+
+class SpacesMeet(Exception):
+    """White space stands beside white space, so a text is not the sum of its words."""
+
 
 class WordIds(dict):
     """The same of a space with the word after it.
@@ -114,8 +121,9 @@ class WordIds(dict):
         model = self.tokenizer.model
         model._resize_cache(0)  # its own memory of words costs more than it saves
         self.pieces, self.split = PieceIds(model), regex.compile(PIECES_OF_TEXT).findall
-        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.is_special = regex.compile("|".join([r"\s\s", r"^\s", r"\s$", *map(regex.escape, specials)])).search
+        self.space = self.pieces.letters[0x20]
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.at_space = regex.compile(r"^\s|\s\s|\s$|^$").search
 
     def encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -125,19 +133,26 @@ class WordIds(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         if word.isalpha():
-            ids = self.pieces[" " + word]
-        elif word[-1] in ".,;:!?" and word[:-1].isalpha():
-            ids = self.pieces[" " + word[:-1]] + self.pieces[word[-1]]
+            # A piece of its own with the space before it, which is spelled as the letter of byte 32.
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.pieces.letters)
+            ids = self.pieces.of_spelled(self.space + spelled)
+        elif word and word[-1] in ".,;:!?" and word[:-1].isalpha():
+            ids = self[word[:-1]] + self.pieces[word[-1]]
+        elif self.at_space(word):
+            raise SpacesMeet
         else:
             ids = b"".join(map(self.pieces.__getitem__, self.split(" " + word)))
         self[word] = ids
         return ids
 
     def of(self, text: str) -> bytes:
-        if self.is_special(text):
-            return self.encode(text)
         first, *rest = text.split(" ")
-        return self.encode(first) + b"".join(map(self.__getitem__, rest))
+        if self.at_space(first) or any(s in text for s in self.specials):
+            return self.encode(text)
+        try:
+            return self.encode(first) + b"".join(map(self.__getitem__, rest))
+        except SpacesMeet:
+            return self.encode(text)
 
 
 _ids: dict[str, WordIds] = {}
@@ -163,11 +178,13 @@ def pack(
     end_id: int = 1,
     id_column: str = "doc_id",
     text_column: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
     """One row per piece: where it stands in its document and its sequence, and its ids.
 
     ``tokenizer`` is the path of a byte-level tokenizer file that every
-    executor has. ``ids`` are little-endian unsigned 32-bit numbers.
+    executor has. ``ids`` are little-endian unsigned 32-bit numbers; without
+    them their crc32 stands in their place, as ``ids_crc32``.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(
@@ -198,7 +215,11 @@ def pack(
                 "doc_id": pa.array([o[0] for o in out], pa.int64()),
                 "start": pa.array([o[1] for o in out], pa.int64()),
                 "length": pa.array(lengths, pa.int64()),
-                "ids": pa.array([o[2] for o in out], pa.binary()),
+                **(
+                    {"ids": pa.array([o[2] for o in out], pa.binary())}
+                    if with_ids
+                    else {"ids_crc32": pa.array([zlib.crc32(o[2]) for o in out], pa.int64())}
+                ),
                 "doc_tokens": pa.array([o[3] for o in out], pa.int64()),
                 "sequence_id": pa.array([first + p for p in places], pa.int64()),
                 "offset": pa.array(offsets, pa.int64()),
@@ -206,11 +227,10 @@ def pack(
         )
 
     grouped = rows.select("doc_id", "text", F.monotonically_increasing_id().alias("place"), group.alias("grp"))
-    return grouped.groupBy("grp").applyInArrow(packed, PIECES)
+    schema = PIECES.format(ids="ids binary" if with_ids else "ids_crc32 long")
+    return grouped.groupBy("grp").applyInArrow(packed, schema)
 
 
-def digests(pieces: DataFrame) -> DataFrame:
-    """The pieces with a checksum in place of their ids."""
-    return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """The pieces of all documents with a checksum in place of their ids."""
+    return pack(docs, tokenizer, with_ids=False)

@@ -69,7 +69,7 @@ def op6_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json")))
+    return packing.digests(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"))
 
 
 def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:

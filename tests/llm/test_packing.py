@@ -70,12 +70,12 @@ def test_round_trip_with_odd_rows(frame):
     texts = {k: " ".join("w" * chance.randint(1, 9) for _ in range(chance.randint(1, 400))) for k in range(60)}
     texts |= {100: None, 101: "", 102: "long " * 20_000}
     docs = frame(DOCS, *[(k, t, "clash", 7) for k, t in texts.items()])
-    check(packing.digests(packing.pack(docs, PATH)).collect(), texts)
+    check(packing.digests(docs, PATH).collect(), texts)
 
 
 def test_repeated_rows_null_ids_and_no_rows(frame):
     docs = frame("doc_id long, text string", (1, "a b"), (1, "a b"), (None, "c"))
-    rows = packing.digests(packing.pack(docs, PATH)).collect()
+    rows = packing.digests(docs, PATH).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.length) for r in rows) == [(False, 1, 3), (False, 1, 3), (True, 0, 2)]
     assert packing.pack(frame("doc_id long, text string").where("false"), PATH).count() == 0
 
@@ -87,3 +87,18 @@ def test_little_padding(frame):
     rows = packing.pack(docs, PATH).groupBy("sequence_id").sum("length").collect()
     fewest = -(-sum(r[1] for r in rows) // 2048)
     assert len(rows) <= fewest * 11 / 9 + 1
+
+
+def test_forgetting_words_changes_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 4)
+    ids = packing.WordIds(PATH)
+    for k in range(60):
+        text = f"often once{k} here, there!! number{k}"
+        assert np.frombuffer(ids.of(text), "<u4").tolist() == ids_of(text)
+        assert len(ids) <= 5
+
+
+def test_checksums_are_those_of_the_ids(frame):
+    docs = frame(DOCS, *[(k, "some text here " * k, "", 0) for k in range(0, 900, 90)])
+    whole = {(r.doc_id, r.start): zlib.crc32(r.ids) for r in packing.pack(docs, PATH).collect()}
+    assert {(r.doc_id, r.start): r.ids_crc32 for r in packing.digests(docs, PATH).collect()} == whole
