@@ -7,13 +7,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import is_blank, lookup_key, sort_tokens
 from ..schemas import QUARANTINE
+from .barrier import computed_once
 from .dimension import active
 from .numbering import highest, number_rows
 
@@ -233,29 +232,82 @@ def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Data
         "a", "b", "piece", F.substr("text", F.col("start") + F.col("move") + 1, F.col("size")).alias("stretch"), "text"
     )
     pairs = sought.join(indexed, keys).select("text", "city_text", "city_id").distinct()
-    verified = pairs.withColumn("common", _common_length("text", "city_text"))
     left, right = F.length("text"), F.length("city_text")
+    # Insertions and deletions alone are at least as many as with replacements, which the banded distance counts fast.
+    most = F.call_function("div", (left + right) * (100 - cutoff), F.lit(100)).cast("int")
+    near = pairs.filter(F.call_function("levenshtein", F.col("text"), F.col("city_text"), most) >= 0)
+    verified = with_common_length(near, "text", "city_text")
     return verified.filter(_close_enough(F.col("common"), left, right, cutoff)).select(
         "text", "city_id", similarity(F.col("common"), left, right).alias("score")
     )
 
 
-@F.pandas_udf(T.IntegerType())
-def _common_length(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Length of the longest common subsequence, by bit-parallel counting."""
+#: Bits of a limb, so that the sum of two limbs and a carry stays a positive long.
+LIMB = 62
 
-    def common(a: str, b: str) -> int:
-        places: dict[str, int] = {}
-        for i, char in enumerate(a):
-            places[char] = places.get(char, 0) | 1 << i
-        full = (1 << len(a)) - 1
-        row = full
-        for char in b:
-            hits = row & places.get(char, 0)
-            row = ((row + hits) | (row - hits)) & full
-        return len(a) - row.bit_count()
 
-    return pd.Series([common(a, b) for a, b in zip(left, right)], dtype="int32")
+def with_common_length(pairs: DataFrame, left: str, right: str, name: str = "common") -> DataFrame:
+    """Add the length of the longest common subsequence of two texts, by bit-parallel counting.
+
+    A row of the comparison is a number with one bit per character of ``left``, kept in
+    limbs of 62 bits. Each character of ``right`` changes the row by one addition, whose carries
+    run from limb to limb, and two bit operations; the bits that have become 0 count the
+    common characters. Rows need as many steps as ``right`` has characters, not as both multiplied.
+    """
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    a, b, columns = F.col(left), F.col(right), pairs.columns
+
+    def characters(text: Column) -> Column:
+        places = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.substr(text, i, F.lit(1)))
+
+    def mask(char: Column, chunk: Column) -> Column:
+        """Bits of the places at which a chunk of characters has ``char``."""
+        places = F.transform(chunk, lambda c, i: F.when(c == char, F.call_function("shiftleft", one, i)).otherwise(zero))
+        return F.aggregate(places, zero, lambda x, y: x + y)
+
+    # What the steps look up is computed before them: within a lambda it would be computed at each step.
+    limbs = F.greatest(F.lit(1), F.ceil(F.length(a) / F.lit(float(LIMB))).cast("int"))
+    chunks = F.transform(F.sequence(F.lit(0), limbs - 1), lambda k: F.slice("_chars", k * LIMB + 1, LIMB))
+    ready = computed_once(pairs.withColumn("_chars", characters(a)))
+    ready = computed_once(ready.withColumn("_chunks", chunks))
+    ready = computed_once(
+        ready.select(
+            *columns,
+            characters(b).alias("_others"),
+            F.map_from_entries(
+                F.transform(F.array_distinct("_chars"), lambda c: F.struct(c, F.transform("_chunks", lambda chunk: mask(c, chunk))))
+            ).alias("_masks"),
+            F.transform("_chunks", lambda chunk: F.call_function("shiftleft", one, F.size(chunk)) - 1).alias("_ones"),
+        )
+    )
+
+    def step(row: Column, char: Column) -> Column:
+        found = F.try_element_at(F.col("_masks"), char)
+
+        def limb(state: Column, part: Column) -> Column:
+            kept = part["row"].bitwiseAND(part["hit"])
+            total = part["row"] + kept + state["carry"]
+            changed = total.bitwiseOR(part["row"] - kept).bitwiseAND(part["ones"])
+            return F.struct(F.concat(state["row"], F.array(changed)).alias("row"), F.shiftright(total, LIMB).alias("carry"))
+
+        start = F.struct(F.array().cast("array<bigint>").alias("row"), zero.alias("carry"))
+        parts = F.arrays_zip(row.alias("row"), found.alias("hit"), F.col("_ones").alias("ones"))
+        # A character that the left text lacks changes nothing.
+        return F.when(found.isNull(), row).otherwise(F.aggregate(parts, start, limb)["row"])
+
+    short = F.size("_ones") == 1
+
+    def short_step(row: Column, char: Column) -> Column:
+        kept = row.bitwiseAND(F.coalesce(F.try_element_at(F.col("_masks"), char)[0], zero))
+        return (row + kept).bitwiseOR(row - kept).bitwiseAND(F.col("_ones")[0])
+
+    def ones_left(limb: Column) -> Column:
+        return F.bit_count(limb)
+
+    brief = ones_left(F.aggregate("_others", F.col("_ones")[0], short_step))
+    several = F.aggregate(F.aggregate("_others", F.col("_ones"), step), F.lit(0), lambda n, limb: n + ones_left(limb))
+    return ready.select(*columns, (F.length(a) - F.when(short, brief).otherwise(several)).alias(name))
 
 
 def merge_quarantine(old: DataFrame, unmatched: DataFrame, now: Column | None = None) -> DataFrame:
