@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.operators.positions import with_positions
+
 from .common import WORD, stored, uniform
 
 #: Documents in a block, on average.
@@ -42,14 +44,28 @@ def word_count(text_column: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def units_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source"):
-    """The rows to mix, numbered by their place in the input."""
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"),
+def units_of(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    carried: Sequence[str] = (),
+) -> DataFrame:
+    """The rows to mix with the columns ``carried``, numbered in the order of source, id and a hash of the text.
+
+    All draws hang on that number. It follows from the rows alone, so reruns agree however
+    the input is split; rows that are equal in all three are interchangeable.
+    """
+    units = docs.select(
         F.col(id_column).alias("doc_id"),
         F.col(source_column).alias("source"),
         word_count(text_column).alias("size"),
+        F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("hash"),
+        *carried,
     )
+    order = (F.col("source").asc_nulls_last(), F.col("doc_id").asc_nulls_last(), F.col("hash"))
+    # Stored first: words are counted once, not again to find the ranges.
+    return with_positions(stored(units, "mix-sizes"), *order, name="row").drop("hash")
 
 
 def targets(units: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.llm import mixing
 
@@ -77,3 +78,22 @@ def test_repeated_rows_one_row_and_no_rows(frame):
 def test_words_are_split_at_ascii_white_space_only(frame):
     rows = mixed(frame("doc_id long, text string, source string", (1, " a b\tc\x0bd \n", "s")))
     assert rows[0].size == 3
+
+
+def test_reruns_agree_however_the_input_is_split(spark, frame, tmp_path):
+    chance = random.Random(11)
+    rows = [(k, "w " * chance.randint(0, 40), "abc"[k % 3] if k % 5 else None) for k in range(700)] + [(3, "x y", "a")] * 4
+    frame("doc_id long, text string, source string", *rows).repartition(6).write.parquet(str(tmp_path / "docs"))
+    seen = []
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")}
+    for size, partitions in (("128m", "4"), ("700", "7")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            docs = spark.read.parquet(str(tmp_path / "docs"))
+            docs = docs if size == "128m" else docs.orderBy(F.desc("doc_id"))
+            seen.append(sorted((str(r.doc_id), r.size, r.source or "", r.copies) for r in mixed(docs)))
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+    assert seen[0] == seen[1]
