@@ -2,8 +2,9 @@
 
 Each stage works on all rows that the one before kept, and its result is
 written and read again. All stages but the last return the columns of the
-documents they were given; rows are told apart by their place in that table,
-so repeated and null ids do no harm.
+documents they were given. Where a stage joins its findings to its rows, it
+first stores the rows with a number, so repeated and null ids do no harm and no
+number is computed twice.
 
 Defined results: an empty table passes through all stages; a null text goes in
 the first stage, as it has no language; a null source is a source of its own.
@@ -27,8 +28,8 @@ ORACLE_SQL = None
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """Rows with their place; the same whenever the written table is read."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """Rows with a number, stored together."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,15 +60,15 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     numbered = _numbered(docs)
-    mixed = mixing.mix(mixing.units_of(docs)).where("copies > 0")
-    copies = stored(mixed.select(F.col("row").alias("__row"), F.col("copies").alias("__copies")), "copies")
+    mixed = mixing.mix(mixing.units_of(numbered, carried=[ROW])).where("copies > 0")
+    copies = stored(mixed.select(F.col(ROW).alias("__row"), F.col("copies").alias("__copies")), "copies")
     taken = numbered.join(copies, F.col(ROW) == F.col("__row"))
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens."""
-    return packing.digests(packing.pack(docs, public_file("byte_bpe_50k.json")))
+    return packing.digests(docs, public_file("byte_bpe_50k.json"))
 
 
 STAGES = [
