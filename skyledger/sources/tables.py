@@ -60,7 +60,7 @@ RUNS: dict[str, Runs] = {
 RECORDS: dict[str, list[str]] = {
     "pipeline_run_log": ["run_id"],
     "dq_check_results": ["run_id"],
-    "bronze_runs": ["source_api", "run_id"],
+    "bronze_runs": ["source_api"],
 }
 MEASURES = {
     "fact_weather_reading": schemas.WEATHER_MEASURES,
