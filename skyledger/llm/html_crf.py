@@ -12,7 +12,8 @@ references are decoded, white space within a block becomes one space. Tags, comm
 scripts, styles and what browsers don't show are no text.
 
 Defined results: a null or empty html has the text ''; broken markup is read as far as it
-goes (unclosed comments and scripts reach to the end); repeated rows get equal
+goes (unclosed comments, scripts and other raw text reach to the end; another unshown element without its end tag
+loses its tag only); repeated rows get equal
 results; null ids and urls stay null; no pages give no rows; further columns are
 ignored. Pages are read whole, whatever their length.
 """
@@ -40,9 +41,14 @@ TRAINING_PAGES, STEPS, RATE, PULL = 700, 120, 0.1, 1e-4
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr del".split()
+    "strike strong sub sup time tt u var wbr del object "
+    "math mfrac mi mn mo mover mpadded mphantom mroot mrow ms msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder "
+    "munderover semantics".split()
 )
-UNSHOWN = frozenset("script style title textarea template noscript iframe svg math select object".split())
+#: Elements whose content browsers that run scripts don't show; that of the first kind ends at their end tag only, or never.
+#: An end tag that another of them lacks takes nothing but the tag itself.
+RAW = frozenset("script style title textarea iframe".split())
+UNSHOWN = RAW | frozenset("template noscript svg select".split())
 #: What an opening tag closes, if it is open above the nearest of the fences.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -52,11 +58,12 @@ CLOSES = {
 
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[/a-zA-Z][^>]*\Z",
     re.DOTALL,
 )
 _NAMES = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_DIGIT = re.compile(r"\d")
 _PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
@@ -145,7 +152,8 @@ def blocks_of(page: str, known: frozenset[str] | None = None) -> list[Block]:
             continue
         if tag in UNSHOWN and not attributes.endswith("/"):
             end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else size
+            if end or tag in RAW:
+                at = end.end() if end else size
             continue
         if tag in VOID or attributes.endswith("/") and tag not in INLINE and tag != "p":
             continue
@@ -189,7 +197,7 @@ def features_of(block: Block, index: int, count: int) -> list[str]:
     ]
     if "©" in text or "|" in text:
         found.append("sign:" + ("©" if "©" in text else "|"))
-    if any(c.isdigit() for c in text[:200]):
+    if _DIGIT.search(text):
         found.append("digits")
     found += block.above
     if not any(a.startswith("c:") for a in block.above):

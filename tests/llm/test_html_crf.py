@@ -39,7 +39,7 @@ def texts(page: str) -> list[str]:
     ],
 )
 def test_blocks(page, want):
-    assert texts(page) == want
+    assert texts_of(page) == want
 
 
 def test_ancestors_and_links():
@@ -49,9 +49,9 @@ def test_ancestors_and_links():
 
 
 def test_deep_and_long_pages_end():
-    assert texts("<div>" * 30_000 + "x") == ["x"]
+    assert texts_of("<div>" * 30_000 + "x") == ["x"]
     assert len(texts("<p>word</p>" * 20_000)) == 20_000
-    assert texts("<p>" + "w " * 300_000)[0].count("w") == 300_000
+    assert texts_of("<p>" + "w " * 300_000)[0].count("w") == 300_000
 
 
 def test_viterbi_finds_the_best_labels(model):
@@ -121,3 +121,27 @@ def test_spark_with_odd_rows(frame, model):
     assert {(r.text, r.n_chars) for r in rows if r.page_id in (2, 3)} == {("", 0)}
     assert [r.n_chars for r in rows if r.page_id is None] == [24]
     assert crf.extracted(pages.where("false"), model).count() == 0
+
+
+def texts_of(page):
+    return [b.text for b in crf.blocks_of(page)]
+
+
+@pytest.mark.parametrize("size", [100, 5_001, 12_000, 300_000])
+def test_long_attributes_stay_in_their_tag(size):
+    assert texts_of(f'<p>Before <img alt="{"b a > " * (size // 6)}"> after.</p><p title=\'{"x>" * size}\'>Next.</p>') == ["Before after.", "Next."]
+
+
+def test_shown_elements_keep_their_text_and_unclosed_ones_end_nothing():
+    assert texts_of("<article><p>Choose <select><option>1<p>Second para.</p></article>")[-1] == "Second para."
+    assert texts_of("<p>Choose <select><option>1</option></select> one.</p>") == ["Choose", "one."]
+    assert texts_of("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>") == ["So x=2 holds."]
+    assert texts_of("<p>A <object data='x'>fallback</object> text.</p>") == ["A fallback text."]
+    assert texts_of("<p>A <noscript>plain</noscript> text.</p><noscript><p>Left open.</p>") == ["A", "text.", "Left open."]
+    assert texts_of("<p>One.</p><svg><g><p>Two.</p>")[-1] == "Two."
+    assert texts_of("<p>One.</p><script>var x = '<p>no</p>'") == ["One."]
+
+
+def test_features_see_the_whole_block():
+    block = crf.Block("word " * 500 + "7", 0, "p", frozenset())
+    assert "digits" in crf.features_of(block, 0, 1)
