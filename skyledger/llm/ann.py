@@ -66,6 +66,11 @@ def _units(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(data), np.float32).reshape(len(data), -1).astype(np.float64)
 
 
+def in_range(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component to [1/2, 1): exact, and squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))[1])
+
+
 def best_lists(node: np.ndarray, other: np.ndarray, likeness: np.ndarray, most: int):
     """Rows of (node, other, likeness): each node's ``most`` best others, once each, best first."""
     order = np.lexsort((-likeness, other, node))
@@ -353,7 +358,9 @@ class Graph:
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x, y = (np.array(batch[c].to_pylist(), dtype=np.float64).reshape(len(batch), -1) for c in ("x", "y"))
+                if not len(batch):
+                    continue
+                x, y = (in_range(np.array(batch[c].to_pylist(), dtype=np.float64).reshape(len(batch), -1)) for c in ("x", "y"))
                 score = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
                 yield pa.RecordBatch.from_arrays([batch["query"], batch["other"], pa.array(score)], names=["query", "other", "score"])
 

@@ -83,3 +83,23 @@ def test_best_lists():
     node, other = np.array([1, 1, 1, 2, 1]), np.array([5, 6, 5, 7, 8])
     got = ann.best_lists(node, other, np.array([0.1, 0.5, 0.1, 0.3, 0.5]), 2)
     assert [x.tolist() for x in got] == [[1, 1, 2], [6, 8, 7], [0.5, 0.5, 0.3]]
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200, 1e300, 1e-290])
+def test_huge_and_tiny_components(frame, scale):
+    chance = np.random.default_rng(9)
+    plain = {k: chance.normal(size=8) for k in range(60)}
+    rows = [(k, [float(c) for c in v * (scale if k % 2 else 1.0)], "", "") for k, v in plain.items()]
+    docs = frame(SCHEMA.replace("float", "double"), *rows)
+    got = ann.nearest_neighbours(docs, F.col("vec_id") % 10 == 0, 5).collect()
+    assert found_by(got) == brute(plain, [k for k in plain if k % 10 == 0], 5)
+    for r in got:
+        x, y = plain[r.query_id], plain[r.vec_id]
+        assert r.score == pytest.approx(x @ y / np.sqrt((x @ x) * (y @ y)), abs=1e-12)
+
+
+def test_scaling_changes_no_score():
+    x = np.random.default_rng(1).normal(size=(50, 16)).astype(np.float32).astype(np.float64)
+    y = ann.in_range(x)
+    assert ((x * x).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((x * x).sum(1))) == (y * y).sum(1) / (np.sqrt((y * y).sum(1)) * np.sqrt((y * y).sum(1)))).all()
+    assert ((0.5 <= abs(y).max(1)) & (abs(y).max(1) < 1)).all()
