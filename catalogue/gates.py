@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.times import date_key
 from skyledger.operators import checks, gate
-from skyledger.operators.constraints import delete_rows
+from skyledger.operators.constraints import audit, delete_rows
 from skyledger.plans.name_load import resolve_and_store
 from skyledger.schemas import TABLE_RULES
 from skyledger.session import scratch_dir
+from skyledger.sources.city_csv import read_city_csv
 from skyledger.sources.tables import Warehouse
 
 from .resolving import _BASE, known_aliases, named_cities, spelled_names
@@ -161,7 +163,65 @@ def cascade_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def constraint_audit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The constraints of aliases, weather, runs, results and quarantine over damaged stand-ins."""
+    custkey, k = F.col("c_custkey"), F.col("k")
+    customers = table(spark, sf_dir, "customer")
+    day = F.lit(datetime(2024, 1, 1))
+    tables = {
+        "dim_city": dim_city(spark, sf_dir).filter("is_active").select("city_id"),
+        "dim_city_alias": customers.select(
+            custkey.alias("alias_id"),
+            F.when(custkey % 11 == 0, F.lit(None)).when(custkey % 13 == 0, F.lit("Same")).when(custkey % 17 == 0, F.rpad("c_name", 201, "x"))
+            .otherwise(F.col("c_name")).alias("raw_alias"),
+            custkey.alias("canonical_city_id"),
+            F.when(custkey % 7 == 0, F.lit("guess")).otherwise(F.lit("manual")).alias("match_method"),
+        ),
+        "fact_weather_reading": events(spark, sf_dir).select(
+            F.col("event_id").alias("reading_id"), F.when(k > 0, F.col("user_id")).alias("city_id"), F.lit(20240101).alias("date_key"),
+            F.when(k != 1, F.date_trunc("hour", "ts")).alias("reading_ts"), F.when(k != 2, F.col("ts")).alias("fetched_at"),
+        ),
+        "pipeline_run_log": table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("run_id"), F.rpad("o_orderpriority", 260, "x").alias("dag_id"),
+            F.when(F.col("o_orderstatus") != "P", F.lit("gate")).alias("task_id"), F.col("o_orderdate").cast("date").alias("logical_date"),
+            F.col("o_orderstatus").alias("status"),
+        ),
+        "dq_check_results": table(spark, sf_dir, "lineitem").select(
+            F.col("l_orderkey").alias("id"), (F.col("l_orderkey") + F.when(F.col("l_linenumber") >= 4, 1_000_000_000).otherwise(0)).alias("run_id"),
+            F.lit("check").alias("check_name"), F.lit("table").alias("table_name"),
+            F.when(F.col("l_returnflag") == "A", "pass").when(F.col("l_returnflag") == "N", "warn").otherwise("broken down").alias("status"),
+            F.when(F.col("l_linenumber") > 1, F.col("l_shipdate")).alias("checked_at"),
+        ),
+        "quarantine_unmatched_city_names": customers.select(
+            custkey.alias("id"), F.col("c_mktsegment").alias("raw_name"), F.rpad("c_mktsegment", 60, "x").alias("source"),
+            day.alias("first_seen_at"), day.alias("last_seen_at"), F.when(F.col("c_acctbal") >= 0, F.lit(1)).alias("occurrence_count"), F.lit(True).alias("resolved"),
+        ),
+    }
+    return audit(tables, TABLE_RULES).filter("table_name <> 'dim_city'")
+
+
+def source_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A city file of all nations, one with a header only, and one that is not there."""
+    nation = table(spark, sf_dir, "nation")
+    cities = nation.select(
+        F.col("n_name").alias("city_name"), F.col("n_regionkey").cast("string").alias("state"), F.col("n_nationkey").alias("latitude"),
+        F.col("n_nationkey").alias("longitude"), F.lit(1).alias("tier"), F.lit(None).cast("string").alias("population"),
+    )
+    root, found = scratch_dir(spark, "sources"), []
+    for name, rows in (("present", cities), ("empty", cities.filter(F.length("city_name") < 0))):
+        rows.coalesce(1).write.option("header", True).csv(f"{root}/{name}")
+    for name in ("present", "empty", "missing"):
+        try:
+            number = read_city_csv(spark, f"{root}/{name}")[0].count()
+            found.append((name, "empty" if number == 0 else "present", number))
+        except AnalysisException as error:
+            found.append((name, error.getCondition(), None))
+    return spark.createDataFrame(found, "source string, outcome string, rows bigint")
+
+
 QUERIES = {
+    "constraint_audit_records": constraint_audit_records,
+    "source_presence": source_presence,
     "dq_recorded_run": dq_recorded_run,
     "names_resolved_and_stored": names_resolved_and_stored,
     "dq_messages": dq_messages,
@@ -169,6 +229,50 @@ QUERIES = {
 }
 
 ORACLES = {
+    "source_presence": """
+SELECT 'present' AS source, 'present' AS outcome, count(*) AS rows FROM nation
+UNION ALL SELECT 'empty', 'empty', 0 UNION ALL SELECT 'missing', 'PATH_NOT_FOUND', NULL
+""",
+    "constraint_audit_records": """
+WITH alias AS (
+  SELECT c_custkey AS id, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'Same'
+    WHEN c_custkey % 17 = 0 THEN rpad(c_name, 201, 'x') ELSE c_name END AS raw, c_custkey % 7 = 0 AS guess, c_acctbal < 0 AS orphan FROM customer),
+weather AS (
+  SELECT cast(props ->> '$.k' AS int) AS k, user_id, date_trunc('hour', ts) AS t, c_acctbal < 0 AS orphan
+  FROM events JOIN customer ON user_id = c_custkey),
+found AS (
+  SELECT 'dim_city_alias' AS t, 'not null' AS kind, 'raw_alias' AS target, (SELECT count(*) FROM alias WHERE raw IS NULL) AS n
+  UNION ALL SELECT 'dim_city_alias', 'not null', x, 0 FROM unnest(['canonical_city_id', 'match_method']) u(x)
+  UNION ALL SELECT 'dim_city_alias', 'domain', 'match_method', (SELECT count(*) FROM alias WHERE guess)
+  UNION ALL SELECT 'dim_city_alias', 'length', 'raw_alias', (SELECT count(*) FROM alias WHERE length(raw) > 200)
+  UNION ALL SELECT 'dim_city_alias', 'length', 'match_method', 0
+  UNION ALL SELECT 'dim_city_alias', 'unique', 'alias_id', 0
+  UNION ALL SELECT 'dim_city_alias', 'unique', 'raw_alias', (SELECT count(raw) - count(DISTINCT raw) FROM alias)
+  UNION ALL SELECT 'dim_city_alias', 'foreign', 'canonical_city_id', (SELECT count(*) FROM alias WHERE orphan)
+  UNION ALL SELECT 'fact_weather_reading', 'not null', x, (SELECT count(*) FROM weather WHERE k = y)
+    FROM (VALUES ('city_id', 0), ('reading_ts', 1), ('fetched_at', 2), ('date_key', -1)) v(x, y)
+  UNION ALL SELECT 'fact_weather_reading', 'unique', 'reading_id', 0
+  UNION ALL SELECT 'fact_weather_reading', 'unique', 'city_id, reading_ts', (SELECT count(*) - count(DISTINCT (user_id, t)) FROM weather WHERE k > 1)
+  UNION ALL SELECT 'fact_weather_reading', 'foreign', 'city_id', (SELECT count(*) FROM weather WHERE orphan AND k > 0)
+  UNION ALL SELECT 'pipeline_run_log', 'not null', x, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' AND x = 'task_id')
+    FROM unnest(['dag_id', 'task_id', 'logical_date', 'status']) u(x)
+  UNION ALL SELECT 'pipeline_run_log', 'length', x, (SELECT count(*) FROM orders WHERE x = 'dag_id') FROM unnest(['dag_id', 'task_id', 'status']) u(x)
+  UNION ALL SELECT 'pipeline_run_log', 'unique', 'run_id', (SELECT count(*) - count(DISTINCT o_orderkey) FROM orders)
+  UNION ALL SELECT 'dq_check_results', 'not null', x, (SELECT count(*) FROM lineitem WHERE l_linenumber = 1 AND x = 'checked_at')
+    FROM unnest(['check_name', 'status', 'checked_at']) u(x)
+  UNION ALL SELECT 'dq_check_results', 'domain', 'status', (SELECT count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N'))
+  UNION ALL SELECT 'dq_check_results', 'length', x, (SELECT count(*) FROM lineitem WHERE x = 'status' AND l_returnflag NOT IN ('A', 'N'))
+    FROM unnest(['check_name', 'table_name', 'status']) u(x)
+  UNION ALL SELECT 'dq_check_results', 'unique', 'id', (SELECT count(*) - count(DISTINCT l_orderkey) FROM lineitem)
+  UNION ALL SELECT 'dq_check_results', 'foreign', 'run_id', (SELECT count(*) FROM lineitem
+    WHERE l_linenumber >= 4 OR l_orderkey NOT IN (SELECT o_orderkey FROM orders))
+  UNION ALL SELECT 'quarantine_unmatched_city_names', 'not null', x, (SELECT count(*) FROM customer WHERE c_acctbal < 0 AND x = 'occurrence_count')
+    FROM unnest(['raw_name', 'first_seen_at', 'last_seen_at', 'occurrence_count', 'resolved']) u(x)
+  UNION ALL SELECT 'quarantine_unmatched_city_names', 'length', x, (SELECT count(*) FROM customer WHERE x = 'source') FROM unnest(['raw_name', 'source']) u(x)
+  UNION ALL SELECT 'quarantine_unmatched_city_names', 'unique', 'id', 0
+  UNION ALL SELECT 'quarantine_unmatched_city_names', 'unique', 'raw_name', (SELECT count(*) - count(DISTINCT c_mktsegment) FROM customer))
+SELECT t AS table_name, kind, target, n AS violations FROM found
+""",
     "dq_messages": """
 WITH e AS (SELECT event_id, cast(props ->> '$.k' AS int) AS k, event_id % 201 AS n FROM events)
 SELECT event_id, 'freshness' AS check_name, CASE WHEN k / 4.0 > 6 THEN 'fail' WHEN k / 4.0 > 4 THEN 'warn' ELSE 'pass' END AS status,
