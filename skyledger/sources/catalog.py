@@ -93,7 +93,7 @@ class Catalog:
     def _open(self) -> None:
         if not self.known():
             self.spark.range(1).select(F.lit(self.database)).coalesce(1).write.text(f"{self.root}/_warehouse")
-            self.spark.sql(f"CREATE DATABASE {self.database} LOCATION '{self.root}'")
+            self.spark.sql(f"CREATE DATABASE {self.database} LOCATION {_quoted(self.root)}")
 
     def name(self, table: str) -> str:
         return f"{self.database}.`{table}`"
@@ -119,9 +119,14 @@ class Catalog:
     def replace(self, table: str, df: DataFrame) -> None:
         """Make ``df`` the table; it may be computed from the table."""
         self._open()
+        shown = [v for v in self._properties(table).get("versions", "").split(",") if v]
+        # What writes that failed before their swap have left.
+        stored = self.spark.sql(f"SHOW TABLES IN {self.database} LIKE '{table}__*'").collect()
+        for lost in {row.tableName for row in stored}.difference(shown):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(lost)}")
         fresh = f"{table}__{uuid.uuid4().hex[:16]}"
         df.write.format("parquet").saveAsTable(self.name(fresh))
-        versions = [fresh, *filter(None, self._properties(table).get("versions", "").split(","))]
+        versions = [fresh, *shown]
         self._swap(table, f"SELECT * FROM {self.name(fresh)}", {"versions": ",".join(versions[:KEPT_VERSIONS])})
         for old in versions[KEPT_VERSIONS:]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(old)}")

@@ -339,6 +339,8 @@ def test_a_write_that_fails_before_the_swap_leaves_the_old_table(warehouse, monk
     dimension_load.load_dimension(warehouse, warehouse.city_file, F.lit(datetime(2025, 1, 1)))
     assert {r.updated_at for r in warehouse.read("dim_city").collect()} == {datetime(2025, 1, 1)}
     assert ids(warehouse) == {r.split("city_name='")[1].split("'")[0]: int(r.split("city_id=")[1].split(",")[0]) for r in before["dim_city"]}
+    left = warehouse.spark.sql(f"SHOW TABLES IN {warehouse.catalog.database} LIKE 'dim_city__*'").collect()
+    assert {r.tableName for r in left} == set(warehouse.catalog._properties("dim_city")["versions"].split(","))
     # The next load shows its own rows only, none of those that the failed one left.
     land_weather(frame, warehouse, "run-3", FETCHED, (["Agra"], weather_answer("2024-09-25T14:00", 8)))
     assert warehouse.read("bronze").count() == 2
