@@ -23,6 +23,9 @@ QUARANTINE_SOURCE = "pipeline"
 # Names up to this length are matched through their shortened forms: 137 at most.
 ENUMERATED_LENGTH = 16
 
+# Spark takes a table of forms or pieces for as small as the names they come from, and would send it to the driver.
+EXPLODED = "merge"
+
 
 @dataclass(frozen=True)
 class Resolution:
@@ -170,7 +173,7 @@ def _short_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Dat
     common, left, right = F.length("form"), F.length("text"), F.col("_best.length")
     return (
         _shortened(probes, cutoff)
-        .join(per_form, "form")
+        .join(per_form.hint(EXPLODED), "form")
         .filter(_close_enough(common, left, right, cutoff))
         .select("text", F.col("_best.city_id").alias("city_id"), similarity(common, left, right).alias("score"))
     )

@@ -138,6 +138,20 @@ def test_best_matches_against_brute_force(spark, lengths, alphabet):
     assert len(expected) > 40
 
 
+@pytest.mark.parametrize("length, key", [(13, "form")])
+def test_forms_and_pieces_are_not_broadcast(spark, tmp_path, length, key):
+    """A small file whose names become many times as many forms or pieces."""
+    letters = F.translate(F.md5(F.col("id").cast("string")), "0123456789abcdef", "bcdfghjklmnprtvw")
+    name = F.concat(F.left(letters, F.lit(5)), F.lit(" "), F.left(F.repeat(letters, 2), F.lit(length - 6)))
+    spark.range(200).select(F.col("id").alias("city_id"), name.alias("city_name")).write.parquet(f"{tmp_path}/cities")
+    cities = spark.read.parquet(f"{tmp_path}/cities")
+    matches = resolve.best_matches(cities.select(F.col("city_name").alias("raw_name")), cities)
+    assert matches.count() == 200
+    plan = matches._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and f"{key}#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_quarantine_counts(frame):
     old = frame(
         "id bigint, raw_name string, source string, first_seen_at timestamp, last_seen_at timestamp, "
