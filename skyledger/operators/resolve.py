@@ -234,7 +234,7 @@ def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Data
     sought = moved.filter(within & reachable).select(
         "a", "b", "piece", F.substr("text", F.col("start") + F.col("move") + 1, F.col("size")).alias("stretch"), "text"
     )
-    pairs = sought.join(indexed, keys).select("text", "city_text", "city_id").distinct()
+    pairs = sought.join(indexed.hint(EXPLODED), keys).select("text", "city_text", "city_id").distinct()
     left, right = F.length("text"), F.length("city_text")
     # Insertions and deletions alone are at least as many as with replacements, which the banded distance counts fast.
     most = F.call_function("div", (left + right) * (100 - cutoff), F.lit(100)).cast("int")

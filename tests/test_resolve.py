@@ -138,7 +138,7 @@ def test_best_matches_against_brute_force(spark, lengths, alphabet):
     assert len(expected) > 40
 
 
-@pytest.mark.parametrize("length, key", [(13, "form")])
+@pytest.mark.parametrize("length, key", [(13, "form"), (40, "stretch")])
 def test_forms_and_pieces_are_not_broadcast(spark, tmp_path, length, key):
     """A small file whose names become many times as many forms or pieces."""
     letters = F.translate(F.md5(F.col("id").cast("string")), "0123456789abcdef", "bcdfghjklmnprtvw")
