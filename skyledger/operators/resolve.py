@@ -23,8 +23,9 @@ QUARANTINE_SOURCE = "pipeline"
 # Names up to this length are matched through their shortened forms: 137 at most.
 ENUMERATED_LENGTH = 16
 
-# Spark takes a table of forms or pieces for as small as the names they come from, and would send it to the driver.
-EXPLODED = "merge"
+# Spark takes a table of keys, forms or pieces of names, and what is found by them, for as small as the file
+# of cities, and would send it to the driver.
+UNDERRATED = "merge"
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,7 @@ def resolve_names(raw: DataFrame, dim_city: DataFrame, aliases: DataFrame) -> Re
     """
     distinct = raw.groupBy("raw_name").agg(F.count(F.lit(1)).alias("occurrences"))
     keyed = distinct.withColumn("key", F.when(~is_blank(F.col("raw_name")), lookup_key(F.col("raw_name"))))
-    exact = keyed.join(lookup_table(dim_city, aliases), "key", "left")
+    exact = keyed.join(lookup_table(dim_city, aliases).hint(UNDERRATED), "key", "left")
     missed = exact.filter(F.col("key").isNotNull() & F.col("city_id").isNull())
     matched = best_matches(missed.select("raw_name"), active(dim_city))
     per_key = (
@@ -56,7 +57,7 @@ def resolve_names(raw: DataFrame, dim_city: DataFrame, aliases: DataFrame) -> Re
         .select("key", F.col("_first.city_id").alias("fuzzy_id"), F.col("_first.score").alias("score"),
                 F.col("_first.raw_name").alias("raw_alias"))
     )
-    joined = exact.join(per_key, "key", "left")
+    joined = exact.join(per_key.hint(UNDERRATED), "key", "left")
     names = joined.select(
         "raw_name",
         "occurrences",
@@ -113,7 +114,7 @@ def best_matches(names: DataFrame, cities: DataFrame, cutoff: int = CUTOFF) -> D
     candidates = named.groupBy("text").agg(F.min("city_id").alias("city_id"))
     found = _short_matches(probes, candidates, cutoff).unionByName(_long_matches(probes, candidates, cutoff))
     best = found.groupBy("text").agg(F.max(F.struct("score", (-F.col("city_id")).alias("minus_id"))).alias("_best"))
-    return tokens.join(best, "text").select(
+    return tokens.join(best.hint(UNDERRATED), "text").select(
         "raw_name", (-F.col("_best.minus_id")).alias("city_id"), F.col("_best.score").alias("score")
     )
 
@@ -173,7 +174,7 @@ def _short_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Dat
     common, left, right = F.length("form"), F.length("text"), F.col("_best.length")
     return (
         _shortened(probes, cutoff)
-        .join(per_form.hint(EXPLODED), "form")
+        .join(per_form.hint(UNDERRATED), "form")
         .filter(_close_enough(common, left, right, cutoff))
         .select("text", F.col("_best.city_id").alias("city_id"), similarity(common, left, right).alias("score"))
     )
@@ -234,7 +235,7 @@ def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Data
     sought = moved.filter(within & reachable).select(
         "a", "b", "piece", F.substr("text", F.col("start") + F.col("move") + 1, F.col("size")).alias("stretch"), "text"
     )
-    pairs = sought.join(indexed.hint(EXPLODED), keys).select("text", "city_text", "city_id").distinct()
+    pairs = sought.join(indexed.hint(UNDERRATED), keys).select("text", "city_text", "city_id").distinct()
     left, right = F.length("text"), F.length("city_text")
     # Insertions and deletions alone are at least as many as with replacements, which the banded distance counts fast.
     most = F.call_function("div", (left + right) * (100 - cutoff), F.lit(100)).cast("int")

@@ -152,6 +152,20 @@ def test_forms_and_pieces_are_not_broadcast(spark, tmp_path, length, key):
     assert joins and all("SortMergeJoin" in line for line in joins)
 
 
+def test_matches_and_lookups_are_not_broadcast(spark, tmp_path):
+    name = F.initcap(F.translate(F.md5(F.col("id").cast("string")), "0123456789abcdef", "bcdfghjklmnprtvw"))
+    cities = spark.range(200).select(F.col("id").alias("city_id"), F.left(name, F.lit(12)).alias("city_name"), F.lit(True).alias("is_active"))
+    cities.write.parquet(f"{tmp_path}/cities")
+    cities = spark.read.parquet(f"{tmp_path}/cities")
+    aliases = cities.select(F.concat(F.lit("Old "), "city_name").alias("raw_alias"), F.col("city_id").alias("canonical_city_id"))
+    raw = cities.select(F.concat("city_name", F.lit("x")).alias("raw_name"))
+    names = resolve.resolve_names(raw, cities, aliases).names
+    assert names.filter("match_method = 'fuzzy'").count() == 200
+    plan = names._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [key#" in line or "Join [text#" in line]
+    assert len(joins) >= 3 and all("SortMergeJoin" in line for line in joins)
+
+
 def test_quarantine_counts(frame):
     old = frame(
         "id bigint, raw_name string, source string, first_seen_at timestamp, last_seen_at timestamp, "
