@@ -207,8 +207,10 @@ class Catalog:
     def _write(self, stored: str, runs: Runs, df: DataFrame, load: int) -> None:
         columns = [f.name for f in runs.schema if f.name not in runs.by]
         rows = df.select(*columns, *runs.by, F.lit(load).cast("long").alias(LOAD))
-        if runs.keys:  # a task then writes one file for each partition
-            rows = rows.repartition(runs.buckets, *[k for k in runs.keys if k not in runs.by])
+        if runs.keys:
+            # One file for each bucket of a partition, and as many tasks as there are such files, not as buckets.
+            bucket = F.pmod(F.hash(*[k for k in runs.keys if k not in runs.by]), F.lit(runs.buckets))
+            rows = rows.repartition(*runs.by, bucket)
         rows.write.insertInto(self.name(stored))
 
     def _show(self, table: str, runs: Runs, state: State) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -15,11 +16,11 @@ from skyledger.operators.resolve import resolve_names
 from skyledger.plans import dimension_load, readings_load
 from skyledger.plans.analytics import rolling_24h_average
 from skyledger.plans.name_load import resolve_and_store
-from skyledger.schemas import BRONZE, CITY_CSV_COLUMNS
+from skyledger.schemas import BRONZE, CITY_CSV_COLUMNS, WEATHER_MEASURES
 from skyledger.session import scratch_dir
 from skyledger.sources.landed import pair_batches, run_documents
 from skyledger.sources.catalog import Catalog, LostTable
-from skyledger.sources.tables import RUNS, Warehouse
+from skyledger.sources.tables import BUCKETS, RUNS, Warehouse
 from skyledger.streaming.incremental import ingest_new_documents
 
 FETCHED = datetime(2024, 9, 26, 8, 30)
@@ -201,6 +202,29 @@ def test_a_load_writes_its_own_rows_and_changes_no_file(warehouse, frame):
     assert {float(r.temperature_c) for r in facts.filter("city_id = %d" % ids(warehouse)["Pune"]).collect()} == {1.0, 5.0}
 
 
+def test_a_load_of_many_days_is_written_by_more_tasks_than_buckets(spark, tmp_path):
+    house, seconds = Warehouse(spark, str(tmp_path / "many_days")), F.lit(1_727_000_000) + F.col("id") * 3600
+    rows = spark.range(24 * 12).select(
+        (F.col("id") % 7).cast("int").alias("city_id"), F.timestamp_seconds(seconds).alias("reading_ts"), F.lit(20240922).alias("date_key"),
+        *[F.lit(1).cast("decimal(5,2)").alias(m) for m in WEATHER_MEASURES if m != "fetched_at"], F.timestamp_seconds(seconds).alias("fetched_at"),
+    )
+    names = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
+    old = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        house.merge_facts("fact_weather_reading", rows)
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    files = stored_files(house, "fact_weather_reading")
+    assert sum(files.values()) == 24 * 12
+    tasks = {re.search(r"part-([0-9]+)", file)[1] for file in files}
+    assert len(tasks) > BUCKETS
+    # Still one file for each bucket of a day.
+    assert len({re.sub(r"part-.*_([0-9]+)\.c000.*", r"\1", file) for file in files}) == len(files)
+
+
 def test_a_load_reads_no_stored_rows(warehouse, frame):
     land_weather(frame, warehouse, "run-1", FETCHED, (["Mumbai"], weather_answer("2024-09-26T14:00", 30)))
     readings_load.load_weather(warehouse, "run-1")
