@@ -57,11 +57,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Tasks for each core, so that uneven ones even out.
+WAVES = 4
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Shuffle rows to all cores if the scan has fewer splits than there are cores.
+    """Shuffle rows to all cores unless the scan has several splits for each.
 
-    Worth it before CPU-bound work on a small file, which is one split. Large
-    inputs have many splits and pass through unchanged; finding out runs no job.
+    Worth it before CPU-bound work on a file of a few row groups. A group is read whole by
+    the split that holds its middle, so of as many splits as cores most may be empty, and one may hold all
+    rows. Large inputs have many splits and pass through unchanged; finding out runs no job.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = WAVES * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df

@@ -17,7 +17,7 @@ from skyledger.plans import dimension_load, readings_load
 from skyledger.plans.analytics import rolling_24h_average
 from skyledger.plans.name_load import resolve_and_store
 from skyledger.schemas import BRONZE, CITY_CSV_COLUMNS, WEATHER_MEASURES
-from skyledger.session import scratch_dir
+from skyledger.session import scratch_dir, spread
 from skyledger.sources.landed import pair_batches, run_documents
 from skyledger.sources.catalog import Catalog, LostTable
 from skyledger.sources.tables import BUCKETS, RUNS, Warehouse
@@ -225,6 +225,22 @@ def test_a_load_of_many_days_is_written_by_more_tasks_than_buckets(spark, tmp_pa
     assert len({re.sub(r"part-.*_([0-9]+)\.c000.*", r"\1", file) for file in files}) == len(files)
 
 
+def test_rows_of_one_row_group_are_spread(spark, tmp_path):
+    spark.range(20_000).coalesce(1).write.parquet(f"{tmp_path}/one")
+    size = sum(f.stat().st_size for f in (tmp_path / "one").glob("*.parquet"))
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(size // 8))
+    try:
+        rows = spark.read.parquet(f"{tmp_path}/one")
+        assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        shares = spread(rows).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(name, old)
+    assert sum(r["count"] for r in shares) == 20_000
+    assert max(r["count"] for r in shares) < 20_000 // spark.sparkContext.defaultParallelism
+
+
 def test_a_load_reads_no_stored_rows(warehouse, frame):
     land_weather(frame, warehouse, "run-1", FETCHED, (["Mumbai"], weather_answer("2024-09-26T14:00", 30)))
     readings_load.load_weather(warehouse, "run-1")
