@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import langid, mixing, ngram_join, packing, toxicity
-from skyledger.llm.common import small_batches, stored
+from skyledger.llm.common import small_batches, stored, temporary
 from skyledger.llm.queries import public_file, table
 
 #: A text whose likeliest language has less than this mean probability has none.
@@ -50,10 +50,12 @@ def without_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest id, of several the first."""
     numbered = _numbered(docs)
-    groups = ngram_join.similar_groups(numbered.select(ROW, "text"), id_column=ROW)
-    groups = groups.join(numbered.select(F.col(ROW).alias("__row"), F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__row"))
     first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row")))
-    kept = stored(groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("__kept")), "kept")
+    with temporary(spark):  # what the join has stored is more than the documents
+        groups = ngram_join.similar_groups(numbered.select(ROW, "text"), id_column=ROW)
+        groups = groups.join(numbered.select(F.col(ROW).alias("__row"), F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__row"))
+        kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("__kept"))
+        kept = stored(kept, "kept", keep=True)
     return numbered.join(kept, F.col(ROW) == F.col("__kept"), "left_semi").drop(ROW)
 
 

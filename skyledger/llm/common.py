@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +25,38 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return use_utc(spark)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+#: Databases of the ``temporary`` blocks that run, the innermost last.
+_TEMPORARY: list[str] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables stored in the block go at its end, also after an error, but for those stored with ``keep``.
+
+    No frame that reads them may be used afterwards.
+    """
+    database = f"temporary_{uuid.uuid4().hex}"
+    location = scratch_dir(spark, "temporary").replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
+    _TEMPORARY.append(database)
+    try:
+        yield
+    finally:
+        _TEMPORARY.remove(database)
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """The same rows, read back from a table in the shared scratch folder.
 
     Cuts the lineage in a way that survives lost executors and gives Spark the
     true size of the table.
     """
     spark = df.sparkSession
+    if _TEMPORARY and not keep:
+        name = f"{_TEMPORARY[-1]}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
+        df.write.format("parquet").saveAsTable(name)
+        return spark.table(name)
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

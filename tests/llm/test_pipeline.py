@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter
 
@@ -61,3 +62,16 @@ def test_run_and_empty_documents(spark, corpus, tmp_path):
     for table in ("documents", "labels"):
         spark.read.parquet(f"{corpus}/{table}.parquet").where("false").write.parquet(f"{empty}/{table}.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_the_join_leaves_no_tables_but_its_result(spark, corpus):
+    shared = spark.conf.get("spark.checkpoint.dir")
+
+    before = set(os.listdir(shared))
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").where("text IS NOT NULL")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, corpus)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before}
+    assert left == {"pipeline-rows", "kept"}
+    assert not [d.name for d in spark.catalog.listDatabases() if d.name.startswith("temporary_")]
+    ids = {r.doc_id for r in kept.collect()}
+    assert {7, 603} <= ids and not ids & {500, 501, 502}
