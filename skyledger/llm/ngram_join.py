@@ -15,12 +15,16 @@ of all documents' tokens, of fixed size at any input. The order only has to be t
 documents: collisions cost time, never a link.
 
 Documents with equal sets are one class from the start. Sets that share a
-combination are not paired with each other: each is compared with one of them, the
-hub (the one with the fewest rare tokens), and the components of these links are formed. Then the
-member nearest to the hub is the next hub. What is still apart after that is compared directly, but for pairs that
-the triangle inequality of the Jaccard distance to the hub rules out, or the number of their rare
-tokens. So groups of copies cost a
-comparison per copy, and no link is lost. Comparisons use the exact sets, of 64-bit hashes.
+combination are compared with one of them, the hub (the one with the fewest rare tokens), and the components of these
+links are formed. What is still apart after that is found in two ways. In short lists all pairs are taken. In longer ones the
+tokens in which a member differs from the hub are found. Of two similar sets in different components at most one is similar to the
+hub, so that their differences from it add up to more than similar sets may differ in: they must share some. Prefixes
+of the differences therefore meet on a token, rare ones first, and members that merely stand around one text don't. So
+groups of copies cost a comparison or two per copy, and no link is lost.
+
+Before texts are fetched, pairs are dropped whose signatures differ in more bits than similar sets differ in
+tokens: a bit is the parity of the number of tokens of its slot, so each token that only one set has turns one bit.
+Comparisons use the exact sets, of 64-bit hashes.
 
 Defined results: a null text or one without words has no n-grams, no links and itself as
 its component; fewer words than n are one n-gram; rows with equal ids and equal
@@ -31,6 +35,7 @@ which is null if all their ids are; an empty table gives no rows; further column
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -47,7 +52,10 @@ FREQUENT, VERY_FREQUENT, LEAST_SPREAD = 4, 32, 6
 #: Tokens of a size band for each class of pairs or triples.
 TOKENS_PER_CLASS = 64
 CANDIDATE_BITS = 22
-HUB_ROUNDS = 2
+#: Bits of a signature, and the 64-bit words that remain of it in rows that are joined by token.
+SIGNATURE_BITS, FOLDED_WORDS = 1024, 4
+#: In lists with no more members all pairs are taken.
+SHORT_LIST = 16
 
 _BYTE_VALUES = np.random.default_rng(20240601).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BYTE_VALUES[65:91] = _BYTE_VALUES[97:123]  # A-Z as a-z
@@ -91,9 +99,9 @@ class NgramHasher:
         """The sorted distinct n-gram hashes of each text."""
         out: list[np.ndarray] = []
         first = 0
-        while first < len(texts):  # so many texts that they have a megabyte, or one
+        while first < len(texts):  # so many texts that they have a quarter of a megabyte, or one
             upto, size = first, 0
-            while upto < len(texts) and (upto == first or size + len(texts[upto] or b"") < 1 << 20):
+            while upto < len(texts) and (upto == first or size + len(texts[upto] or b"") < 1 << 18):
                 size += len(texts[upto] or b"") + 1
                 upto += 1
             out += self._sets([t or b"" for t in texts[first:upto]])
@@ -219,7 +227,7 @@ def frequency_levels(texts: DataFrame, n: int) -> np.ndarray:
 
 
 def indexed(texts: DataFrame, n: int, share: tuple[int, int], levels: np.ndarray) -> DataFrame:
-    """Each document's set size, a 128-bit hash of its set, its combinations, and what ``combinations_of`` counts."""
+    """Each document's set size, a 128-bit hash of its set, its combinations, what ``combinations_of`` counts, and a signature."""
     shared = texts.sparkSession.sparkContext.broadcast(levels)  # 1 MB at any input
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,11 +242,31 @@ def indexed(texts: DataFrame, n: int, share: tuple[int, int], levels: np.ndarray
                     batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s) for s in sets], pa.binary()),
                     pa.array(combos, pa.list_(pa.int64())), pa.array(rare, pa.int32()),
+                    pa.array([_signature(s) if len(s) >= least else None for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "size", "digest", "combos", "rare"],
+                names=["doc_id", "size", "digest", "combos", "rare", "signature"],
             )
 
-    return texts.mapInArrow(made, "doc_id long, size long, digest binary, combos array<long>, rare int")
+    return texts.mapInArrow(made, "doc_id long, size long, digest binary, combos array<long>, rare int, signature array<long>")
+
+
+def _signature(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of tokens in each slot, as 64-bit words."""
+    slots = (tokens & np.uint64(SIGNATURE_BITS - 1)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=SIGNATURE_BITS).astype(np.uint8) & 1).view(np.int64)
+
+
+def _differing(one: str, other: str, words: int):
+    """In how many bits two signatures differ."""
+    return sum((F.bit_count(F.col(one)[k].bitwiseXOR(F.col(other)[k])) for k in range(words)), F.lit(0))
+
+
+def _folded(signature: str):
+    """A shorter signature of the same set."""
+    words = [
+        [F.col(signature)[k] for k in range(first, SIGNATURE_BITS // 64, FOLDED_WORDS)] for first in range(FOLDED_WORDS)
+    ]
+    return F.array(*[reduce(lambda x, y: x.bitwiseXOR(y), own) for own in words])
 
 
 def _least_size(share: tuple[int, int]) -> int:
@@ -298,20 +326,26 @@ def _digest(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
-def _compared(n: int):
-    """Sizes of what the two sets of each row have in common and in all.
+def _pairs_of_sets(hasher: NgramHasher, batch: pa.RecordBatch) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+    """The rows of a batch that count, and the two sets of each row.
 
-    Rows of one id may have several texts; those that are not meant are left out.
+    Rows of one id may have several texts; those that are not meant don't count.
     """
+    one, other = (hasher.sets(batch[c].to_pylist()) for c in ("text_a", "text_b"))
+    meant = [
+        k for k, (d, e) in enumerate(zip(batch["digest_a"].to_pylist(), batch["digest_b"].to_pylist(), strict=True))
+        if _digest(one[k]) == d and _digest(other[k]) == e
+    ]
+    return meant, one, other
+
+
+def _compared(n: int):
+    """Sizes of what the two sets of each row have in common and in all."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = NgramHasher(n)
         for batch in batches:
-            one, other = (hasher.sets(batch[c].to_pylist()) for c in ("text_a", "text_b"))
-            meant = [
-                k for k, (d, e) in enumerate(zip(batch["digest_a"].to_pylist(), batch["digest_b"].to_pylist(), strict=True))
-                if _digest(one[k]) == d and _digest(other[k]) == e
-            ]
+            meant, one, other = _pairs_of_sets(hasher, batch)
             both = [len(np.intersect1d(one[k], other[k], assume_unique=True)) for k in meant]
             union = [len(one[k]) + len(other[k]) - c for k, c in zip(meant, both, strict=True)]
             kept = pa.array(meant, pa.int64())
@@ -323,11 +357,68 @@ def _compared(n: int):
     return compared
 
 
+class Differences:
+    """The tokens in which the members of a list differ from its hub."""
+
+    def __init__(self, levels: np.ndarray, share: tuple[int, int]) -> None:
+        self.levels, self.share = levels, share
+
+    def of(self, hub: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, int, int, bool]:
+        """The indexed tokens in order, how many meet any member that is not linked with the hub, how many tokens differ, and
+        whether the member is linked with the hub.
+
+        With d(x) tokens between x and the hub, similar x and y share (d(x) + d(y) - d(x, y)) / 2 of them, and
+        d(x, y) <= c (|x| + |y|), c = (1 - share) / (1 + share). If both are linked with the hub, they need not meet. Else
+        they share one at least, and no fewer than d(x) - d(x, y). If y is not linked, d(y) > c (|y| + |hub|), so
+        they share more than (d(x) + c (|hub| - |x|)) / 2. The tokens that must be shared make the prefix shorter.
+        """
+        part, whole = self.share
+        beside, lacked = (np.setdiff1d(x, y, assume_unique=True) for x, y in ((member, hub), (hub, member)))
+        differ = len(beside) + len(lacked)
+        linked = differ * (whole + part) <= (whole - part) * (len(member) + len(hub))
+        most = len(member) * (whole - part) // part  # tokens between it and any similar set
+        any_shared = max(1, differ - most)
+        shared = max(any_shared, (differ * (whole + part) + (whole - part) * (len(hub) - len(member))) // (2 * (whole + part)) + 1)
+        few = max(0, differ - shared + 1)
+        length = few if linked else differ - any_shared + 1
+        return self._ordered(beside, lacked)[:length], few, differ, linked
+
+    def _ordered(self, beside: np.ndarray, lacked: np.ndarray) -> np.ndarray:
+        """All tokens, those first in which few members should differ from the hub: rare ones of their own, then frequent ones of
+        the hub, then frequent ones that the hub lacks, then rare ones of the hub."""
+        tokens = np.concatenate([beside, lacked])
+        level = self.levels[(tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.int64)
+        own, frequent = np.arange(len(tokens)) < len(beside), level >= 64
+        rank = np.select([own & ~frequent, ~own & frequent, own], [0, 1, 2], 3)
+        return tokens[np.lexsort((tokens, np.where(own, level, -level), rank))]
+
+
+def _differences(n: int, share: tuple[int, int], levels):
+    """``Differences`` of each row's second set from its first, the hub's."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, differences = NgramHasher(n), Differences(levels.value, share)
+        for batch in batches:
+            meant, one, other = _pairs_of_sets(hasher, batch)
+            rows = [differences.of(one[k], other[k]) for k in meant]
+            kept = pa.array(meant, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["a"].take(kept), batch["b"].take(kept),
+                    pa.array([r[0].astype(np.int64) for r in rows], pa.list_(pa.int64())),
+                    *[pa.array([r[k] for r in rows], kind) for k, kind in ((1, pa.int64()), (2, pa.int64()), (3, pa.bool_()))],
+                ],
+                names=["a", "b", "tokens", "few", "differ", "linked"],
+            )
+
+    return found
+
+
 class Join:
     """The links between representatives of equal sets."""
 
-    def __init__(self, texts: DataFrame, base: DataFrame, n: int, share: tuple[int, int]) -> None:
-        self.share, self.n, self.texts = share, n, Texts(texts)
+    def __init__(self, texts: DataFrame, base: DataFrame, n: int, share: tuple[int, int], levels: np.ndarray) -> None:
+        self.share, self.n, self.texts, self.levels = share, n, Texts(texts), levels
         part, whole = share
         classes = base.where("size > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
         self.classes = stored(classes.where("rep IS NOT NULL"), "ngram-classes")
@@ -335,7 +426,7 @@ class Join:
         reps = base.where(F.size("combos") > 0).join(
             firsts, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest"))
         )
-        reps = stored(reps.select("rep", "size", "digest", "combos", "rare"), "ngram-reps")
+        reps = stored(reps.select("rep", "size", "digest", "combos", "rare", "signature"), "ngram-reps")
         postings = reps.select(F.explode("combos").alias("combo"), "rep")
         # Grouped by more than the join needs: the result is dealt out again, and the join can split hot combinations.
         shared = postings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.count("*").alias("n")).where("n > 1")
@@ -343,19 +434,21 @@ class Join:
         members = stored(
             postings.join(shared, F.col("combo") == F.col("_combo")).select("combo", "rep"), "ngram-members"
         )
-        self.reps = reps.select("rep", "size", "digest", F.when(F.col("rare") >= 0, F.col("rare")).alias("rare"))
+        rare = F.when(F.col("rare") >= 0, F.col("rare")).alias("rare")
+        self.reps = reps.select("rep", "size", "digest", rare, "signature")
         self.lists = stored(self._with_hubs(members), "ngram-lists")
         self.fits = lambda x, y: (x * whole >= y * part) & (y * whole >= x * part)
 
     def _with_hubs(self, members: DataFrame) -> DataFrame:
-        """Lists with their hub: the member with the fewest rare tokens, as it is nearest to the others."""
+        """Lists with their length and hub: the member with the fewest rare tokens, as it is nearest to the others."""
         known = self.reps.select(F.col("rep").alias("_rep"), "size", "rare")
         rows = stored(members.join(known, F.col("rep") == F.col("_rep")).drop("_rep"), "ngram-sized")
         first = F.min(F.struct(F.coalesce("rare", F.lit(2**31)).alias("rank"), "rep", "size", "rare")).alias("first")
-        hubs = rows.groupBy("combo", F.pmod("combo", F.lit(5))).agg(first).select(F.col("combo").alias("_combo"), "first")
+        hubs = rows.groupBy("combo", F.pmod("combo", F.lit(5))).agg(first, F.count("*").alias("members"))
+        hubs = hubs.select(F.col("combo").alias("_combo"), "first", "members")
         return rows.join(hubs, F.col("combo") == F.col("_combo")).select(
             "combo", "rep", "size", "rare", F.col("first.rep").alias("hub"), F.col("first.size").alias("hub_size"),
-            F.col("first.rare").alias("hub_rare"),
+            F.col("first.rare").alias("hub_rare"), "members",
         )
 
     def _apart(self, combo, size_a, rare_a, size_b, rare_b):
@@ -371,40 +464,50 @@ class Join:
         known = rare_a.isNotNull() & rare_b.isNotNull() & (combo % 2 != 0)
         return known & (differ * (whole + part) > (size_a + size_b) * (whole - part))
 
+    def _near(self, differ, size_a, size_b):
+        """Whether sets that differ in at least so many tokens can be similar."""
+        part, whole = self.share
+        return differ * (whole + part) <= (size_a + size_b) * (whole - part)
+
     def sized(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) with the digests of their sets."""
+        """Pairs (a, b) with the digests of their sets, their sizes and signatures."""
         one, two = (
-            self.reps.select(F.col("rep").alias(f"_{x}"), F.col("digest").alias(f"digest_{x}")) for x in ("a", "b")
+            self.reps.select(*[F.col(c).alias(f"{c}_{x}") for c in ("rep", "digest", "size", "signature")]) for x in ("a", "b")
         )
-        both = pairs.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
-        return both.select("a", "b", "digest_a", "digest_b")
+        return pairs.join(one, F.col("a") == F.col("rep_a")).join(two, F.col("b") == F.col("rep_b"))
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that their signatures don't rule out, with the digests of their sets."""
+        differ = _differing("signature_a", "signature_b", SIGNATURE_BITS // 64)
+        return self.sized(pairs).where(self._near(differ, F.col("size_a"), F.col("size_b")))
 
-    def compared(self, pairs: DataFrame) -> DataFrame:
-        """a, b, both, all and linked of distinct pairs (a, b)."""
-        pairs = stored(self.sized(pairs), "ngram-pairs")
+    def fetched(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with the texts of both."""
+        pairs = stored(pairs.select("a", "b", "digest_a", "digest_b"), "ngram-pairs")
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         texts = self.texts.likely(ids)
         one = pairs.join(texts.select(F.col("id").alias("_a"), F.col("text").alias("text_a")), F.col("a") == F.col("_a"))
         two = one.drop("_a").join(
             texts.select(F.col("id").alias("_b"), F.col("text").alias("text_b")), F.col("b") == F.col("_b")
         )
-        found = two.select("a", "b", "digest_a", "digest_b", "text_a", "text_b").mapInArrow(
-            _compared(self.n), "a long, b long, both long, all long"
-        )
+        return two.select("a", "b", "digest_a", "digest_b", "text_a", "text_b")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """Those of distinct pairs (a, b) that are similar."""
+        found = self.fetched(self.likely(pairs)).mapInArrow(_compared(self.n), "a long, b long, both long, all long")
         part, whole = self.share
-        return stored(found.withColumn("linked", F.col("both") * whole >= F.col("all") * part), "ngram-compared")
+        return stored(found.where(F.col("both") * whole >= F.col("all") * part).select("a", "b"), "ngram-linked")
 
-    def hub_pairs(self, lists: DataFrame) -> DataFrame:
+    def hub_pairs(self) -> DataFrame:
         """Every member of a list that may be linked with the list's hub, with the hub, once."""
         sizes = F.col("hub_size"), F.col("size")
         apart = self._apart(F.col("combo"), sizes[0], F.col("hub_rare"), sizes[1], F.col("rare"))
-        rows = lists.where((F.col("hub") != F.col("rep")) & self.fits(*sizes) & ~apart)
+        rows = self.lists.where((F.col("hub") != F.col("rep")) & self.fits(*sizes) & ~apart)
         return rows.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
 
-    def open_lists(self, lists: DataFrame, compared: DataFrame, links: DataFrame) -> DataFrame:
-        """What is left of the lists whose members are in several components: with each member's component and
-        its distance to the hub (null if they were not compared)."""
-        parts = stored(components(links), "ngram-parts")
+    def open_lists(self, parts: DataFrame) -> DataFrame:
+        """The lists whose members are in several components, with each member's component."""
+        lists = self.lists.where("members > 2")  # of two, one is the hub
         named = lists.join(
             parts.select(F.col("node").alias("_node"), F.col("component").alias("part")), F.col("rep") == F.col("_node"), "left"
         )
@@ -413,83 +516,70 @@ class Join:
             F.min("part").alias("least"), F.max("part").alias("most")
         )
         several = several.where("least <> most").select(F.col("combo").alias("_combo"))
-        known = compared.select(
-            F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("both") / F.col("all")).alias("distance"), "both"
-        )
-        left = named.join(several, F.col("combo") == F.col("_combo")).drop("_combo")
-        left = left.join(known, (F.col("hub") == F.col("_a")) & (F.col("rep") == F.col("_b")), "left").drop("_a", "_b")
-        is_hub = F.col("hub") == F.col("rep")
-        left = left.withColumn("distance", F.when(is_hub, 0.0).otherwise(F.col("distance")))
-        left = left.withColumn("both", F.when(is_hub, F.col("size")).otherwise(F.col("both")))
-        return stored(left, "ngram-open")
-
-    def next_hubs(self, lists: DataFrame) -> DataFrame:
-        """Members with the one nearest to their list's hub, but for the hub itself, as their new hub, where it is in
-        another component."""
-        near = F.struct(F.coalesce("distance", F.lit(2.0)).alias("d"), "rep", "part", "size", "rare")
-        nearest = lists.where("hub <> rep").groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.min(near).alias("next"))
-        nearest = nearest.select(F.col("combo").alias("_combo"), "next")
-        return lists.join(nearest, (F.col("combo") == F.col("_combo")) & (F.col("part") != F.col("next.part"))).select(
-            "combo", "rep", "size", "rare", F.col("next.rep").alias("hub"), F.col("next.size").alias("hub_size"),
-            F.col("next.rare").alias("hub_rare"),
-        )
+        return stored(named.join(several, F.col("combo") == F.col("_combo")).drop("_combo"), "ngram-open")
 
-    def rest_pairs(self, lists: DataFrame) -> DataFrame:
-        """Pairs of a list in different components that neither the triangle inequality nor their rare tokens rule out."""
-        part, whole = self.share
-        reach = (whole - part) / whole + 1e-9
-        ring = F.coalesce(F.floor(F.col("distance") / reach), F.lit(-9)).cast("int")
-        # What a member has beside the hub's tokens, how much of that may be frequent, and what of the hub's it lacks.
-        beside = F.col("size") - F.col("both")
-        usual = beside - F.greatest(F.lit(0), F.col("rare") - F.col("hub_rare"))
-        rings = lists.select(
-            "combo", "rep", "size", "rare", "part", "distance", ring.alias("ring"), beside.alias("beside"),
-            usual.alias("usual"), (F.col("hub_size") - F.col("both")).alias("lacked"),
-        )
-        # A member whose rare tokens keep it from all others of its list, the smallest included, has no pairs.
-        least = rings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.min("size").alias("_least"), F.count_if(F.col("rare").isNull()).alias("_open"))
-        rings = rings.join(least.select(F.col("combo").alias("_combo"), "_least", "_open"), F.col("combo") == F.col("_combo"))
-        smallest = F.greatest(F.col("_least"), F.ceil(F.col("size") * part / whole))
-        alone = (F.col("_open") == 0) & self._apart(F.col("combo"), F.col("size"), F.col("rare"), smallest, F.lit(0))
-        rings = rings.where(~alone).drop("_combo", "_least", "_open")
-        # Only rings that, with the next ones, have several components hold pairs.
-        spans = rings.groupBy("combo", "ring").agg(F.min("part").alias("least"), F.max("part").alias("most"))
-        around = F.when(F.col("ring") < 0, F.sequence(F.lit(-9), F.lit(whole // (whole - part) + 1))).otherwise(
-            F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1, F.lit(-9))
-        )
-        near = spans.select("combo", "least", "most", F.explode(around).alias("ring"))
-        near = near.groupBy("combo", "ring").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-        near = near.where("least <> most").select(F.col("combo").alias("_combo"), F.col("ring").alias("_ring"))
-        rows = rings.join(near, (F.col("combo") == F.col("_combo")) & (F.col("ring") == F.col("_ring"))).drop("_combo", "_ring")
-        rows = stored(rows, "ngram-rings")
+    def pairs_of_short_lists(self, lists: DataFrame) -> DataFrame:
+        """All pairs (a, b) of the short lists that are in different components and may be similar."""
+        folded = self.reps.select(F.col("rep").alias("_rep"), _folded("signature").alias("bits"))
+        rows = lists.where(F.col("members") <= SHORT_LIST).where("hub <> rep").select("combo", "rep", "size", "rare", "part")
+        rows = stored(rows.join(folded, F.col("rep") == F.col("_rep")).drop("_rep"), "ngram-short")
         other = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
-        close = F.coalesce(F.abs(F.col("distance") - F.col("distance_b")) <= reach, F.lit(True))
-        # In a list of frequent tokens two members share no rare ones, or they would meet there: beside the hub's
-        # tokens they share no more than what either has of usual ones.
-        differ = F.col("beside") + F.col("beside_b") - 2 * F.least("usual", "usual_b") + F.abs(F.col("lacked") - F.col("lacked_b"))
-        differ = F.when(F.col("usual").isNotNull() & F.col("usual_b").isNotNull() & (F.col("combo") % 2 != 0), differ)
-        too_far = F.coalesce(differ * (whole + part) > (F.col("size") + F.col("size_b")) * (whole - part), F.lit(False))
         pairs = rows.join(
             other,
             (F.col("combo") == F.col("combo_b")) & (F.col("rep") < F.col("rep_b")) & (F.col("part") != F.col("part_b"))
-            & self.fits(F.col("size"), F.col("size_b")) & close
-            & ~self._apart(F.col("combo"), F.col("size"), F.col("rare"), F.col("size_b"), F.col("rare_b")) & ~too_far,
+            & self.fits(F.col("size"), F.col("size_b"))
+            & ~self._apart(F.col("combo"), F.col("size"), F.col("rare"), F.col("size_b"), F.col("rare_b"))
+            & self._near(_differing("bits", "bits_b", FOLDED_WORDS), F.col("size"), F.col("size_b")),
+        )
+        return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
+
+    def stars(self, lists: DataFrame) -> DataFrame:
+        """Hubs of the longer lists (a) and their members (b), with what ``Differences`` finds."""
+        longer = lists.where((F.col("members") > SHORT_LIST) & (F.col("hub") != F.col("rep")))
+        pairs = longer.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+        levels = self.reps.sparkSession.sparkContext.broadcast(self.levels)  # 1 MB at any input
+        found = self.fetched(self.sized(pairs)).mapInArrow(
+            _differences(self.n, self.share, levels), "a long, b long, tokens array<long>, few long, differ long, linked boolean"
+        )
+        return stored(found, "ngram-stars")
+
+    def pairs_of_stars(self, stars: DataFrame, parts: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members of a hub, not both linked with it, that share a token of their differences from it and
+        may be similar."""
+        known = self.reps.select(F.col("rep").alias("_rep"), "size", _folded("signature").alias("bits"))
+        parts = parts.select(F.col("node").alias("_node"), F.col("component").alias("part"))
+        members = stars.join(known, F.col("b") == F.col("_rep")).join(parts, F.col("b") == F.col("_node"), "left")
+        rows = members.select(
+            F.col("a").alias("hub"), F.col("b").alias("rep"), "size", "bits", F.coalesce("part", "b").alias("part"), "linked",
+            "few", "differ", F.posexplode("tokens").alias("place", "token"),
+        )
+        # Tokens after this one, with it: no more can be shared if it is the first.
+        rows = rows.select(
+            "hub", "token", "rep", "size", "bits", "part", "linked", (F.col("place") < F.col("few")).alias("early"), "differ",
+            (F.col("differ") - F.col("place")).alias("after"),
+        )
+        rows = stored(rows, "ngram-differences")
+        other = rows.where("NOT linked").select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
+        sizes = F.col("size"), F.col("size_b")
+        pairs = rows.where("early").join(
+            other,
+            (F.col("hub") == F.col("hub_b")) & (F.col("token") == F.col("token_b")) & (F.col("part") != F.col("part_b"))
+            & (F.col("linked") | (F.col("early_b") & (F.col("rep") < F.col("rep_b"))))
+            & self.fits(*sizes) & self._near(F.abs(F.col("differ") - F.col("differ_b")), *sizes)
+            & self._near(F.col("differ") + F.col("differ_b") - 2 * F.least("after", "after_b"), *sizes)
+            & self._near(_differing("bits", "bits_b", FOLDED_WORDS), *sizes),
         )
-        return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
+        return pairs.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b"))
 
     def links(self) -> DataFrame:
         """Links (a, b) whose components are those of all links."""
-        compared = self.compared(self.hub_pairs(self.lists))
-        links = compared.where("linked").select("a", "b")
-        left = self.open_lists(self.lists, compared, links)
-        for _ in range(HUB_ROUNDS - 1):
-            # A hub's own component is joined already.
-            found = self.compared(self.hub_pairs(self.next_hubs(left)))
-            links = links.unionByName(found.where("linked").select("a", "b"))
-            # Distances stay those to the first hub, which all members have.
-            left = self.open_lists(left.drop("part", "distance", "both"), compared, links)
-        rest = self.compared(self.rest_pairs(left))
-        return links.unionByName(rest.where("linked").select("a", "b"))
+        near = self.linked(self.hub_pairs())
+        parts = stored(components(near), "ngram-parts")
+        left = self.open_lists(parts)
+        stars = self.stars(left)
+        pairs = self.pairs_of_short_lists(left).unionByName(self.pairs_of_stars(stars, parts))
+        rest = self.linked(pairs.distinct())
+        return near.unionByName(stars.where("linked").select("a", "b")).unionByName(rest)
 
 
 def similar_groups(
@@ -509,7 +599,7 @@ def similar_groups(
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
     levels = frequency_levels(texts.select("text"), n)
     base = stored(indexed(texts, n, share, levels), "ngram-base")
-    join = Join(texts, base, n, share)
+    join = Join(texts, base, n, share, levels)
     parts = components(join.links()).select(F.col("node").alias("_node"), "component")
     classes = join.classes.join(parts, F.col("rep") == F.col("_node"), "left").select(
         F.col("digest").alias("_digest"), F.coalesce("component", "rep").alias("component_id")

@@ -117,3 +117,78 @@ def test_components_of_chains_stars_and_loops(frame):
     want.update(dict.fromkeys([7, *range(200, 260)], 7) | {260: -4, -4: -4})
     assert found == want
     assert components(edges.where("false")).count() == 0
+
+
+def around(base: list[str], members: int, edits: int, chance: random.Random) -> list[str]:
+    """Copies of a text, each with edits of its own."""
+    out = []
+    for k in range(members):
+        copy = list(base)
+        for i in chance.sample(range(1, len(base) - 1), edits):
+            copy[i] = f"x{k}y{i}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize(("seed", "n", "part", "whole"), [(4, 3, 90, 100), (5, 5, 8, 10)])
+def test_components_where_no_list_is_short(frame, monkeypatch, seed, n, part, whole):
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", 0)
+    chance, texts = random.Random(seed), list(corpus(seed).values())
+    base = words(chance, 150)
+    for text in around(base, 40, 5, chance):  # members beside the threshold, some of them with a copy of their own
+        texts.append(text)
+        if chance.random() < 0.5:
+            texts += around(text.split(), 1, chance.randint(1, 3), chance)
+    texts = dict(enumerate(texts))
+    docs = frame("doc_id long, text string", *texts.items())
+    rows = ngram_join.similar_groups(docs, (part, whole), n).collect()
+    assert {r.doc_id: r.component_id for r in rows} == brute(texts, n, part, whole)
+
+
+def test_members_around_one_text_are_not_compared_with_each_other(frame, monkeypatch):
+    """150 sets just beyond the threshold from one text, and farther from each other."""
+    chance = random.Random(11)
+    texts = around(words(chance, 200), 150, 4, chance)
+    compared, real = [], ngram_join.stored
+
+    def counted(df, label, *more):
+        out = real(df, label, *more)
+        if label == "ngram-pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    docs = frame("doc_id long, text string", *enumerate(texts))
+    rows = ngram_join.similar_groups(docs, (90, 100), 3).collect()
+    assert {r.doc_id: r.component_id for r in rows} == brute(dict(enumerate(texts)), 3, 90, 100)
+    assert sum(compared) <= 4 * len(texts)
+
+
+@pytest.mark.parametrize("share", [(90, 100), (8, 10), (1, 2)])
+def test_similar_members_share_an_indexed_difference(share):
+    chance = np.random.default_rng(share[1])
+    levels = chance.choice([10, 100, 200], 1 << ngram_join.BUCKET_BITS).astype(np.uint8)
+    differences, (part, whole), met = ngram_join.Differences(levels, share), share, 0
+    for size in (10, 31, 64, 200):
+        hub = np.unique(chance.integers(0, 1 << 64, size, dtype=np.uint64))
+        spare = np.unique(chance.integers(0, 1 << 64, size // 2, dtype=np.uint64))
+        apart = max(1, size * (whole - part) // whole)
+        members = [
+            np.unique(np.concatenate([
+                chance.permutation(hub)[chance.integers(0, apart + 1) :], chance.permutation(spare)[: chance.integers(0, apart + 1)],
+            ]))
+            for _ in range(60)
+        ]
+        found = [differences.of(hub, m) for m in members]
+        for i, a in enumerate(members):
+            tokens, few, differ, linked = found[i]
+            assert differ == len(np.setxor1d(hub, a)) and set(tokens.tolist()) <= set(np.setxor1d(hub, a).tolist())
+            for j, b in enumerate(members):
+                both = len(np.intersect1d(a, b))
+                bits = ngram_join._signature(a) ^ ngram_join._signature(b)
+                assert np.unpackbits(bits.view(np.uint8)).sum() <= len(a) + len(b) - 2 * both
+                if len(np.setxor1d(a, b)) and both * whole >= part * (len(a) + len(b) - both) and not found[j][3]:
+                    other = found[j][0] if linked else found[j][0][: found[j][1]]
+                    assert np.intersect1d(tokens[:few], other).size
+                    met += 1
+    assert met > 20
