@@ -56,6 +56,8 @@ CANDIDATE_BITS = 22
 SIGNATURE_BITS, FOLDED_WORDS = 1024, 4
 #: In lists with no more members all pairs are taken.
 SHORT_LIST = 16
+#: Pairs of texts that a worker holds as sets at a time.
+PAIR_ROWS = 64
 
 _BYTE_VALUES = np.random.default_rng(20240601).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BYTE_VALUES[65:91] = _BYTE_VALUES[97:123]  # A-Z as a-z
@@ -326,6 +328,13 @@ def _digest(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few pairs: both sets of each are held, and compared documents may be long."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, PAIR_ROWS):
+            yield batch.slice(first, PAIR_ROWS)
+
+
 def _pairs_of_sets(hasher: NgramHasher, batch: pa.RecordBatch) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
     """The rows of a batch that count, and the two sets of each row.
 
@@ -344,7 +353,7 @@ def _compared(n: int):
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = NgramHasher(n)
-        for batch in batches:
+        for batch in _slices(batches):
             meant, one, other = _pairs_of_sets(hasher, batch)
             both = [len(np.intersect1d(one[k], other[k], assume_unique=True)) for k in meant]
             union = [len(one[k]) + len(other[k]) - c for k, c in zip(meant, both, strict=True)]
@@ -398,7 +407,7 @@ def _differences(n: int, share: tuple[int, int], levels):
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, differences = NgramHasher(n), Differences(levels.value, share)
-        for batch in batches:
+        for batch in _slices(batches):
             meant, one, other = _pairs_of_sets(hasher, batch)
             rows = [differences.of(one[k], other[k]) for k in meant]
             kept = pa.array(meant, pa.int64())
