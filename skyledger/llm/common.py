@@ -31,7 +31,7 @@ _TEMPORARY: list[str] = []
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
-    """Tables stored in the block go at its end, also after an error, but for those stored with ``keep``.
+    """Tables stored in the block go at its end, also after an error, but for those stored with ``keep``. Blocks may be nested.
 
     No frame that reads them may be used afterwards.
     """
@@ -46,15 +46,15 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
-def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+def stored(df: DataFrame, label: str, keep: int = 0) -> DataFrame:
     """The same rows, read back from a table in the shared scratch folder.
 
     Cuts the lineage in a way that survives lost executors and gives Spark the
-    true size of the table.
+    true size of the table, which outlasts so many ``temporary`` blocks, the innermost first, as ``keep`` says.
     """
     spark = df.sparkSession
-    if _TEMPORARY and not keep:
-        name = f"{_TEMPORARY[-1]}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    if len(_TEMPORARY) > keep:
+        name = f"{_TEMPORARY[-1 - keep]}.{label.replace('-', '_')}_{uuid.uuid4().hex}"
         df.write.format("parquet").saveAsTable(name)
         return spark.table(name)
     path = scratch_dir(spark, label)

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored
+from .common import small_batches, stored, temporary
 from .components import components
 
 BUCKET_BITS, SLICES = 20, 64
@@ -426,27 +426,40 @@ def _differences(n: int, share: tuple[int, int], levels):
 class Join:
     """The links between representatives of equal sets."""
 
-    def __init__(self, texts: DataFrame, base: DataFrame, n: int, share: tuple[int, int], levels: np.ndarray) -> None:
+    def __init__(self, texts: DataFrame, n: int, share: tuple[int, int], levels: np.ndarray) -> None:
         self.share, self.n, self.texts, self.levels = share, n, Texts(texts), levels
         part, whole = share
-        classes = base.where("size > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-        self.classes = stored(classes.where("rep IS NOT NULL"), "ngram-classes")
-        firsts = self.classes.select(F.col("digest").alias("_digest"), "rep")
-        reps = base.where(F.size("combos") > 0).join(
-            firsts, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest"))
-        )
-        reps = stored(reps.select("rep", "size", "digest", "combos", "rare", "signature"), "ngram-reps")
+        with temporary(texts.sparkSession):
+            members = stored(self._members(self._representatives(texts)), "ngram-members", 1)
+        self.lists = stored(self._with_hubs(members), "ngram-lists")
+        self.fits = lambda x, y: (x * whole >= y * part) & (y * whole >= x * part)
+
+    def _representatives(self, texts: DataFrame) -> DataFrame:
+        """One document of each class of equal sets with its combinations.
+
+        Combinations take the most room. Those of all documents go once the representatives are stored, and theirs at the end of
+        the block around this.
+        """
+        with temporary(texts.sparkSession):
+            base = stored(indexed(texts, self.n, self.share, self.levels), "ngram-base")
+            self.rows = stored(base.select("doc_id", "size", "digest"), "ngram-rows", 2)
+            classes = self.rows.where("size > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+            self.classes = stored(classes.where("rep IS NOT NULL"), "ngram-classes", 2)
+            firsts = self.classes.select(F.col("digest").alias("_digest"), "rep")
+            reps = base.where(F.size("combos") > 0).join(
+                firsts, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest"))
+            )
+            return stored(reps.select("rep", "size", "digest", "combos", "rare", "signature"), "ngram-reps", 1)
+
+    def _members(self, reps: DataFrame) -> DataFrame:
+        """Combinations that several representatives have, with each of these."""
+        rare = F.when(F.col("rare") >= 0, F.col("rare")).alias("rare")
+        self.reps = stored(reps.select("rep", "size", "digest", rare, "signature"), "ngram-signatures", 1)
         postings = reps.select(F.explode("combos").alias("combo"), "rep")
         # Grouped by more than the join needs: the result is dealt out again, and the join can split hot combinations.
         shared = postings.groupBy("combo", F.pmod("combo", F.lit(5))).agg(F.count("*").alias("n")).where("n > 1")
         shared = shared.select(F.col("combo").alias("_combo"))
-        members = stored(
-            postings.join(shared, F.col("combo") == F.col("_combo")).select("combo", "rep"), "ngram-members"
-        )
-        rare = F.when(F.col("rare") >= 0, F.col("rare")).alias("rare")
-        self.reps = reps.select("rep", "size", "digest", rare, "signature")
-        self.lists = stored(self._with_hubs(members), "ngram-lists")
-        self.fits = lambda x, y: (x * whole >= y * part) & (y * whole >= x * part)
+        return postings.join(shared, F.col("combo") == F.col("_combo")).select("combo", "rep")
 
     def _with_hubs(self, members: DataFrame) -> DataFrame:
         """Lists with their length and hub: the member with the fewest rare tokens, as it is nearest to the others."""
@@ -607,13 +620,12 @@ def similar_groups(
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
     levels = frequency_levels(texts.select("text"), n)
-    base = stored(indexed(texts, n, share, levels), "ngram-base")
-    join = Join(texts, base, n, share, levels)
+    join = Join(texts, n, share, levels)
     parts = components(join.links()).select(F.col("node").alias("_node"), "component")
     classes = join.classes.join(parts, F.col("rep") == F.col("_node"), "left").select(
         F.col("digest").alias("_digest"), F.coalesce("component", "rep").alias("component_id")
     )
-    rows = base.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("digest")).alias("digest"))
+    rows = join.rows.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("digest")).alias("digest"))
     return rows.join(classes, F.col("digest") == F.col("_digest"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
@@ -192,3 +193,16 @@ def test_similar_members_share_an_indexed_difference(share):
                     assert np.intersect1d(tokens[:few], other).size
                     met += 1
     assert met > 20
+
+
+def test_combinations_are_not_kept_after_the_lists_are_made(spark, frame):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    chance = random.Random(5)
+    texts = around(words(chance, 200), 6, 1, chance)
+    docs = frame("doc_id long, text string", *enumerate([*texts, texts[0], None]))
+    rows = ngram_join.similar_groups(docs, (90, 100), 3).collect()
+    assert {r.doc_id: r.component_id for r in rows} == brute(dict(enumerate([*texts, texts[0], None])), 3, 90, 100)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before}
+    assert "ngram-lists" in left and not left & {"ngram-base", "ngram-reps", "temporary"}
+    assert not [d.name for d in spark.catalog.listDatabases() if d.name.startswith("temporary_")]

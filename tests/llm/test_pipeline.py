@@ -75,3 +75,30 @@ def test_the_join_leaves_no_tables_but_its_result(spark, corpus):
     assert not [d.name for d in spark.catalog.listDatabases() if d.name.startswith("temporary_")]
     ids = {r.doc_id for r in kept.collect()}
     assert {7, 603} <= ids and not ids & {500, 501, 502}
+
+
+@pytest.mark.parametrize("stage", ["ngram_join", "mixing"])
+def test_findings_are_joined_without_shuffling_the_texts(spark, corpus, stage):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on large tables
+    try:
+        out = dict(corpus_pipeline.STAGES)[stage](spark, spark.read.parquet(f"{corpus}/documents.parquet"), corpus)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, plan  # that of the findings
+        assert out.count() > 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("stage", ["ngram_join", "mixing"])
+def test_rows_in_many_chunks(spark, corpus, monkeypatch, stage):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").where("text IS NOT NULL").repartition(3)
+    run = dict(corpus_pipeline.STAGES)[stage]
+    whole = Counter((r.doc_id, r.text) for r in run(spark, docs, corpus).collect())
+    monkeypatch.setattr(corpus_pipeline, "CHUNK_BITS", 3)
+    assert Counter((r.doc_id, r.text) for r in run(spark, docs, corpus).collect()) == whole
+
+
+def test_numbered_rows_leave_no_name_in_the_catalog(spark, corpus):
+    corpus_pipeline.mixed_sources(spark, spark.read.parquet(f"{corpus}/documents.parquet"), corpus)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("pipeline_rows")]
