@@ -5,6 +5,7 @@ Each distinct name is judged once against the state at the start of the batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,24 +39,36 @@ class Resolution:
     unmatched: DataFrame
 
 
-def resolve_names(raw: DataFrame, dim_city: DataFrame, aliases: DataFrame) -> Resolution:
+def resolve_names(
+    raw: DataFrame, dim_city: DataFrame, aliases: DataFrame, stage: Callable[[DataFrame, str], DataFrame] | None = None
+) -> Resolution:
     """Resolve the column ``raw_name``.
 
     Blank names resolve to nothing and are not quarantined. If one spelling of a
     name matches fuzzily, all spellings with the same lookup key resolve with it,
     and the smallest matching spelling becomes the alias.
+
+    With ``stage``, which stores a frame and gives it back, names are counted and matched once,
+    however many of the results are used.
     """
+    stage = stage or (lambda df, label: df)
     distinct = raw.groupBy("raw_name").agg(F.count(F.lit(1)).alias("occurrences"))
-    keyed = distinct.withColumn("key", F.when(~is_blank(F.col("raw_name")), lookup_key(F.col("raw_name"))))
+    # Filters on names and keys would move below the count, make every row's name again there, and keep
+    # the branches below from sharing one count.
+    keyed = stage(
+        computed_once(distinct.withColumn("key", F.when(~is_blank(F.col("raw_name")), lookup_key(F.col("raw_name"))))),
+        "counted_names",
+    )
     exact = keyed.join(lookup_table(dim_city, aliases).hint(UNDERRATED), "key", "left")
     missed = exact.filter(F.col("key").isNotNull() & F.col("city_id").isNull())
     matched = best_matches(missed.select("raw_name"), active(dim_city))
-    per_key = (
+    per_key = stage(
         matched.withColumn("key", lookup_key(F.col("raw_name")))
         .groupBy("key")
         .agg(F.min(F.struct("raw_name", "city_id", "score")).alias("_first"))
         .select("key", F.col("_first.city_id").alias("fuzzy_id"), F.col("_first.score").alias("score"),
-                F.col("_first.raw_name").alias("raw_alias"))
+                F.col("_first.raw_name").alias("raw_alias")),
+        "matched_keys",
     )
     joined = exact.join(per_key.hint(UNDERRATED), "key", "left")
     names = joined.select(
@@ -108,10 +121,11 @@ def best_matches(names: DataFrame, cities: DataFrame, cutoff: int = CUTOFF) -> D
     # A name is small and multiplies into many forms: a fixed number of partitions
     # keeps small inputs from being coalesced into one task before that.
     partitions = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tokens = names.select("raw_name", sort_tokens(F.col("raw_name")).alias("text"))
-    probes = tokens.select("text").repartition(partitions, "text").distinct()
+    # Both sides are read in several places, each with filters of its own, which shall not move below the shuffles.
+    tokens = computed_once(names.select("raw_name", sort_tokens(F.col("raw_name")).alias("text")))
+    probes = computed_once(tokens.select("text").repartition(partitions, "text").distinct())
     named = cities.select(sort_tokens(F.col("city_name")).alias("text"), "city_id").repartition(partitions, "text")
-    candidates = named.groupBy("text").agg(F.min("city_id").alias("city_id"))
+    candidates = computed_once(named.groupBy("text").agg(F.min("city_id").alias("city_id")))
     found = _short_matches(probes, candidates, cutoff).unionByName(_long_matches(probes, candidates, cutoff))
     best = found.groupBy("text").agg(F.max(F.struct("score", (-F.col("city_id")).alias("minus_id"))).alias("_best"))
     return tokens.join(best.hint(UNDERRATED), "text").select(
@@ -127,17 +141,27 @@ def _close_enough(common: Column, left: Column, right: Column, cutoff: int) -> C
     return common * 200 >= (left + right) * cutoff
 
 
+def _lengths(df: DataFrame, name: str) -> DataFrame:
+    """As many rows as there are lengths."""
+    return df.select(F.length("text").alias(name)).distinct()
+
+
 def _most_deletions(length: int, cutoff: int) -> int:
     """How many characters a name may lose if the other name is all that is left of it."""
     return length * (200 - 2 * cutoff) // (200 - cutoff)
 
 
-def _shortened(df: DataFrame, cutoff: int) -> DataFrame:
+def _shortened(df: DataFrame, others: DataFrame, cutoff: int) -> DataFrame:
     """Every form of ``text`` with a few characters deleted, itself included, as ``form``.
 
-    Deletions go from left to right, so that no set of positions comes twice.
+    Deletions go from left to right, so that no set of positions comes twice. No more are deleted
+    than the lengths of ``others`` allow: what is left must be close enough to one that is at least as long.
     """
-    length = F.length("text")
+    a, b = F.col("_own"), F.col("_other")
+    spare = a * (200 - cutoff) - b * cutoff
+    allowed = F.call_function("div", spare, F.lit(200)).cast("int")
+    own, other = (_lengths(x, n).filter(F.col(n) <= ENUMERATED_LENGTH) for x, n in ((df, "_own"), (others, "_other")))
+    usable = own.crossJoin(other).filter((spare >= 0) & (a - b <= allowed)).groupBy("_own").agg(F.max(allowed).alias("_most"))
 
     def without_one_more(cuts: Column) -> Column:
         def drop(cut: Column) -> Column:
@@ -154,12 +178,13 @@ def _shortened(df: DataFrame, cutoff: int) -> DataFrame:
 
         return F.flatten(F.transform(cuts, drop))
 
-    allowed = F.call_function("div", length * (200 - 2 * cutoff), F.lit(200 - cutoff))
     levels = [F.array(F.struct(F.col("text").alias("form"), F.lit(1).alias("start")))]
     for deleted in range(1, _most_deletions(ENUMERATED_LENGTH, cutoff) + 1):
-        levels.append(F.when(allowed >= deleted, without_one_more(levels[-1])).otherwise(F.array_remove(levels[0], levels[0][0])))
+        levels.append(F.when(F.col("_most") >= deleted, without_one_more(levels[-1])).otherwise(F.array_remove(levels[0], levels[0][0])))
     cuts = F.explode(F.concat(*levels)).alias("cut")
-    return df.filter(length <= ENUMERATED_LENGTH).select(*df.columns, cuts).select(*df.columns, "cut.form")
+    # At most one row for each length up to the limit.
+    fitting = df.join(F.broadcast(usable), F.length("text") == a)
+    return fitting.select(*df.columns, cuts).select(*df.columns, "cut.form")
 
 
 def _short_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> DataFrame:
@@ -167,13 +192,13 @@ def _short_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Dat
     characters down to c can make them equal. For one form the best city is the
     one with the shortest name."""
     per_form = (
-        _shortened(candidates, cutoff)
+        _shortened(candidates, probes, cutoff)
         .groupBy("form")
         .agg(F.min(F.struct(F.length("text").alias("length"), "city_id")).alias("_best"))
     )
     common, left, right = F.length("form"), F.length("text"), F.col("_best.length")
     return (
-        _shortened(probes, cutoff)
+        _shortened(probes, candidates, cutoff)
         .join(per_form.hint(UNDERRATED), "form")
         .filter(_close_enough(common, left, right, cutoff))
         .select("text", F.col("_best.city_id").alias("city_id"), similarity(common, left, right).alias("score"))
@@ -197,10 +222,6 @@ def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Data
     shortest = -(-(ENUMERATED_LENGTH + 1) * cutoff // (200 - cutoff))
     edits = F.call_function("div", (F.col("a") + F.col("b")) * (100 - cutoff), F.lit(100))
 
-    def lengths(df: DataFrame, name: str) -> DataFrame:
-        """As many rows as there are lengths."""
-        return df.select(F.length("text").alias(name)).distinct()
-
     def with_other_length(df: DataFrame, own: str, other: str, others: DataFrame) -> DataFrame:
         length = F.length("text")
         low = F.ceil(length * cutoff / F.lit(200.0 - cutoff)).cast("int")
@@ -209,7 +230,7 @@ def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Data
             df.filter(length >= shortest)
             .withColumn(own, length)
             .withColumn(other, F.explode(F.sequence(low, high)))
-            .join(lengths(others, other), other, "left_semi")
+            .join(_lengths(others, other), other, "left_semi")
             .filter(F.greatest("a", "b") > ENUMERATED_LENGTH)
             .withColumn("e", edits)
             .withColumn("piece", F.explode(F.sequence(F.lit(0), F.least(F.col("e"), F.col("b") - 1))))

@@ -31,7 +31,7 @@ def resolve_and_store(warehouse: Warehouse, raw: DataFrame, now: Column | None =
     """
     cities, aliases = warehouse.read("dim_city"), warehouse.read("dim_city_alias")
     with warehouse.scratch() as stage:
-        found = resolve_names(raw, cities, aliases)
+        found = resolve_names(raw, cities, aliases, stage)
         names = stage(found.names, "resolved_names")
         method = F.col("match_method")
         open_names = F.col("city_id").isNull() & ~is_blank(F.col("raw_name"))
@@ -42,8 +42,7 @@ def resolve_and_store(warehouse: Warehouse, raw: DataFrame, now: Column | None =
             F.count(F.lit(1)).alias("all"),
         ).first()
         if counts.fuzzy:
-            learned = stage(found.new_aliases, "new_aliases")
-            warehouse.replace("dim_city_alias", merge_aliases(aliases, learned, ["raw_alias"], now))
+            warehouse.replace("dim_city_alias", merge_aliases(aliases, found.new_aliases, ["raw_alias"], now))
         if counts.quarantined:
             unmatched = names.filter(open_names).select("raw_name", "occurrences")
             old = warehouse.read("quarantine_unmatched_city_names")

@@ -166,6 +166,40 @@ def test_matches_and_lookups_are_not_broadcast(spark, tmp_path):
     assert len(joins) >= 3 and all("SortMergeJoin" in line for line in joins)
 
 
+def rows_made(df, metric, node=""):
+    """The sum of a metric of the operators that ran for ``df``, by the start of their names."""
+
+    def below(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return below(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return below(plan.plan())
+        own = plan.metrics().apply(metric).value() if plan.nodeName().startswith(node) and plan.metrics().contains(metric) else 0
+        children = plan.children()
+        return own + sum(below(children.apply(i)) for i in range(children.size()))
+
+    df.collect()
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def test_every_row_is_read_and_spelled_once(spark, frame, cities, aliases, tmp_path):
+    spark.range(50).select(F.concat(F.lit("Mumba"), F.col("id") % 10).alias("word")).write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw").select(F.concat(F.col("word"), F.lit(" ")).alias("raw_name"))
+    names = resolve.resolve_names(raw, cities, aliases).names
+    assert names.count() == 10
+    assert rows_made(names, "numOutputRows", "Scan parquet") == 50
+
+
+def test_no_forms_that_no_length_can_use(spark, frame):
+    cities = frame("city_id int, city_name string", *[(i, f"Abcdefgh{i:05d}") for i in range(20)])
+    names = frame("raw_name string", *[f"Abcdefgh{i:05d}" for i in range(20)])
+    matches = resolve.best_matches(names, cities)
+    assert sorted((r.raw_name, r.city_id, r.score) for r in matches.collect()) == [(f"Abcdefgh{i:05d}", i, 100.0) for i in range(20)]
+    # Of equal lengths one deletion on each side can be close enough: 14 forms a name, not 92.
+    assert rows_made(matches, "numOutputRows", "Generate") < 2 * 20 * 25
+
+
 def test_quarantine_counts(frame):
     old = frame(
         "id bigint, raw_name string, source string, first_seen_at timestamp, last_seen_at timestamp, "
