@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, lookup_key, sort_tokens
 from ..schemas import QUARANTINE
+from ..session import WAVES
 from .barrier import computed_once
 from .dimension import active
 from .numbering import highest, number_rows
@@ -113,10 +116,10 @@ def best_matches(names: DataFrame, cities: DataFrame, cutoff: int = CUTOFF) -> D
     with sorted tokens and the length c of their longest common subsequence.
     Upper and lower case differ. The lowest city number wins among equals.
 
-    No pair is compared unless it shares something that similar names must
-    share. Short names share a shortened form, and all cities with that form are
+    Short names share a shortened form, and all cities with that form are
     reduced to their best before the join, so the join never multiplies rows.
-    Longer names share an unchanged stretch; those pairs are verified.
+    Longer names meet an equal city, or one that is a single edit away; only names that have neither
+    are compared with all cities of fitting length, by signatures first.
     """
     # A name is small and multiplies into many forms: a fixed number of partitions
     # keeps small inputs from being coalesced into one task before that.
@@ -205,62 +208,130 @@ def _short_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> Dat
     )
 
 
+#: Windows of a name in which a single edit is sought, and parts into which the cities of one length are dealt.
+WINDOWS, PARTS = 4, 8
+
+#: Numbers of 64 bits that hold the two signatures of a name: of its characters, and of its pairs of characters.
+SINGLES, PAIRS = 4, 8
+
+
 def _long_matches(probes: DataFrame, candidates: DataFrame, cutoff: int) -> DataFrame:
-    """Pairs in which at least one name is too long to enumerate.
-
-    Names of lengths a and b that are close enough differ by at most e
-    insertions and deletions, e following from a + b. Cut into e + 1 pieces, the
-    city name keeps at least one piece unchanged, and in the other name that
-    piece has moved by no more than e. So close pairs meet on an equal piece
-    (pigeonhole, as in partition-based similarity joins).
-
-    Not every move needs a look: take the first piece i such that the pieces up to it have
-    at most i edits. It has none itself, exactly i stand before it, and at most e - i after it.
-    So it has moved by i at most and by an even number less, and the rest of the length
-    difference is at most e - i. Lengths that no name on the other side has are skipped.
+    """Pairs in which at least one name is too long to enumerate, as far as they can be the best of their name.
+
+    An equal city is the best one there is, and otherwise one at a single insertion or deletion: two edits
+    cost more, whatever the lengths are. So a name that has either is done, and only the rest is compared with all
+    cities of fitting length.
     """
     shortest = -(-(ENUMERATED_LENGTH + 1) * cutoff // (200 - cutoff))
-    edits = F.call_function("div", (F.col("a") + F.col("b")) * (100 - cutoff), F.lit(100))
+    names, cities = (df.filter(F.length("text") >= shortest) for df in (probes, candidates))
+    equal = names.filter(F.length("text") > ENUMERATED_LENGTH).join(cities.hint(UNDERRATED), "text")
+    # The score of equal texts does not depend on their length.
+    near = equal.select("text", "city_id", F.lit(100.0).alias("score")).unionByName(_one_edit(names, cities, cutoff))
+    best = near.groupBy("text").agg(F.max(F.struct("score", (-F.col("city_id")).alias("minus_id"))).alias("_near"))
+    # Fixed here, so that both uses share it.
+    judged = computed_once(names.join(best.hint(UNDERRATED), "text", "left").select("text", "_near.minus_id", "_near.score"))
+    done = judged.filter(F.col("score").isNotNull()).select("text", (-F.col("minus_id")).alias("city_id"), "score")
+    return done.unionByName(_any_edits(judged.filter(F.col("score").isNull()).select("text"), cities, cutoff))
+
+
+def _one_edit(names: DataFrame, cities: DataFrame, cutoff: int) -> DataFrame:
+    """Pairs that differ by one character too many on either side.
+
+    The longer text, of n characters, is cut into windows. One of them holds the character that the shorter text lacks,
+    and what is before and after it is equal. So pairs meet on all of a text but a window,
+    which a word that many names share does not make equal.
+    """
 
-    def with_other_length(df: DataFrame, own: str, other: str, others: DataFrame) -> DataFrame:
-        length = F.length("text")
-        low = F.ceil(length * cutoff / F.lit(200.0 - cutoff)).cast("int")
-        high = F.floor(length * (200 - cutoff) / F.lit(float(cutoff))).cast("int")
+    def without_window(df: DataFrame, longer: Column) -> DataFrame:
+        n, window = F.col("n"), F.col("window")
+        start = F.call_function("div", window * n, F.lit(WINDOWS)).cast("int")
+        after = (n - F.call_function("div", (window + 1) * n, F.lit(WINDOWS))).cast("int")
         return (
-            df.filter(length >= shortest)
-            .withColumn(own, length)
-            .withColumn(other, F.explode(F.sequence(low, high)))
-            .join(_lengths(others, other), other, "left_semi")
-            .filter(F.greatest("a", "b") > ENUMERATED_LENGTH)
-            .withColumn("e", edits)
-            .withColumn("piece", F.explode(F.sequence(F.lit(0), F.least(F.col("e"), F.col("b") - 1))))
-            .withColumn("pieces", F.least(F.col("e") + 1, F.col("b")))
-            .withColumn("start", F.call_function("div", F.col("piece") * F.col("b"), F.col("pieces")).cast("int"))
-            .withColumn(
-                "size",
-                (F.call_function("div", (F.col("piece") + 1) * F.col("b"), F.col("pieces")) - F.col("start")).cast("int"),
-            )
+            df.withColumn("of_city", F.explode(F.array(F.lit(True), F.lit(False))))
+            .withColumn("n", F.length("text") + F.when(longer, 0).otherwise(1))
+            .filter(n > ENUMERATED_LENGTH)
+            .withColumn("window", F.explode(F.sequence(F.lit(0), F.lit(WINDOWS - 1))))
+            .withColumn("stretch", F.xxhash64("n", "of_city", "window", F.left("text", start), F.right("text", after)))
+            .drop("n", "of_city", "window")
         )
 
-    keys = ["a", "b", "piece", "stretch"]
-    indexed = with_other_length(candidates, "b", "a", probes).select(
-        "a", "b", "piece", F.substr("text", F.col("start") + 1, F.col("size")).alias("stretch"),
-        F.col("text").alias("city_text"), "city_id",
+    indexed = without_window(cities, F.col("of_city")).withColumnRenamed("text", "city_text")
+    left, right = F.length("text"), F.length("city_text")
+    edited = F.call_function("levenshtein", F.col("text"), F.col("city_text"), F.lit(1)) == 1
+    pairs = without_window(names, ~F.col("of_city")).join(indexed.hint(UNDERRATED), "stretch")
+    common = F.least(left, right)
+    return pairs.filter((F.abs(left - right) == 1) & _close_enough(common, left, right, cutoff) & edited).select(
+        "text", "city_id", similarity(common, left, right).alias("score")
+    )
+
+
+def _signed(df: DataFrame) -> DataFrame:
+    """Add two signatures of ``text``, as numbers ``s0``, ``s1`` and so on.
+
+    The first is made of its characters, each with the number of equal ones before it, the second of its pairs of
+    neighbours, with the last character alone. A bit says whether the number of those hashed to it is odd. An insertion
+    or deletion adds or takes one of the first kind and three of the second at most, so texts at d
+    of them differ by d and 3 d bits at most.
+    """
+    at, text = F.col("_at"), F.col("text")
+    char, before = F.substr(text, at, F.lit(1)), F.left(text, at - 1)
+    equal = F.length(before) - F.length(F.replace(before, char, F.lit("")))
+    spots = df.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("text")))).select(
+        *df.columns,
+        F.pmod(F.xxhash64(char, equal), F.lit(64 * SINGLES)).cast("int").alias("_single"),
+        F.pmod(F.xxhash64(F.substr(text, at, F.lit(2))), F.lit(64 * PAIRS)).cast("int").alias("_pair"),
     )
-    moved = with_other_length(probes, "a", "b", candidates).withColumn("move", F.explode(F.sequence(-F.col("e"), F.col("e"))))
-    within = (F.col("start") + F.col("move")).between(0, F.col("a") - F.col("size"))
-    rest = F.abs(F.col("a") - F.col("b") - F.col("move"))
-    first = (F.abs("move") <= F.col("piece")) & (F.pmod(F.col("move") - F.col("piece"), F.lit(2)) == 0)
-    first = first & (rest <= F.col("e") - F.col("piece"))
-    reachable = F.when(F.col("pieces") > F.col("e"), first).otherwise(F.abs("move") + rest <= F.col("e"))
-    sought = moved.filter(within & reachable).select(
-        "a", "b", "piece", F.substr("text", F.col("start") + F.col("move") + 1, F.col("size")).alias("stretch"), "text"
+    zero = F.lit(0).cast("bigint")
+
+    def word(spot: Column, k: int) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), spot.bitwiseAND(63))
+        return F.coalesce(F.bit_xor(F.when(F.shiftright(spot, 6) == k, bit).otherwise(zero)), zero)
+
+    words = [word(F.col("_single"), k) for k in range(SINGLES)] + [word(F.col("_pair"), k) for k in range(PAIRS)]
+    return spots.groupBy(*df.columns).agg(*[w.alias(f"s{k}") for k, w in enumerate(words)])
+
+
+def _bits_apart(words: range) -> Column:
+    return reduce(add, [F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in words])
+
+
+def _any_edits(names: DataFrame, cities: DataFrame, cutoff: int) -> DataFrame:
+    """All pairs that are close enough.
+
+    Names meet all cities of a fitting length, and signatures drop nearly all pairs inside the join. That compares more
+    pairs than equal pieces would let meet, but by a few instructions each, and a word that all
+    names share costs nothing: neither a name nor a city becomes more than a few rows for each fitting length.
+    """
+    conf = names.sparkSession
+    partitions = max(int(conf.conf.get("spark.sql.shuffle.partitions")), WAVES * conf.sparkContext.defaultParallelism)
+    length = F.length("text")
+    low = F.ceil(length * cutoff / F.lit(200.0 - cutoff)).cast("int")
+    high = F.floor(length * (200 - cutoff) / F.lit(float(cutoff))).cast("int")
+    sought = (
+        _signed(names)
+        .withColumn("a", F.coalesce(length, F.lit(0)))
+        .withColumn("b", F.explode(F.sequence(low, high)))
+        .join(_lengths(cities, "b"), "b", "left_semi")
+        .filter(F.greatest("a", "b") > ENUMERATED_LENGTH)
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     )
-    pairs = sought.join(indexed.hint(UNDERRATED), keys).select("text", "city_text", "city_id").distinct()
+    dealt = _signed(cities).select(
+        F.coalesce(length, F.lit(0)).alias("b"), F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int").alias("part"),
+        F.col("text").alias("city_text"), "city_id", *[F.col(f"s{k}").alias(f"t{k}") for k in range(SINGLES + PAIRS)],
+    )
+    # Few bytes, many pairs: a fixed number of partitions keeps them from being coalesced.
+    sought, dealt = (df.repartition(partitions, "b", "part") for df in (sought, dealt))
+    met = sought.join(dealt.hint(UNDERRATED), ["b", "part"])
+    edits = (F.col("a") + F.col("b")) * (100 - cutoff)
+    # Each pair costs what the join reads of it, so that is the shorter signature only. The longer one is one number
+    # before it is judged: the optimizer's time doubles with each column that a filter above a barrier reads.
+    alike = met.filter(_bits_apart(range(SINGLES)) * 100 <= edits)
+    pieces = (_bits_apart(range(SINGLES, SINGLES + PAIRS)) * 100 <= edits * 3).alias("_pieces")
+    pairs = computed_once(alike.select("text", "city_text", "city_id", pieces)).filter("_pieces").drop("_pieces")
     left, right = F.length("text"), F.length("city_text")
     # Insertions and deletions alone are at least as many as with replacements, which the banded distance counts fast.
     most = F.call_function("div", (left + right) * (100 - cutoff), F.lit(100)).cast("int")
-    near = pairs.filter(F.call_function("levenshtein", F.col("text"), F.col("city_text"), most) >= 0)
+    near = computed_once(pairs.filter(F.call_function("levenshtein", F.col("text"), F.col("city_text"), most) >= 0))
     verified = with_common_length(near, "text", "city_text")
     return verified.filter(_close_enough(F.col("common"), left, right, cutoff)).select(
         "text", "city_id", similarity(F.col("common"), left, right).alias("score")

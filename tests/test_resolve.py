@@ -200,6 +200,35 @@ def test_no_forms_that_no_length_can_use(spark, frame):
     assert rows_made(matches, "numOutputRows", "Generate") < 2 * 20 * 25
 
 
+def test_long_names_that_share_a_word(spark):
+    """Few rows are moved for names that have a close city, and the others are found as well."""
+    rng = random.Random(3)
+
+    def word():
+        return "".join(rng.choice("bcdfghjk") for _ in range(rng.randint(6, 28))).title()
+
+    def edited(text, edits):
+        chars = list(text)
+        for _ in range(edits):
+            at = rng.randrange(len(chars) - 1)
+            chars[at : at + 1] = rng.choice([[], [chars[at], "x"]])
+        return "".join(chars)
+
+    cities = [(i, " ".join(["Municipality", *(word() for _ in range(rng.randint(1, 3)))])) for i in range(150)]
+    # Two numbers of one name, and two names at one edit from a third.
+    cities += [(900, cities[0][1]), (901, cities[1][1] + "x"), (902, cities[1][1] + "y")]
+    edits = [0] * 100 + [1] * 100 + [2, 3, 4, 6, 9] * 4
+    names = sorted({edited(rng.choice(cities)[1], n) for n in edits} | {cities[1][1] + "xy", cities[0][1]})
+    matches = resolve.best_matches(
+        spark.createDataFrame([(n,) for n in names], "raw_name string"),
+        spark.createDataFrame(cities, "city_id int, city_name string"),
+    )
+    expected = {name: match for name in names if (match := brute_force(name, cities))}
+    assert {r.raw_name: (r.city_id, r.score) for r in matches.collect()} == expected
+    assert len(expected) > 150
+    assert rows_made(matches, "shuffleRecordsWritten") < 60 * (len(names) + len(cities))
+
+
 def test_quarantine_counts(frame):
     old = frame(
         "id bigint, raw_name string, source string, first_seen_at timestamp, last_seen_at timestamp, "
